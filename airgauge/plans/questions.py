@@ -28,11 +28,26 @@ HIGH = 2.5
 LOW_FROM, LOW_TO = 0.01, 1.0
 WINDOW_WEEKS = 4
 
-VALUE = F.col("concentracion_mg_m3")
 WEEK = ("anio", "semana_nro")
-IS_MEASURED = F.col("estado") == MEASURED
-IS_LOW = IS_MEASURED & VALUE.between(LOW_FROM, LOW_TO)
-IS_HIGH = VALUE >= HIGH
+
+
+# functions, since a Column needs a running session and a module does not
+
+
+def value() -> Column:
+    return F.col("concentracion_mg_m3")
+
+
+def is_measured() -> Column:
+    return F.col("estado") == MEASURED
+
+
+def is_low() -> Column:
+    return is_measured() & value().between(LOW_FROM, LOW_TO)
+
+
+def is_high() -> Column:
+    return value() >= HIGH
 
 
 def week_key() -> Column:
@@ -55,9 +70,9 @@ def best_of(df: DataFrame, keys: Sequence[str], first: Sequence[Column], cols: S
 
 def _optional(df: DataFrame, **equal) -> DataFrame:
     """Equality filters for the parameters that are given."""
-    for column, value in equal.items():
-        if value is not None:
-            df = df.where(F.col(column) == value)
+    for column, wanted in equal.items():
+        if wanted is not None:
+            df = df.where(F.col(column) == wanted)
     return df
 
 
@@ -83,18 +98,18 @@ RANKING = ("planta_canon", "punto_nro", "nombre_punto", "maquina_gen_nombre", "a
 def highest_point(mart: DataFrame) -> DataFrame:
     # latest week first, then the highest value: one ordered pass finds both
     return (
-        mart.where(IS_MEASURED)
-        .orderBy(F.desc("anio"), F.desc("semana_nro"), VALUE.desc(), F.asc("punto_nro"))
+        mart.where(is_measured())
+        .orderBy(F.desc("anio"), F.desc("semana_nro"), value().desc(), F.asc("punto_nro"))
         .limit(1)
         .select(*RANKING)
     )
 
 
 def lowest_point(mart: DataFrame) -> DataFrame:
-    rows = mart.where(IS_MEASURED)
+    rows = mart.where(is_measured())
     return (
-        in_latest_week(rows.where(VALUE > 0), rows)
-        .orderBy(VALUE.asc(), F.asc("punto_nro"))
+        in_latest_week(rows.where(value() > 0), rows)
+        .orderBy(value().asc(), F.asc("punto_nro"))
         .limit(1)
         .select(*RANKING)
     )
@@ -156,9 +171,9 @@ def why_high(mart: DataFrame, punto: int | None = None, umbral: float = HIGH) ->
     """All causes of each point's peak week, where the peak reaches the threshold."""
     rows = _optional(mart, punto_nro=punto)
     peak = best_of(
-        rows.where(VALUE >= umbral).select("punto_nro", *WEEK, "concentracion_mg_m3"),
+        rows.where(value() >= umbral).select("punto_nro", *WEEK, "concentracion_mg_m3"),
         ["punto_nro"],
-        [-VALUE, F.col("anio"), F.col("semana_nro")],
+        [-value(), F.col("anio"), F.col("semana_nro")],
         ["punto_nro", *WEEK],
     )
     return rows.join(peak, ["punto_nro", *WEEK], "left_semi").select(
@@ -201,7 +216,7 @@ def why_not_measured(mart: DataFrame, hasta: date | None = None) -> DataFrame:
 
 def machines_measured(mart: DataFrame, anio: int | None = None, semana: int | None = None) -> DataFrame:
     return (
-        _optional(mart.where(IS_MEASURED), anio=anio, semana_nro=semana)
+        _optional(mart.where(is_measured()), anio=anio, semana_nro=semana)
         .select("planta_canon", "maquina_gen_nombre", "punto_nro", "nombre_punto", "concentracion_mg_m3",
                 "fecha_medicion", "anio", "semana_nro")
         .distinct()
@@ -236,11 +251,11 @@ def best_window(
 
 
 def high_window(mart: DataFrame, planta: str | None = None, mode: str = "rows") -> DataFrame:
-    return best_window(mart, IS_HIGH, "n_altos_ventana", planta, mode=mode)
+    return best_window(mart, is_high(), "n_altos_ventana", planta, mode=mode)
 
 
 def low_window(mart: DataFrame, planta: str | None = None, mode: str = "rows") -> DataFrame:
-    return best_window(mart, IS_LOW, "n_bajos_ventana", planta, mode=mode)
+    return best_window(mart, is_low(), "n_bajos_ventana", planta, mode=mode)
 
 
 def _span(mart: DataFrame, event: Column, punto: int | None) -> DataFrame:
@@ -258,11 +273,11 @@ def _span(mart: DataFrame, event: Column, punto: int | None) -> DataFrame:
 
 
 def high_span(mart: DataFrame, punto: int | None = None) -> DataFrame:
-    return _span(mart, IS_HIGH, punto)
+    return _span(mart, is_high(), punto)
 
 
 def low_span(mart: DataFrame, punto: int | None = None) -> DataFrame:
-    return _span(mart, IS_LOW, punto)
+    return _span(mart, is_low(), punto)
 
 
 def rising_plant(mart: DataFrame) -> DataFrame:
@@ -270,8 +285,8 @@ def rising_plant(mart: DataFrame) -> DataFrame:
 
     A plant needs two weeks for a slope. The broadcast side is one row.
     """
-    rows = mart.where(IS_MEASURED)
-    weekly = rows.groupBy("planta_canon", "semana_nro").agg(exact_avg(VALUE).alias("prom"))
+    rows = mart.where(is_measured())
+    weekly = rows.groupBy("planta_canon", "semana_nro").agg(exact_avg(value()).alias("prom"))
     trend = weekly.groupBy("planta_canon").agg(
         F.regr_slope("prom", "semana_nro").alias("pendiente"),
         F.regr_r2("prom", "semana_nro").alias("r2"),
@@ -286,7 +301,7 @@ def rising_plant(mart: DataFrame) -> DataFrame:
     return (
         rows.join(F.broadcast(top), "planta_canon")
         .groupBy("planta_canon", "pendiente", "r2", "punto_nro", "nombre_punto")
-        .agg(to_numeric(exact_avg(VALUE)).alias("promedio_punto"))
+        .agg(to_numeric(exact_avg(value())).alias("promedio_punto"))
     )
 
 
@@ -391,18 +406,18 @@ def work_of_orders(mart: DataFrame, ordenes: Sequence[str] | None = None, punto:
 
 def over_limit_last_session(mart: DataFrame) -> DataFrame:
     """Points over the limit in each plant's own latest week, with band and times over the limit."""
-    rows = mart.where(IS_MEASURED)
+    rows = mart.where(is_measured())
     limit = internal_limit()
     latest = rows.groupBy("planta_canon").agg(F.max(week_key()).alias("_clave"))
     return (
-        rows.where(VALUE >= limit)
+        rows.where(value() >= limit)
         .withColumn("_clave", week_key())
         .join(latest, ["planta_canon", "_clave"], "left_semi")
         .select(
             "planta_canon", "punto_nro", "nombre_punto", "anio", "semana_nro", "concentracion_mg_m3",
-            band_of(VALUE).alias("etiqueta_semaforo"),
+            band_of(value()).alias("etiqueta_semaforo"),
             F.lit(limit).alias("limite_interno_mg_m3"),
-            F.round(VALUE / limit, 2).alias("veces_sobre_limite"),
+            F.round(value() / limit, 2).alias("veces_sobre_limite"),
         )
     )
 
@@ -411,15 +426,15 @@ def plant_peak(mart: DataFrame) -> DataFrame:
     """What was going on at each plant's highest measurement ever."""
     cols = ["planta_canon", "punto_nro", "nombre_punto", "anio", "semana_nro", "fecha_medicion", "concentracion_mg_m3",
             "operador_panel", "tecnico_higiene", "hora_inicio", "hora_termino"]
-    order = [-VALUE, F.col("anio"), F.col("semana_nro"), F.col("punto_nro")]
-    return best_of(mart.where(IS_MEASURED), ["planta_canon"], order, cols)
+    order = [-value(), F.col("anio"), F.col("semana_nro"), F.col("punto_nro")]
+    return best_of(mart.where(is_measured()), ["planta_canon"], order, cols)
 
 
 def last_session(mart: DataFrame) -> DataFrame:
     """Every measurement of the latest week over all plants, with its band."""
-    return in_latest_week(mart.where(IS_MEASURED)).select(
+    return in_latest_week(mart.where(is_measured())).select(
         "planta_canon", "punto_nro", "nombre_punto", "anio", "semana_nro", "concentracion_mg_m3",
-        band_of(VALUE).alias("etiqueta_semaforo"), "operador_panel", "tecnico_higiene",
+        band_of(value()).alias("etiqueta_semaforo"), "operador_panel", "tecnico_higiene",
     )
 
 

@@ -11,9 +11,7 @@ from airgauge.functions.bands import internal_limit, kpi_severity, limit_state
 from airgauge.functions.columns import exact_avg, to_numeric
 from airgauge.operators.governance import governed
 from airgauge.plans.frames import MEASURED
-from airgauge.plans.questions import in_latest_week
-
-VALUE = F.col("concentracion_mg_m3")
+from airgauge.plans.questions import in_latest_week, value
 
 # Slopes within this many mg/m3 per week of zero count as stable.
 STABLE_SLOPE = 0.005
@@ -37,14 +35,14 @@ def annual_concentration(mart: DataFrame, anio: int | None = None) -> DataFrame:
     if anio is not None:
         rows = rows.where(F.col("anio") == anio)
     limit = internal_limit()
-    over = F.count(F.when(VALUE >= limit, 1))
+    over = F.count(F.when(value() >= limit, 1))
     total = F.count(F.lit(1))
     return rows.groupBy(F.col("planta_canon").alias("planta"), "anio").agg(
         distinct_weeks(F.col("semana_nro")).cast("bigint").alias("semanas_medidas"),
         F.countDistinct("punto_nro").alias("puntos_medidos"),
-        to_numeric(exact_avg(VALUE)).alias("concentracion_promedio_mg_m3"),
-        to_numeric(F.max(VALUE)).alias("concentracion_max_mg_m3"),
-        to_numeric(F.min(VALUE)).alias("concentracion_min_mg_m3"),
+        to_numeric(exact_avg(value())).alias("concentracion_promedio_mg_m3"),
+        to_numeric(F.max(value())).alias("concentracion_max_mg_m3"),
+        to_numeric(F.min(value())).alias("concentracion_min_mg_m3"),
         over.alias("registros_sobre_limite"),
         total.alias("total_registros"),
         F.round(over * 100.0 / total, 2).alias("pct_sobre_limite"),
@@ -84,7 +82,7 @@ def plant_trends(mart: DataFrame, anio: int | None = None) -> DataFrame:
     if anio is not None:
         rows = rows.where(F.col("anio") == anio)
     weekly = rows.groupBy("planta_canon", "anio", "semana_nro").agg(
-        F.sum(VALUE.cast("decimal(18,6)")).alias("suma"), F.count(VALUE).alias("n")
+        F.sum(value().cast("decimal(18,6)")).alias("suma"), F.count(value()).alias("n")
     )
     trend = (
         weekly.withColumn("prom", F.col("suma").cast("double") / F.col("n"))
@@ -137,12 +135,12 @@ def kpi_max_last_session(mart: DataFrame) -> DataFrame:
         F.col("planta_canon").alias("planta"),
         F.col("nombre_punto").alias("punto_evaluacion"),
         "punto_nro",
-        VALUE.alias("valor_actual"),
-        limit_state(VALUE).alias("estado_limite"),
+        value().alias("valor_actual"),
+        limit_state(value()).alias("estado_limite"),
         F.lit(internal_limit()).alias("limite_interno_mg_m3"),
         "anio",
         F.col("semana_nro").alias("semana"),
-        kpi_severity(VALUE, "concentracion-maxima-ultima-jornada").alias("nivel"),
+        kpi_severity(value(), "concentracion-maxima-ultima-jornada").alias("nivel"),
     )
 
 
@@ -161,7 +159,7 @@ def kpi_percent_over_limit(mart: DataFrame) -> DataFrame:
 def kpi_critical_points(mart: DataFrame) -> DataFrame:
     """Points over the limit in the latest session, per plant; plants with none show 0."""
     rows = in_latest_week(mart.where(F.col("estado") == MEASURED))
-    over = F.count(F.when(VALUE >= internal_limit(), 1))
+    over = F.count(F.when(value() >= internal_limit(), 1))
     return rows.groupBy(F.col("planta_canon").alias("planta")).agg(
         over.alias("valor_actual"),
         F.count(F.lit(1)).alias("puntos_totales"),

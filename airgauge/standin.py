@@ -299,10 +299,11 @@ def component_states(t: Tables) -> DataFrame:
     )
 
 
-def observed_conditions(t: Tables) -> DataFrame:
+def conditions_of(events: DataFrame) -> DataFrame:
+    """One observed condition per point, kind and week, as grave as its worst event."""
     day = F.col("ts").cast("date")
     worst = F.max("value")
-    return t.events.groupBy(
+    return events.groupBy(
         F.col("user_id").alias("punto_nro"),
         F.upper("event_type").alias("condicion_codigo"),
         (c.iso_year(day) - EVENT_YEAR_SHIFT).alias("anio"),
@@ -310,6 +311,10 @@ def observed_conditions(t: Tables) -> DataFrame:
     ).agg(F.when(worst >= 100, "grave").when(worst >= 50, "medio").otherwise("leve").alias("severidad"))
 
 
+def observed_conditions(t: Tables) -> DataFrame:
+    return conditions_of(t.events)
+
+
 def condition_types(t: Tables) -> DataFrame:
     kind = F.col("event_type")
     return (
