@@ -149,5 +149,9 @@ def exact_avg(c: Column) -> Column:
 
 
 def to_numeric(c: Column) -> Column:
-    """Plain NUMERIC, that is decimal(18,3)."""
-    return c.cast("decimal(18,3)")
+    """Double to plain NUMERIC, that is decimal(18,3).
+
+    The scaled double is rounded, as the SQL cast does it: 4.0375 is stored just
+    below the tie and becomes 4.037, where a cast by decimal digits would give 4.038.
+    """
+    return (F.round(c * 1000.0) / 1000.0).cast("decimal(18,3)")

@@ -532,23 +532,24 @@ CTES["celda_personas"] = """
                 ELSE 'P-' || a.o_custkey END AS operador_alias,
            CASE WHEN c.ultima_orden % 2 = 0 THEN '  CUSTOMER#' || lpad(CAST(b.o_custkey AS VARCHAR), 9, '0') || ' '
                 ELSE 'P-' || b.o_custkey END AS tecnico_alias,
-           CAST(date_diff('day', f.primero, date_trunc('week', c.fecha_medicion)) / 7 + 1 AS INTEGER) AS pos
+           CAST((date_diff('day', DATE '1990-01-01', c.fecha_medicion) // 7) // 52 AS INTEGER) AS bloque,
+           CAST((date_diff('day', DATE '1990-01-01', c.fecha_medicion) // 7) % 52 + 1 AS INTEGER) AS pos
     FROM celda c JOIN punto p USING (punto_nro) JOIN orders a ON a.o_orderkey = c.primera_orden
-    JOIN orders b ON b.o_orderkey = c.ultima_orden, limites_fecha f"""
+    JOIN orders b ON b.o_orderkey = c.ultima_orden"""
 CTES["encabezado"] = """
-    SELECT planta, pos, CAST(max(semana_nro) AS VARCHAR) AS semanas, CAST(max(fecha_medicion) AS VARCHAR) AS fecha,
+    SELECT planta, bloque, pos, CAST(max(semana_nro) AS VARCHAR) AS semanas, CAST(max(fecha_medicion) AS VARCHAR) AS fecha,
            max(operador_alias) AS operador, max(tecnico_alias) AS tecnico, max(hora_inicio) AS hora_inicio,
            max(hora_termino) AS hora_termino, CAST(max(semana_nro) + 1100 AS VARCHAR) AS tph
-    FROM celda_personas GROUP BY 1, 2"""
+    FROM celda_personas GROUP BY 1, 2, 3"""
 CTES["hoja_larga"] = f"""
-    SELECT planta, 'Semanas' AS etiqueta, 'column' || pos AS _col_posicion, semanas AS valor FROM encabezado
-    UNION ALL SELECT planta, 'Fecha medicion', 'column' || pos, fecha FROM encabezado
-    UNION ALL SELECT planta, 'Operador Panel', 'column' || pos, operador FROM encabezado
-    UNION ALL SELECT planta, 'Técnico Higiene', 'column' || pos, tecnico FROM encabezado
-    UNION ALL SELECT planta, 'Hora inicio', 'column' || pos, hora_inicio FROM encabezado
-    UNION ALL SELECT planta, 'Hora termino', 'column' || pos, hora_termino FROM encabezado
-    UNION ALL SELECT planta, 'Tratamiento tph', 'column' || pos, tph FROM encabezado
-    UNION ALL SELECT planta, {SHEET_LABEL}, 'column' || pos, CAST(concentracion_mg_m3 AS VARCHAR)
+    SELECT planta, bloque, 'Semanas' AS etiqueta, 'column' || lpad(CAST(pos AS VARCHAR), 2, '0') AS _col_posicion, semanas AS valor FROM encabezado
+    UNION ALL SELECT planta, bloque, 'Fecha medicion', 'column' || lpad(CAST(pos AS VARCHAR), 2, '0'), fecha FROM encabezado
+    UNION ALL SELECT planta, bloque, 'Operador Panel', 'column' || lpad(CAST(pos AS VARCHAR), 2, '0'), operador FROM encabezado
+    UNION ALL SELECT planta, bloque, 'Técnico Higiene', 'column' || lpad(CAST(pos AS VARCHAR), 2, '0'), tecnico FROM encabezado
+    UNION ALL SELECT planta, bloque, 'Hora inicio', 'column' || lpad(CAST(pos AS VARCHAR), 2, '0'), hora_inicio FROM encabezado
+    UNION ALL SELECT planta, bloque, 'Hora termino', 'column' || lpad(CAST(pos AS VARCHAR), 2, '0'), hora_termino FROM encabezado
+    UNION ALL SELECT planta, bloque, 'Tratamiento tph', 'column' || lpad(CAST(pos AS VARCHAR), 2, '0'), tph FROM encabezado
+    UNION ALL SELECT planta, bloque, {SHEET_LABEL}, 'column' || lpad(CAST(pos AS VARCHAR), 2, '0'), CAST(concentracion_mg_m3 AS VARCHAR)
               FROM celda_personas JOIN supplier ON s_suppkey = punto_nro"""
 CTES["hoja_ordenes"] = """
     SELECT 'OT-' || o_orderkey AS orden_nro,
@@ -683,19 +684,17 @@ OTHER_SQL = {
              WHEN concentracion_mg_m3 < 2.5 THEN 'amarillo' WHEN concentracion_mg_m3 < 5 THEN 'rojo' ELSE 'negro' END AS color,
         {BAND} AS etiqueta, concentracion_mg_m3 >= 2.5 AS sobre_limite FROM celda""",
     "sheet_unpivot": "SELECT * FROM hoja_larga",
-    "sheet_header_rows": """SELECT planta, 'column' || pos AS _col_posicion, CAST(semanas AS INTEGER) AS semana_nro
+    "sheet_header_rows": """SELECT planta, bloque, 'column' || lpad(CAST(pos AS VARCHAR), 2, '0') AS _col_posicion, CAST(semanas AS INTEGER) AS semana_nro
         FROM encabezado""",
-    "sheet_metadata": """SELECT planta, 'column' || pos AS _col_posicion, fecha AS fecha_str, operador AS operador_alias,
+    "sheet_metadata": """SELECT planta, bloque, 'column' || lpad(CAST(pos AS VARCHAR), 2, '0') AS _col_posicion, fecha AS fecha_str, operador AS operador_alias,
         tecnico AS tecnico_alias, hora_inicio, hora_termino FROM encabezado""",
-    "sheet_value_rows": f"""SELECT planta, 'column' || pos AS _col_posicion, trim({SHEET_LABEL}) AS punto_evaluacion,
+    "sheet_value_rows": f"""SELECT planta, bloque, 'column' || lpad(CAST(pos AS VARCHAR), 2, '0') AS _col_posicion, trim({SHEET_LABEL}) AS punto_evaluacion,
         concentracion_mg_m3 FROM celda_personas JOIN supplier ON s_suppkey = punto_nro""",
     "sheet_to_measurements": """SELECT c.planta, c.punto_nro, c.anio, c.semana_nro, c.concentracion_mg_m3,
         h.fecha AS fecha_medicion, trim(h.operador) AS operador_alias, trim(h.tecnico) AS tecnico_alias, h.hora_inicio,
-        h.hora_termino FROM celda_personas c JOIN encabezado h USING (planta, pos)""",
-    "sheets_union": """SELECT planta, CASE WHEN pos <= total // 2 THEN 'antes' ELSE 'despues' END AS hoja, count(*) AS celdas
-        FROM (SELECT planta, CAST(substr(_col_posicion, 7) AS INTEGER) AS pos,
-                     (SELECT CAST(date_diff('day', primero, ultimo) / 7 + 1 AS INTEGER) FROM limites_fecha) AS total
-              FROM hoja_larga) x GROUP BY 1, 2""",
+        h.hora_termino FROM celda_personas c JOIN encabezado h USING (planta, bloque, pos)""",
+    "sheets_union": """SELECT planta, CASE WHEN CAST(substr(_col_posicion, 7) AS INTEGER) <= 26 THEN 'antes' ELSE 'despues' END
+        AS hoja, count(*) AS celdas FROM hoja_larga GROUP BY 1, 2""",
     "point_names_resolved": "SELECT l_suppkey AS punto_nro, count(*) AS lineas FROM lineitem GROUP BY 1",
     "dense_measurements": """SELECT r.punto_nro, r.anio, r.semana_nro, r.fecha_inicio_semana, c.concentracion_mg_m3,
         CASE WHEN c.punto_nro IS NULL THEN 'no_medido' ELSE 'medido' END AS estado,

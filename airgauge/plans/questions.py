@@ -125,11 +125,11 @@ def _count() -> Column:
 
 
 def _highest(name: str = "maximo_mg_m3") -> Column:
-    return to_numeric(F.max("maximo_mg_m3")).alias(name)
+    return F.max("maximo_mg_m3").alias(name)
 
 
 def _lowest() -> Column:
-    return to_numeric(F.min("minimo_mg_m3")).alias("minimo_mg_m3")
+    return F.min("minimo_mg_m3").alias("minimo_mg_m3")
 
 
 def plant_average(mart: DataFrame, planta: str | None = None) -> DataFrame:

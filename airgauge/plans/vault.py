@@ -64,40 +64,51 @@ def frames_from_history(spark: SparkSession, root: str) -> Frames:
     def link(name: str, *extra: str) -> DataFrame:
         return table(name).select(*dict.fromkeys([*LINK[name].key, *extra]))
 
-    person = [*HUB["entidad_persona"].key]
-    point = described(hub("entidad_punto_medicion"), "detalle_punto_medicion").drop(h.KEY)
-    for name in ("relacion_punto_planta", "relacion_punto_maqgen", "relacion_punto_componente"):
-        point = point.join(link(name), "punto_nro", "left")
-    order = table("relacion_ot_maqctrl").select("ent_orden_trabajo_hk", *LINK["relacion_ot_maqctrl"].key)
-    for name in ("detalle_ot_descr", "detalle_ot_programacion", "detalle_ot_ejecucion", "detalle_ot_no_ejecucion"):
-        order = described(order, name, "ent_orden_trabajo_hk")
-    measured = described(
-        table("relacion_medicion").select(h.KEY, *LINK["relacion_medicion"].key), "detalle_medicion"
-    ).drop(h.KEY)
-    component = described(
-        described(hub("entidad_componente_estructural"), "detalle_componente"), "detalle_componente_estado"
-    )
-    observed = described(
-        table("relacion_condicion_observada").select(h.KEY, *LINK["relacion_condicion_observada"].key),
-        "detalle_condicion_estado",
-    ).drop(h.KEY)
+    def point() -> DataFrame:
+        out = described(hub("entidad_punto_medicion"), "detalle_punto_medicion").drop(h.KEY)
+        for name in ("relacion_punto_planta", "relacion_punto_maqgen", "relacion_punto_componente"):
+            out = out.join(link(name), "punto_nro", "left")
+        return out
+
+    def order() -> DataFrame:
+        key = "ent_orden_trabajo_hk"
+        out = table("relacion_ot_maqctrl").select(key, *LINK["relacion_ot_maqctrl"].key)
+        for name in ("detalle_ot_descr", "detalle_ot_programacion", "detalle_ot_ejecucion", "detalle_ot_no_ejecucion"):
+            out = described(out, name, key)
+        return out.drop(key)
+
+    def of_link(name: str, satellite: str) -> DataFrame:
+        return described(table(name).select(h.KEY, *LINK[name].key), satellite).drop(h.KEY)
+
+    def of_hub(name: str, satellite: str) -> DataFrame:
+        return described(hub(name), satellite).drop(h.KEY)
+
+    def component() -> DataFrame:
+        out = described(described(hub("entidad_componente_estructural"), "detalle_componente"), "detalle_componente_estado")
+        return out.withColumnRenamed("estado_actual", "estado_componente").drop(h.KEY, "severidad")
+
+    def machine() -> DataFrame:
+        out = of_hub("entidad_maquina_control_polvo", "detalle_maquina_control_polvo")
+        return out.join(link("relacion_maqctrl_planta"), "ubicacion_tecnica", "left")
+
+    person = HUB["entidad_persona"].key
     return Frames(
-        medicion=measured,
-        punto=point,
-        planta=described(hub("entidad_planta"), "detalle_planta").drop(h.KEY),
-        maquina_gen=described(hub("entidad_maquina_generadora"), "detalle_maquina_generadora").drop(h.KEY),
-        semana=described(hub("entidad_semana"), "detalle_semana").drop(h.KEY),
-        medicion_persona=link("relacion_medicion_persona", *person),
-        persona=described(hub("entidad_persona"), "detalle_persona").drop(h.KEY),
-        orden=order.drop("ent_orden_trabajo_hk"),
-        orden_responsable=link("relacion_ot_responsable", *person),
-        maquina_control=described(hub("entidad_maquina_control_polvo"), "detalle_maquina_control_polvo")
-        .drop(h.KEY)
-        .join(link("relacion_maqctrl_planta"), "ubicacion_tecnica", "left"),
-        cobertura=link("relacion_punto_maqctrl"),
-        componente=component.withColumnRenamed("estado_actual", "estado_componente").drop(h.KEY, "severidad"),
-        condicion_observada=observed,
-        condicion_tipo=described(hub("entidad_condicion_tipo"), "detalle_condicion_tipo").drop(h.KEY),
-        condicion_problema=link("relacion_condicion_problema"),
-        problema_raiz=described(hub("entidad_problema_raiz"), "detalle_problema_raiz").drop(h.KEY),
+        {
+            "medicion": lambda: of_link("relacion_medicion", "detalle_medicion"),
+            "punto": point,
+            "planta": lambda: of_hub("entidad_planta", "detalle_planta"),
+            "maquina_gen": lambda: of_hub("entidad_maquina_generadora", "detalle_maquina_generadora"),
+            "semana": lambda: of_hub("entidad_semana", "detalle_semana"),
+            "medicion_persona": lambda: link("relacion_medicion_persona", *person),
+            "persona": lambda: of_hub("entidad_persona", "detalle_persona"),
+            "orden": order,
+            "orden_responsable": lambda: link("relacion_ot_responsable", *person),
+            "maquina_control": machine,
+            "cobertura": lambda: link("relacion_punto_maqctrl"),
+            "componente": component,
+            "condicion_observada": lambda: of_link("relacion_condicion_observada", "detalle_condicion_estado"),
+            "condicion_tipo": lambda: of_hub("entidad_condicion_tipo", "detalle_condicion_tipo"),
+            "condicion_problema": lambda: link("relacion_condicion_problema"),
+            "problema_raiz": lambda: of_hub("entidad_problema_raiz", "detalle_problema_raiz"),
+        }
     )

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +22,7 @@ from airgauge.plans import questions as q
 from airgauge.plans import reports as rep
 from airgauge.plans import vault
 from airgauge.plans.catalog import HUB, LINK, SATELLITE
+from airgauge.plans.frames import Frames
 from airgauge.plans.marts import MARTS, bridge, measurement_detail, point_dimension, root_causes
 from airgauge.session import shared_dir
 from airgauge.sources import landing as ld
@@ -59,19 +59,18 @@ def mart_query(name: str) -> Query:
     return lambda spark, d: st.marts(spark, d)[name]
 
 
-def dense_frames(spark: SparkSession, d: str):
+def dense_frames(spark: SparkSession, d: str) -> Frames:
     """Frames whose measurements include every missing (point, week) as not measured."""
-    t = st.Tables(spark, d)
     f = st.frames(spark, d)
-    first, weeks = st.sheet_span(t)
-    last = date.fromordinal(first.toordinal() + 7 * (weeks - 1))
-    return f, densify(f.medicion, f.punto.select("punto_nro"), first, last)
+    first, last = st.reading_span(st.Tables(spark, d))
+    dense = densify(f.medicion, f.punto.select("punto_nro"), first, last)
+    return f.replaced(medicion=dense)
 
 
 def dense_detail(spark: SparkSession, d: str) -> DataFrame:
-    f, dense = dense_frames(spark, d)
-    cols = f.medicion.columns
-    return measurement_detail(type(f)(**{**f.__dict__, "medicion": dense.select(*cols)}))
+    f = dense_frames(spark, d)
+    weekless = f.medicion.drop("fecha_inicio_semana", "fecha_fin_semana", "trimestre", "mes")
+    return measurement_detail(f.replaced(medicion=weekless))
 
 
 def question_query(qid: str) -> Query:
@@ -121,8 +120,7 @@ def dust_bands(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _long(spark: SparkSession, d: str) -> DataFrame:
-    wide, _ = st.wide_sheets(st.Tables(spark, d))
-    return rs.unpivot_wide(wide, ["planta", rs.LABEL])
+    return rs.unpivot_wide(st.wide_sheets(st.Tables(spark, d)), [*st.SHEET_IDS, rs.LABEL])
 
 
 def sheet_unpivot(spark: SparkSession, d: str) -> DataFrame:
@@ -130,23 +128,22 @@ def sheet_unpivot(spark: SparkSession, d: str) -> DataFrame:
 
 
 def sheet_header_rows(spark: SparkSession, d: str) -> DataFrame:
-    return rs.header_rows(_long(spark, d), ["planta"])
+    return rs.header_rows(_long(spark, d), st.SHEET_IDS)
 
 
 def sheet_metadata(spark: SparkSession, d: str) -> DataFrame:
-    return rs.pivot_metadata(_long(spark, d), ["planta"])
+    return rs.pivot_metadata(_long(spark, d), st.SHEET_IDS)
 
 
 def sheet_value_rows(spark: SparkSession, d: str) -> DataFrame:
-    return rs.value_rows(_long(spark, d), ["planta"])
+    return rs.value_rows(_long(spark, d), st.SHEET_IDS)
 
 
 def sheet_to_measurements(spark: SparkSession, d: str) -> DataFrame:
     """Wide sheets to long rows, points found by name."""
     t = st.Tables(spark, d)
-    wide, first = st.wide_sheets(t)
-    day = F.date_add(F.lit(first), (rs.position_number(F.col(rs.POSITION)) - 1) * 7)
-    long = rs.melt_sheet(wide, year=c.iso_year(day))
+    year = c.iso_year(st.sheet_monday(rs.position_number(F.col(rs.POSITION))))
+    long = rs.melt_sheet(st.wide_sheets(t), st.SHEET_IDS, year)
     catalog = st.points(t).select("punto_nro", F.col("punto_evaluacion").alias("nombre_catalogo"))
     return rs.join_normalized(long, catalog, "punto_evaluacion", "nombre_catalogo").select(
         "planta", "punto_nro", "anio", "semana_nro", "concentracion_mg_m3", "fecha_medicion", "operador_alias",
@@ -156,14 +153,14 @@ def sheet_to_measurements(spark: SparkSession, d: str) -> DataFrame:
 
 def sheets_union(spark: SparkSession, d: str) -> DataFrame:
     """Two sheets with different week columns stacked; filled cells of each per plant."""
-    wide, _ = st.wide_sheets(st.Tables(spark, d))
+    wide = st.wide_sheets(st.Tables(spark, d))
     weeks = rs.week_columns(wide)
     half = len(weeks) // 2
     parts = [
-        wide.select("planta", rs.LABEL, *cols).withColumn("hoja", F.lit(name))
+        wide.select(*st.SHEET_IDS, rs.LABEL, *cols).withColumn("hoja", F.lit(name))
         for name, cols in (("antes", weeks[:half]), ("despues", weeks[half:]))
     ]
-    long = rs.unpivot_wide(rs.union_sheets(parts), ["planta", rs.LABEL, "hoja"])
+    long = rs.unpivot_wide(rs.union_sheets(parts), [*st.SHEET_IDS, rs.LABEL, "hoja"])
     return long.groupBy("planta", "hoja").agg(F.count(F.lit(1)).alias("celdas"))
 
 
@@ -181,8 +178,7 @@ def point_names_resolved(spark: SparkSession, d: str) -> DataFrame:
 
 
 def dense_measurements(spark: SparkSession, d: str) -> DataFrame:
-    _, dense = dense_frames(spark, d)
-    return dense.select("punto_nro", "anio", "semana_nro", "fecha_inicio_semana", "concentracion_mg_m3", "estado",
+    return dense_frames(spark, d).medicion.select("punto_nro", "anio", "semana_nro", "fecha_inicio_semana", "concentracion_mg_m3", "estado",
                         "motivo_no_medicion")
 
 

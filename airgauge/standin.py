@@ -20,7 +20,7 @@ from airgauge.functions import columns as c
 from airgauge.operators.calendar import iso_calendar, monday
 from airgauge.operators.history import resolve_roles
 from airgauge.operators.orders import OrderSheet, reason_of, weight_of
-from airgauge.plans.frames import ROLES, Frames
+from airgauge.plans.frames import ROLES, Frames, Lazy
 from airgauge.plans.marts import MARTS
 
 CUT = date(1998, 1, 5)  # a Monday, so no weekly cell straddles it
@@ -38,7 +38,9 @@ class Tables:
         self.spark, self.directory = spark, directory
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+        table = self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+        setattr(self, name, table)  # its schema is read once
+        return table
 
 
 def plants(t: Tables) -> DataFrame:
@@ -351,11 +353,9 @@ def root_problems(t: Tables) -> DataFrame:
 def frames(spark: SparkSession, directory: str) -> Frames:
     t = Tables(spark, directory)
     value = F.col("concentracion_mg_m3")
-    point = points(t)
-    state = component_states(t).select("componente_codigo", F.col("estado_actual").alias("estado_componente"))
-    kinds = condition_types(t)
-    return Frames(
-        medicion=cells(t).select(
+
+    def measured() -> DataFrame:
+        return cells(t).select(
             *POINT_WEEK,
             "concentracion_mg_m3",
             "fecha_medicion",
@@ -363,68 +363,72 @@ def frames(spark: SparkSession, directory: str) -> Frames:
             "hora_termino",
             c.measured_state(value).alias("estado"),
             c.unmeasured_reason(value).alias("motivo_no_medicion"),
-        ),
-        punto=point.select(
-            "punto_nro", "nombre_punto", "descripcion_punto", "tipo_punto", "planta_canon", "maquina_gen_codigo",
-            c.concat_code(F.col("maquina_gen_codigo"), F.col("componente_codigo")).alias("componente_codigo_full"),
-        ),
-        planta=plants(t),
-        maquina_gen=point.select("maquina_gen_codigo", "maquina_gen_nombre", "tipo_maquina_gen", "descripcion").distinct(),
-        semana=iso_calendar(spark, *CALENDAR),
-        medicion_persona=measurement_people(t),
-        persona=people(t).select(*PERSON, "nombre_completo", "tipo_persona").distinct(),
-        orden=orders(t).drop("equipo_denom", "planta_canon", "responsable"),
-        orden_responsable=order_people(t),
-        maquina_control=machines(t).drop("maquina_nro"),
-        cobertura=coverage(t),
-        componente=components(t).join(state, "componente_codigo", "left"),
-        condicion_observada=observed_conditions(t),
-        condicion_tipo=kinds.drop("problema_raiz_codigo"),
-        condicion_problema=kinds.select("condicion_codigo", "problema_raiz_codigo"),
-        problema_raiz=root_problems(t),
-    )
-
+        )
 
-class Marts(dict):
-    """Marts by name, planned when first asked for."""
+    def point() -> DataFrame:
+        full = c.concat_code(F.col("maquina_gen_codigo"), F.col("componente_codigo"))
+        return points(t).select(
+            "punto_nro", "nombre_punto", "descripcion_punto", "tipo_punto", "planta_canon", "maquina_gen_codigo",
+            full.alias("componente_codigo_full"),
+        )
 
-    def __init__(self, f: Frames):
-        super().__init__()
-        self.frames = f
+    def component() -> DataFrame:
+        state = component_states(t).select("componente_codigo", F.col("estado_actual").alias("estado_componente"))
+        return components(t).join(state, "componente_codigo", "left")
 
-    def __missing__(self, name: str) -> DataFrame:
-        self[name] = MARTS[name](self.frames)
-        return self[name]
+    generator = ("maquina_gen_codigo", "maquina_gen_nombre", "tipo_maquina_gen", "descripcion")
+    return Frames(
+        {
+            "medicion": measured,
+            "punto": point,
+            "planta": lambda: plants(t),
+            "maquina_gen": lambda: points(t).select(*generator).distinct(),
+            "semana": lambda: iso_calendar(spark, *CALENDAR),
+            "medicion_persona": lambda: measurement_people(t),
+            "persona": lambda: people(t).select(*PERSON, "nombre_completo", "tipo_persona").distinct(),
+            "orden": lambda: orders(t).drop("equipo_denom", "planta_canon", "responsable"),
+            "orden_responsable": lambda: order_people(t),
+            "maquina_control": lambda: machines(t).drop("maquina_nro"),
+            "cobertura": lambda: coverage(t),
+            "componente": component,
+            "condicion_observada": lambda: observed_conditions(t),
+            "condicion_tipo": lambda: condition_types(t).drop("problema_raiz_codigo"),
+            "condicion_problema": lambda: condition_types(t).select("condicion_codigo", "problema_raiz_codigo"),
+            "problema_raiz": lambda: root_problems(t),
+        }
+    )
 
 
-def marts(spark: SparkSession, directory: str) -> Marts:
-    return Marts(frames(spark, directory))
+def marts(spark: SparkSession, directory: str) -> Lazy:
+    f = frames(spark, directory)
+    return Lazy({name: lambda build=build: build(f) for name, build in MARTS.items()})
 
 
-def history_sources(spark: SparkSession, directory: str, batch: int = 2) -> dict[str, DataFrame]:
+def history_sources(spark: SparkSession, directory: str, batch: int = 2) -> Lazy:
     """Sources of the history tables, as of the given batch."""
     t = Tables(spark, directory)
-    kinds = condition_types(t)
-    machine = machines(t)
-    return {
-        "mediciones": measurements(t, batch),
-        "mediciones_personas": measurement_people(t, batch),
-        "ordenes": orders(t, batch),
-        "ordenes_personas": order_people(t, batch),
-        "componentes": components(t),
-        "componentes_estado": component_states(t),
-        "condiciones_observadas": observed_conditions(t),
-        "condiciones_tipo": kinds,
-        "condiciones_problema": kinds.select("condicion_codigo", "problema_raiz_codigo"),
-        "problemas": root_problems(t),
-        "equipos": machine,
-        "tipos_equipo": machine.select(F.col("tipo_equipo").alias("tipo_equipo_codigo"), "familia_equipo").distinct(),
-        "plantas_tipos": machine.select("planta_canon", F.col("tipo_equipo").alias("tipo_equipo_codigo")),
-        "cobertura": coverage(t),
-        "personas": people(t),
-        "plantas": plants(t),
-        "semanas": iso_calendar(spark, *CALENDAR),
-    }
+    kind = F.col("tipo_equipo").alias("tipo_equipo_codigo")
+    return Lazy(
+        {
+            "mediciones": lambda: measurements(t, batch),
+            "mediciones_personas": lambda: measurement_people(t, batch),
+            "ordenes": lambda: orders(t, batch),
+            "ordenes_personas": lambda: order_people(t, batch),
+            "componentes": lambda: components(t),
+            "componentes_estado": lambda: component_states(t),
+            "condiciones_observadas": lambda: observed_conditions(t),
+            "condiciones_tipo": lambda: condition_types(t),
+            "condiciones_problema": lambda: condition_types(t).select("condicion_codigo", "problema_raiz_codigo"),
+            "problemas": lambda: root_problems(t),
+            "equipos": lambda: machines(t),
+            "tipos_equipo": lambda: machines(t).select(kind, "familia_equipo").distinct(),
+            "plantas_tipos": lambda: machines(t).select("planta_canon", kind),
+            "cobertura": lambda: coverage(t),
+            "personas": lambda: people(t),
+            "plantas": lambda: plants(t),
+            "semanas": lambda: iso_calendar(spark, *CALENDAR),
+        }
+    )
 
 
 # --- sheets ------------------------------------------------------------------
@@ -435,23 +439,32 @@ OPERATOR_ROW, TECHNICIAN_ROW = "Operador Panel", "Técnico Higiene"
 START_ROW, END_ROW, TONNAGE_ROW = "Hora inicio", "Hora termino", "Tratamiento tph"
 
 
-def sheet_span(t: Tables) -> tuple[date, int]:
-    """First Monday and number of weeks of the readings: one row to the driver."""
+SHEET_EPOCH = date(1990, 1, 1)  # a Monday
+SHEET_WEEKS = 52
+SHEET_IDS = ("planta", "bloque")
+
+
+def reading_span(t: Tables) -> tuple[date, date]:
+    """First and last Monday of the readings: one row to the driver."""
     day = F.col("l_shipdate").cast("date")
-    first, last = t.lineitem.agg(monday(F.min(day)), monday(F.max(day))).first()
-    return first, (last - first).days // 7 + 1
+    return tuple(t.lineitem.agg(monday(F.min(day)), monday(F.max(day))).first())
+
 
+def wide_sheets(t: Tables) -> DataFrame:
+    """Every plant's readings as wide sheets of 52 week columns with their header rows.
 
-def wide_sheets(t: Tables) -> tuple[DataFrame, date]:
-    """Every plant's readings as a wide sheet with its header rows, and the Monday of column 1."""
-    first, weeks = sheet_span(t)
-    place = points(t).select("punto_nro", "planta_canon", "nombre_punto")
+    A sheet is one plant and one run of 52 weeks, so its width stays the same
+    however long the history grows.
+    """
+    place = points(t).select("punto_nro", F.col("planta_canon").alias("planta"), "nombre_punto")
+    week = F.floor(F.datediff(monday(F.col("fecha_medicion")), F.lit(SHEET_EPOCH)) / 7).cast("int")
     rows = (
         cells_with_people(t)
         .join(place, "punto_nro", "left")
-        .withColumn("pos", (F.datediff(monday(F.col("fecha_medicion")), F.lit(first)) / 7 + 1).cast("int"))
+        .withColumn("bloque", F.floor(week / SHEET_WEEKS).cast("int"))
+        .withColumn("pos", week % SHEET_WEEKS + 1)
     )
-    head = rows.groupBy("planta_canon", "pos").agg(
+    head = rows.groupBy(*SHEET_IDS, "pos").agg(
         F.max("semana_nro").cast("string").alias(WEEK_ROW),
         F.max("fecha_medicion").cast("string").alias(DATE_ROW),
         F.max("operador_alias").alias(OPERATOR_ROW),
@@ -461,17 +474,25 @@ def wide_sheets(t: Tables) -> tuple[DataFrame, date]:
         (F.max("semana_nro") + 1100).cast("string").alias(TONNAGE_ROW),
     )
     labels = [WEEK_ROW, DATE_ROW, OPERATOR_ROW, TECHNICIAN_ROW, START_ROW, END_ROW, TONNAGE_ROW]
-    head_long = head.unpivot(["planta_canon", "pos"], labels, "etiqueta", "valor")
+    head_long = head.unpivot([*SHEET_IDS, "pos"], labels, "etiqueta", "valor")
     value_long = rows.select(
-        "planta_canon",
+        *SHEET_IDS,
         "pos",
         sheet_label(F.col("nombre_punto"), F.col("punto_nro")).alias("etiqueta"),
         F.col("concentracion_mg_m3").cast("string").alias("valor"),
     )
-    long = head_long.unionByName(value_long).withColumnRenamed("planta_canon", "planta")
-    positions = list(range(1, weeks + 1))
-    wide = long.groupBy("planta", "etiqueta").pivot("pos", positions).agg(F.max("valor"))
-    return wide.toDF("planta", "etiqueta", *[f"column{p}" for p in positions]), first
+    positions = list(range(1, SHEET_WEEKS + 1))
+    wide = (
+        head_long.unionByName(value_long)
+        .groupBy(*SHEET_IDS, "etiqueta")
+        .agg(*[F.max(F.when(F.col("pos") == p, F.col("valor"))).alias(f"column{p:02d}") for p in positions])
+    )
+    return wide
+
+
+def sheet_monday(position: Column) -> Column:
+    """Monday of a week column of sheet `bloque`."""
+    return F.date_add(F.lit(SHEET_EPOCH), (F.col("bloque") * SHEET_WEEKS + position - 1) * 7)
 
 
 # The week the sample order sheets cover.
