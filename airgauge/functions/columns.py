@@ -116,12 +116,17 @@ def shift_days(c: Column, days: int) -> Column:
     return F.date_add(c.cast("date"), days)
 
 
+def _thursday(c: Column) -> Column:
+    """Thursday of the date's week: its year is the ISO year, its day of year gives the week."""
+    return F.date_add(F.trunc(c.cast("date"), "week"), 3)
+
+
 def iso_year(c: Column) -> Column:
-    return F.extract(F.lit("YEAROFWEEK"), c.cast("date")).cast("int")
+    return F.year(_thursday(c))
 
 
 def iso_week(c: Column) -> Column:
-    return F.weekofyear(c.cast("date"))
+    return (F.floor((F.dayofyear(_thursday(c)) - 1) / 7) + 1).cast("int")
 
 
 def first_day(columns: dict[str, date], default: date) -> Column:

@@ -143,7 +143,7 @@ def sheet_to_measurements(spark: SparkSession, d: str) -> DataFrame:
     """Wide sheets to long rows, points found by name."""
     t = st.Tables(spark, d)
     year = c.iso_year(st.sheet_monday(rs.position_number(F.col(rs.POSITION))))
-    long = rs.melt_sheet(st.wide_sheets(t), st.SHEET_IDS, year)
+    long = rs.melt_sheet(st.landed_sheets(t), st.SHEET_IDS, year)
     catalog = st.points(t).select("punto_nro", F.col("punto_evaluacion").alias("nombre_catalogo"))
     return rs.join_normalized(long, catalog, "punto_evaluacion", "nombre_catalogo").select(
         "planta", "punto_nro", "anio", "semana_nro", "concentracion_mg_m3", "fecha_medicion", "operador_alias",

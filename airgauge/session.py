@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # no call-site capture per Column call: building a plan takes half the round trips
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 SHARED_DIR_KEY = "spark.checkpoint.dir"

@@ -22,6 +22,7 @@ from airgauge.operators.history import resolve_roles
 from airgauge.operators.orders import OrderSheet, reason_of, weight_of
 from airgauge.plans.frames import ROLES, Frames, Lazy
 from airgauge.plans.marts import MARTS
+from airgauge.session import shared_dir
 
 CUT = date(1998, 1, 5)  # a Monday, so no weekly cell straddles it
 CALENDAR = (date(1990, 1, 1), date(2030, 12, 31))
@@ -31,14 +32,35 @@ POINT_WEEK = ["punto_nro", "anio", "semana_nro"]
 PERSON = ["dni", "tipo_dni", "dni_pais_emisor"]
 
 
+# Columns of the given tables.
+TABLE_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
+
 class Tables:
-    """The given tables, opened when asked for."""
+    """The given tables, opened when asked for. Declared columns save a job that reads footers."""
 
     def __init__(self, spark: SparkSession, directory: str):
         self.spark, self.directory = spark, directory
 
     def __getattr__(self, name: str) -> DataFrame:
-        table = self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+        if name not in TABLE_SCHEMAS:
+            raise AttributeError(name)
+        table = self.spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{self.directory}/{name}.parquet")
         setattr(self, name, table)  # its schema is read once
         return table
 
@@ -96,16 +118,27 @@ def cells(t: Tables, batch: int = 2) -> DataFrame:
     if batch == 1:
         lines = lines.where(F.col("l_shipdate") < F.lit(CUT).cast("timestamp_ntz"))
     value = F.min("l_quantity") if batch == 1 else F.max("l_quantity")
-    return lines.groupBy(
-        F.col("l_suppkey").alias("punto_nro"), c.iso_year(day).alias("anio"), c.iso_week(day).alias("semana_nro")
-    ).agg(
-        (value / 10).alias("concentracion_mg_m3"),
+    week = F.col("_lunes")
+    # one cheap date per row groups the cells; ISO year and week follow per cell
+    grouped = lines.groupBy(F.col("l_suppkey").alias("punto_nro"), monday(day).alias("_lunes")).agg(
+        value.alias("_valor"),
         F.max(day).alias("fecha_medicion"),
-        F.format_string("%02d:00", (F.min("l_linenumber") + 6).cast("int")).alias("hora_inicio"),
-        F.format_string("%02d:30", (F.max("l_linenumber") + 12).cast("int")).alias("hora_termino"),
+        F.min("l_linenumber").alias("_primera"),
+        F.max("l_linenumber").alias("_ultima"),
         F.min("l_orderkey").alias("primera_orden"),
         F.max("l_orderkey").alias("ultima_orden"),
     )
+    return grouped.select(
+        "punto_nro",
+        c.iso_year(week).alias("anio"),
+        c.iso_week(week).alias("semana_nro"),
+        (F.col("_valor") / 10).alias("concentracion_mg_m3"),
+        "fecha_medicion",
+        F.format_string("%02d:00", F.col("_primera") + 6).alias("hora_inicio"),
+        F.format_string("%02d:30", F.col("_ultima") + 12).alias("hora_termino"),
+        "primera_orden",
+        "ultima_orden",
+    )
 
 
 def measurements(t: Tables, batch: int = 2) -> DataFrame:
@@ -479,15 +512,25 @@ def wide_sheets(t: Tables) -> DataFrame:
         *SHEET_IDS,
         "pos",
         sheet_label(F.col("nombre_punto"), F.col("punto_nro")).alias("etiqueta"),
-        F.col("concentracion_mg_m3").cast("string").alias("valor"),
-    )
-    positions = list(range(1, SHEET_WEEKS + 1))
-    wide = (
-        head_long.unionByName(value_long)
-        .groupBy(*SHEET_IDS, "etiqueta")
-        .agg(*[F.max(F.when(F.col("pos") == p, F.col("valor"))).alias(f"column{p:02d}") for p in positions])
+        F.col("concentracion_mg_m3").alias("valor"),
     )
-    return wide
+    keys = [*SHEET_IDS, "etiqueta"]
+    names = {p: f"column{p:02d}" for p in range(1, SHEET_WEEKS + 1)}
+
+    def spread(long: DataFrame) -> DataFrame:
+        # numbers stay numbers until they are spread: their maxima need no sort
+        wide = long.groupBy(*keys).agg(*[F.max(F.expr(f"case when pos = {p} then valor end")).alias(n) for p, n in names.items()])
+        return wide.selectExpr(*keys, *[f"cast({n} as string) {n}" for n in names.values()])
+
+    return spread(head_long).unionByName(spread(value_long))
+
+
+def landed_sheets(t: Tables) -> DataFrame:
+    """The sheets as files of the landing, which is how they arrive."""
+    folder = shared_dir(t.spark, "hojas")
+    wide = wide_sheets(t)
+    wide.write.parquet(folder)
+    return t.spark.read.schema(wide.schema).parquet(folder)
 
 
 def sheet_monday(position: Column) -> Column:
