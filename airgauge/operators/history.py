@@ -101,9 +101,10 @@ def resolve_roles(
     person: Sequence[str] = ("dni", "tipo_dni", "dni_pais_emisor"),
     alias: str = "alias_fuente",
 ) -> DataFrame:
-    """One row per (keys, role, person) for every role column whose alias is known.
+    """A row (keys, role, person) for every role column whose alias is known.
 
     The role columns are stacked first, so the alias map is joined once for all.
+    Rows are unique if the facts are; a link load takes distinct keys anyway.
     """
     norm = "_alias_norm"
     stacked = (
@@ -111,7 +112,6 @@ def resolve_roles(
         .unpivot(list(keys), list(roles), "rol", "_alias")
         .select(*keys, "rol", F.lower(F.trim(F.col("_alias"))).alias(norm))
         .where(F.col(norm).isNotNull())
-        .distinct()
     )
     known = aliases.select(F.lower(F.trim(F.col(alias))).alias(norm), *person).distinct()
     return stacked.join(known, norm).drop(norm)
@@ -203,6 +203,11 @@ SNAP_TO = "snap_valid_to"
 SNAP_COLUMNS = (SNAP_ID, SNAP_FROM, SNAP_TO)
 
 
+def _cols(names: Sequence[str]) -> list[Column]:
+    """Columns by exact name: sheet headers may hold dots and blanks."""
+    return [F.col(f"`{n}`") for n in names]
+
+
 def snapshot_check(
     src: DataFrame,
     stored: DataFrame | None,
@@ -219,10 +224,10 @@ def snapshot_check(
     """
     attributes = [c for c in src.columns if c not in key]
     checked = list(check_cols) if check_cols is not None else attributes
-    packed = F.struct(*attributes) if attributes else F.struct(F.lit(0).alias("_"))
+    packed = F.struct(*_cols(attributes)) if attributes else F.struct(F.lit(0).alias("_"))
     hashed = src.withColumn("_h", content_hash(src, checked or key))
     # one row per key, chosen alike on every run
-    fresh = hashed.groupBy(*key).agg(F.max(F.struct(F.col("_h").alias("h"), packed.alias("a"))).alias("_n"))
+    fresh = hashed.groupBy(*_cols(key)).agg(F.max(F.struct(F.col("_h").alias("h"), packed.alias("a"))).alias("_n"))
 
     def row(values: Column, start: Column, end: Column) -> Column:
         return F.struct(
@@ -234,11 +239,11 @@ def snapshot_check(
     never = F.lit(None)
     new = row(F.col("_n.a"), now, never)
     if stored is None:
-        result = fresh.select(*key, F.inline(F.array(new)))
+        result = fresh.select(*_cols(key), F.inline(F.array(new)))
     else:
         open_rows = stored.where(F.col(SNAP_TO).isNull())
         old = open_rows.select(
-            *key,
+            *_cols(key),
             F.struct(
                 content_hash(stored, checked or key).alias("h"), packed.alias("a"), F.col(SNAP_FROM).alias("f")
             ).alias("_o"),
@@ -250,8 +255,8 @@ def snapshot_check(
             .when(F.col("_n").isNull() | (F.col("_n.h") == F.col("_o.h")), F.array(kept))
             .otherwise(F.array(closed, new))
         )
-        result = fresh.join(old, list(key), "full").select(*key, F.inline(versions))
-        past = stored.where(F.col(SNAP_TO).isNotNull()).select(*result.columns)
+        result = fresh.join(old, list(key), "full").select(*_cols(key), F.inline(versions))
+        past = stored.where(F.col(SNAP_TO).isNotNull()).select(*_cols(result.columns))
         result = result.unionByName(past)
     identified = result.withColumn("_desde", F.date_format(SNAP_FROM, "yyyy-MM-dd HH:mm:ss.SSSSSS"))
     return identified.withColumn(SNAP_ID, record_key(identified, [*key, "_desde"])).drop("_desde")

@@ -100,8 +100,12 @@ def write_overwrite(df: DataFrame, path: str) -> None:
 
 
 def write_mart(df: DataFrame, path: str, by: Sequence[str] = ("anio",), max_rows_per_file: int = 10_000_000) -> None:
-    """A mart partitioned for pruning. A year that holds most rows is still written by many tasks."""
-    df.write.mode("overwrite").option("maxRecordsPerFile", max_rows_per_file).partitionBy(*by).parquet(path)
+    """A mart partitioned for pruning.
+
+    Rebalancing by the partition columns keeps files few, and AQE splits the
+    share of a year that holds most rows over several tasks.
+    """
+    df.hint("rebalance", *by).write.mode("overwrite").option("maxRecordsPerFile", max_rows_per_file).partitionBy(*by).parquet(path)
 
 
 def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:

@@ -186,20 +186,25 @@ def _person_columns() -> list[Column]:
     ]
 
 
-def people(t: Tables) -> DataFrame:
-    """Alias catalogue: two aliases per person."""
+def persons(t: Tables) -> DataFrame:
+    """One row per person."""
     kind = F.element_at(
         F.array(*[F.lit(x) for x in ("tecnico", "operador", "contratista")]), (F.col("c_custkey") % 3 + 1).cast("int")
     )
-    aliases = F.array(F.col("c_name"), F.concat(F.lit("p-"), F.col("c_custkey").cast("string")))
     return t.customer.select(
-        F.explode(aliases).alias("alias_fuente"),
         *_person_columns(),
         F.concat_ws(" ", "c_name", "c_mktsegment").alias("nombre_completo"),
         kind.alias("tipo_persona"),
     )
 
 
+def people(t: Tables) -> DataFrame:
+    """Alias catalogue: two aliases per person, a plain number and the padded full name."""
+    number = F.col("dni").cast("bigint")
+    aliases = F.array(F.format_string("Customer#%09d", number), F.concat(F.lit("p-"), F.col("dni")))
+    return persons(t).select(F.explode(aliases).alias("alias_fuente"), "*")
+
+
 def measurement_people(t: Tables, batch: int = 2) -> DataFrame:
     return resolve_roles(cells_with_people(t, batch), people(t), POINT_WEEK, ROLES)
 
@@ -418,7 +423,7 @@ def frames(spark: SparkSession, directory: str) -> Frames:
             "maquina_gen": lambda: points(t).select(*generator).distinct(),
             "semana": lambda: iso_calendar(spark, *CALENDAR),
             "medicion_persona": lambda: measurement_people(t),
-            "persona": lambda: people(t).select(*PERSON, "nombre_completo", "tipo_persona").distinct(),
+            "persona": lambda: persons(t),
             "orden": lambda: orders(t).drop("equipo_denom", "planta_canon", "responsable"),
             "orden_responsable": lambda: order_people(t),
             "maquina_control": lambda: machines(t).drop("maquina_nro"),
