@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The task functions below travel with the plan, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Rows of queries and of vectors one task multiplies at a time, and the queries
 # scored per step: together they bound a task's memory whatever the tables hold.
 QUERY_BLOCK = 1024

@@ -161,6 +161,29 @@ def test_topk_against_brute_force(spark, blocks):
         assert [got[i][k] for k in range(1, 5)] == [j for _, j in want]
 
 
+def test_task_functions_run_without_the_package(tmp_path):
+    """From another folder, where the Python workers cannot import this repository."""
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = (
+        f"import sys; sys.path.insert(0, {repo!r})\n"
+        "from airgauge.session import build_session\n"
+        "s = build_session(master='local[1]', **{'spark.ui.enabled': 'false'})\n"
+        "from airgauge.operators.vectors import topk_cosine\n"
+        "v = s.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], 'vec_id long, embedding array<float>')\n"
+        "q = s.createDataFrame([(1, [1.0, 0.1])], 'query_id long, query_vector array<float>')\n"
+        "q2 = q.unionByName(s.createDataFrame([(2, [0.1, 1.0])], q.schema))\n"
+        "assert [r.vec_id for r in topk_cosine(q, v, 1).collect()] == [1]\n"
+        "assert sorted(r.vec_id for r in topk_cosine(q2, v, 1, query_block=1).collect()) == [1, 2]\n"
+    )
+    env = {k: x for k, x in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, timeout=300)
+    assert done.returncode == 0, done.stderr.decode()[-2000:]
+
+
 def test_vector_table_checks_size(spark):
     path = shared_dir(spark, "v")
     ld.ensure_vector_table(spark, path, 2)
