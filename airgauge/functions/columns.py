@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 NULL_TOKEN = "_dbt_utils_surrogate_key_null_"
 ZERO_KEY = "-1"
 ISO_DAY_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
-ISO_MILLIS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
+ISO_MILLIS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'.000Z'"
 NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 EQUIPMENT_FAMILIES = {"SVE": "renovacion_aire", "SCP": "abatidor_polvo"}
 
@@ -102,13 +102,13 @@ def local_to_utc(c: Column, zone: str) -> Column:
     """Local wall-clock time in `zone` to UTC text with milliseconds."""
     # Reading the wall clock as NTZ keeps the session time zone out of the result.
     utc = F.convert_timezone(F.lit(zone), F.lit("UTC"), c.cast("timestamp_ntz"))
-    return F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss'.000Z'")
+    return F.date_format(utc, ISO_MILLIS_FORMAT)
 
 
 def utc_now() -> Column:
     return F.date_format(
         F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz")),
-        "yyyy-MM-dd'T'HH:mm:ss'.000Z'",
+        ISO_MILLIS_FORMAT,
     )
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from airgauge.operators import history as h
 from airgauge.plans.catalog import HUBS, LINKS, SATELLITES, HUB, LINK, SATELLITE
