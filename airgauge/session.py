@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -35,11 +34,12 @@ def build_session(app_name: str = "airgauge", master: str | None = None, **extra
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh path under the folder the cluster names for shared work.
 
-    The local fallback exists for tests only: it is taken, once per session,
-    when the session names no folder.
+    Without one, the warehouse serves if all tasks run in the driver's own process; on a cluster
+    that is an error, as no folder is then known to be shared.
     """
     base = spark.conf.get(SHARED_DIR_KEY, None)
     if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="airgauge-")
-        spark.conf.set(SHARED_DIR_KEY, base)
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError(f"{SHARED_DIR_KEY} must name a folder that driver and executors share")
+        base = spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/airgauge/{name}-{uuid.uuid4().hex}"
