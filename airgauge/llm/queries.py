@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from airgauge.llm import quality_rules, token_counts, token_files
+from airgauge.llm import language_id, packing, quality_rules, sentence_pieces, token_counts, token_files
 from airgauge.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_pieces.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
 
@@ -30,10 +34,26 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), path, limit=512)
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    learned = language_id.profiles(docs)
+    return language_id.classified(docs.select("doc_id", "text"), learned).select(
+        "doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score"
+    )
+
+
 QUERIES: dict[str, Query] = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op3_token_files": op3_token_files,
     "op4_token_counts": op4_token_counts,
+    "op6_best_fit_packing": op6_best_fit_packing,
     "op7_quality_rules": op7_quality_rules,
+    "op8_language_id": op8_language_id,
 }
 
 ORACLES: dict[str, str] = {}
