@@ -50,10 +50,33 @@ def kind_of(config: dict) -> str | None:
     return None
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies: itself if it prints, else one from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+class _Kept(dict):
+    """Ids by pre-token; one that is not here is encoded by the vocabulary's merges and kept."""
+
+    def __init__(self, model, known: dict[str, bytes]):
+        super().__init__(known)
+        self.tokenize = model.tokenize
+        self.letters = byte_letters()
+
+    def __missing__(self, piece: str) -> bytes:
+        written = piece.encode().decode("latin-1").translate(self.letters)
+        ids = array("I", [t.id for t in self.tokenize(written)]).tobytes()
+        if len(piece) <= LONGEST_KEPT:
+            self[piece] = ids
+        return ids
+
+
 class Tokens:
-    """Ids of whole texts, little-endian 32-bit. `known` are pre-tokens that are never dropped from the cache."""
+    """Ids of whole texts, little-endian 32-bit."""
 
-    def __init__(self, path: str, known: list[str] | None = None):
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -64,14 +87,7 @@ class Tokens:
         self.library.no_padding()
         self.split = re.compile(SPLITS[self.kind]).findall if self.kind else None
         self.odd = re.compile(NOT_PLAIN).search
-        self.fixed: dict[str, bytes] = {}
-        if known and self.kind:
-            self.fixed = self._encoded(known)
-        self.kept = dict(self.fixed)
-
-    def _encoded(self, pieces: list[str]) -> dict[str, bytes]:
-        out = self.library.encode_batch(pieces, add_special_tokens=False)
-        return {p: array("I", e.ids).tobytes() for p, e in zip(pieces, out)}
+        self.kept = _Kept(self.library.model, {})
 
     def pieces(self, text: str) -> list[str] | None:
         """Pre-tokens of a plain text, None for others."""
@@ -79,24 +95,10 @@ class Tokens:
             return None
         return self.split(text.lower() if self.kind == "word" else text)
 
-    def parts(self, text: str) -> list[bytes]:
-        """The ids of the text in order, as one byte string per pre-token."""
+    def ids(self, text: str) -> bytes:
         pieces = self.pieces(text)
         if pieces is None:
-            return [array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()]
-        try:
-            return list(map(self.kept.__getitem__, pieces))
-        except KeyError:
-            pass
-        if len(self.kept) > MOST_KEPT + len(self.fixed):
-            self.kept = dict(self.fixed)
-        kept = self.kept
-        found = self._encoded([p for p in set(pieces) if p not in kept])
-        kept.update((p, v) for p, v in found.items() if len(p) <= LONGEST_KEPT)
-        return [kept.get(p) or found[p] for p in pieces]
-
-    def ids(self, text: str) -> bytes:
-        return b"".join(self.parts(text))
-
-    def count(self, text: str) -> int:
-        return sum(map(len, self.parts(text))) // 4
+            return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
+        if len(self.kept) > MOST_KEPT:
+            self.kept.clear()
+        return b"".join(map(self.kept.__getitem__, pieces))
