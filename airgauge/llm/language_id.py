@@ -92,9 +92,9 @@ def profiles(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str
     """The profile of each language value, from about `most` of its documents that are not held out."""
     known = docs.where(~held_out(id) & F.col(text).isNotNull() & F.col(lang).isNotNull())
     known = known.select(F.col(id).alias("_id"), F.col(text).alias("_text"), F.col(lang).alias("_lang"))
-    # a row per language; a language's share of hash space bounds what is read of it
+    # a row per language, so it is broadcast; a language's share of hash space bounds what is read of it
     sizes = known.groupBy("_lang").agg(F.count(F.lit(1)).alias("_n"))
-    chosen = known.join(sizes, "_lang").where(F.pmod(F.xxhash64("_id", "_text"), F.lit(1_000_000)) * F.col("_n") < most * 1_000_000)
+    chosen = known.join(F.broadcast(sizes), "_lang").where(F.pmod(F.xxhash64("_id", "_text"), F.lit(1_000_000)) * F.col("_n") < most * 1_000_000)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters = kept_in_worker("letters", _letters)
