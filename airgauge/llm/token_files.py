@@ -128,7 +128,7 @@ def _narrow(blob: bytes, codec: pa.Codec) -> bytes:
 
 def _wide(blob: bytes, n: int) -> np.ndarray:
     width = blob[0]
-    return np.frombuffer(pa.Codec("zstd").decompress(blob[1:], width * n, asbytes=True), f"<u{width}").astype(np.uint32)
+    return np.frombuffer(pa.Codec("zstd").decompress(blob[1:], width * n, asbytes=True), f"<u{width}")
 
 
 def frequency_ranks(tokens: DataFrame) -> np.ndarray:
@@ -137,11 +137,17 @@ def frequency_ranks(tokens: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for blob, n in zip(batch.column("ids").to_pylist(), batch.column("n_tokens").to_pylist()):
-                c = np.bincount(_wide(blob, n))
-                if len(c) > len(total):
-                    total = np.concatenate([total, np.zeros(len(c) - len(total), np.int64)])
-                total[: len(c)] += c
+            held: list[np.ndarray] = []
+            size = 0
+            blobs, sizes = batch.column("ids").to_pylist(), batch.column("n_tokens").to_pylist()
+            for i, (blob, n) in enumerate(zip(blobs, sizes)):
+                held.append(_wide(blob, n))
+                size += n
+                if size < FILE_TOKENS and i < len(blobs) - 1:
+                    continue
+                c = np.bincount(np.concatenate(held), minlength=len(total))
+                c[: len(total)] += total
+                total, held, size = c, [], 0
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["id", "n"])
 
@@ -189,7 +195,7 @@ def write_files(docs: DataFrame, folder: str, path: str, end_id: int, id: str =
         def closed() -> pa.RecordBatch:
             # the name follows from what is in the file, so a second attempt replaces the first
             name = f"{ids[0] & (1 << 64) - 1:016x}-{zlib.crc32(np.array([ids, counts, crcs], '<i8').tobytes()):08x}.ids"
-            _put(fs, f"{place}/{name}", file_bytes(ids, counts, np.concatenate(parts)))
+            _put(fs, f"{place}/{name}", file_bytes(ids, counts, ranks[np.concatenate(parts)]))
             row = {"file": [name], "first_id": [ids[0]], "last_id": [ids[-1]], "n_docs": [len(ids)], "n_tokens": [sum(counts)]}
             for x in (ids, counts, parts, crcs):
                 x.clear()
@@ -206,7 +212,7 @@ def write_files(docs: DataFrame, folder: str, path: str, end_id: int, id: str =
                 ids.append(doc)
                 counts.append(n)
                 crcs.append(crc)
-                parts.append(ranks[_wide(blob, n)])
+                parts.append(_wide(blob, n))
         if ids:
             yield closed()
 

@@ -25,9 +25,9 @@ SPLITS = {
     "byte": rf"{ENDINGS}| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^\t\n\r {LETTERS}{NUMBERS}]+|[\t\n\r ]+(?![^\t\n\r ])|[\t\n\r ]+",
     "word": rf"{ENDINGS}|[{LETTERS}]+|[{NUMBERS}]|[^\t\n\r {LETTERS}{NUMBERS}]+",
 }
-NOT_PLAIN = r"[^\t\n\r -~\xa1-\xff]|<\|"
+NOT_PLAIN = r"[^\t\n\r -~\xa1-\xff]"
 
-MOST_KEPT = 400_000  # pre-tokens a worker keeps
+MOST_KEPT = 800_000  # pre-tokens a worker keeps
 LONGEST_KEPT = 64  # characters of a pre-token that is kept
 
 
@@ -91,7 +91,7 @@ class Tokens:
 
     def pieces(self, text: str) -> list[str] | None:
         """Pre-tokens of a plain text, None for others."""
-        if self.split is None or self.odd(text):
+        if self.split is None or "<|" in text or self.odd(text):
             return None
         return self.split(text.lower() if self.kind == "word" else text)
 
@@ -99,6 +99,7 @@ class Tokens:
         pieces = self.pieces(text)
         if pieces is None:
             return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
-        if len(self.kept) > MOST_KEPT:
-            self.kept.clear()
+        if len(self.kept) > MOST_KEPT:  # the half met last goes: frequent pre-tokens are met early
+            for piece in list(self.kept)[MOST_KEPT // 2 :]:
+                del self.kept[piece]
         return b"".join(map(self.kept.__getitem__, pieces))
