@@ -2,7 +2,7 @@
 
 A row per key would cost more than the key. A block's keys for one bucket go into one row instead, in
 document order: the documents once (delta-coded), how many keys each has there, and 56 bits of each key;
-the bucket number gives its top bits.
+its other bits, the top 6 of 62, are the same for all keys of a bucket.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BUCKET_KEYS = 2_000_000  # keys of one bucket, about: what one task holds
 LEAST_BITS = 6
+KEY_BITS = 62
 
 
 def bucket_bits(docs: DataFrame, text: str, chars_per_key: float) -> int:
@@ -36,7 +37,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 def window_keys(x: np.ndarray, n: int) -> np.ndarray:
-    """Hash of each run of n numbers: lengths are doubled, then the bits of n put together."""
+    """Hash of KEY_BITS bits of each run of n numbers: lengths are doubled, then the bits of n put together."""
     if len(x) < n:
         return np.zeros(0, np.uint64)
     out: np.ndarray | None = None
@@ -48,7 +49,7 @@ def window_keys(x: np.ndarray, n: int) -> np.ndarray:
             done += size
         size <<= 1
         if size > n:
-            return mixed(out + np.uint64(n))
+            return mixed(out + np.uint64(n)) >> np.uint64(64 - KEY_BITS)
         half = size >> 1
         power = mixed(power[:-half] * np.uint64(0x9E3779B97F4A7C15) + power[half:]) if len(power) > half else power[:0]
 
@@ -65,7 +66,7 @@ def _unpacked(blob: bytes, kind: str) -> np.ndarray:
 
 def sent(ids: np.ndarray, owner: np.ndarray, keys: np.ndarray, bits: int, extra: np.ndarray | None = None) -> Iterator[dict]:
     """Rows for the buckets of one block. `owner` (rising) is the place in `ids` of each key's document."""
-    bucket = (keys >> np.uint64(64 - bits)).astype(np.uint16 if bits <= 16 else np.uint32)
+    bucket = (keys >> np.uint64(KEY_BITS - bits)).astype(np.uint16 if bits <= 16 else np.uint32)
     order = np.argsort(bucket, kind="stable")
     cuts = np.flatnonzero(np.diff(bucket[order])) + 1
     for part in np.split(order, cuts) if len(order) else ():
@@ -73,6 +74,7 @@ def sent(ids: np.ndarray, owner: np.ndarray, keys: np.ndarray, bits: int, extra:
         first = np.flatnonzero(np.diff(own, prepend=-1))
         yield {
             "bucket": int(bucket[part[0]]),
+            "top": int(keys[part[0]] >> np.uint64(56)),
             "docs": _packed(np.diff(ids[own[first]], prepend=0)),
             "sizes": _packed(np.diff(first, append=len(own)).astype("<u4")),
             "keys": keys[part].view(np.uint8).reshape(-1, 8)[:, :7].tobytes(),
@@ -89,7 +91,7 @@ def received(table: pa.Table) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
         raw = np.frombuffer(row["keys"], np.uint8).reshape(-1, 7)
         wide = np.zeros((len(raw), 8), np.uint8)
         wide[:, :7] = raw
-        keys.append(wide.view("<u8").reshape(-1) | np.uint64(row["bucket"] << 56 & (1 << 64) - 1))
+        keys.append(wide.view("<u8").reshape(-1) | np.uint64(row["top"] << 56))
         extras.append(row["extra"])
     return np.concatenate(docs), np.concatenate(keys), extras
 
@@ -115,4 +117,7 @@ def blobs(cuts: np.ndarray, values: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer((cuts * width).astype(np.int32).tobytes()), data])
 
 
-SENT = "bucket int, docs binary, sizes binary, keys binary, extra binary"
+SENT = "bucket int, top int, docs binary, sizes binary, keys binary, extra binary"
+SENT_ARROW = pa.schema(
+    [("bucket", pa.int32()), ("top", pa.int32()), ("docs", pa.binary()), ("sizes", pa.binary()), ("keys", pa.binary()), ("extra", pa.binary())]
+)

@@ -67,19 +67,17 @@ def _sent_sets(docs: DataFrame, bits: int, text: str) -> DataFrame:
                 rows = list(buckets.sent(ids, owner, np.concatenate(sets), bits))
                 about = {
                     "bucket": int(ids[0]) % (1 << bits),
+                    "top": None,
                     "docs": buckets._packed(np.diff(ids, prepend=0)),
                     "sizes": buckets._packed(sizes.astype("<u4")),
                     "keys": None,
                     "extra": b"".join(xxhash.xxh3_128_digest(s.tobytes()) + struct.pack(ABOUT, i or 0, i is not None) for s, i in zip(sets, named)),
                 }
-                yield pa.RecordBatch.from_pylist([*rows, about], schema=SENT_ARROW)
+                yield pa.RecordBatch.from_pylist([*rows, about], schema=buckets.SENT_ARROW)
 
     return docs.select("uid", "doc_id", text).mapInArrow(send, buckets.SENT)
 
 
-SENT_ARROW = pa.schema([("bucket", pa.int32()), ("docs", pa.binary()), ("sizes", pa.binary()), ("keys", pa.binary()), ("extra", pa.binary())])
-
-
 def _counted(table: pa.Table) -> pa.Table:
     """In one bucket: the n-grams that two or more documents hold, back to their documents with their class of frequency."""
     about = table.filter(pa.compute.is_null(table["keys"]))

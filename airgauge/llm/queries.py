@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from airgauge.llm import jaccard_join, language_id, packing, quality_rules, sentence_pieces, token_counts, token_files
+from airgauge.llm import jaccard_join, language_id, packing, quality_rules, sentence_pieces, substring_dedup, token_counts, token_files
 from airgauge.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,10 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_pieces.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup_digests(table(spark, sf_dir, "documents"))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
 
@@ -53,6 +57,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_token_files": op3_token_files,
     "op4_token_counts": op4_token_counts,
     "op6_best_fit_packing": op6_best_fit_packing,
