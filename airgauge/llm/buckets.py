@@ -65,7 +65,10 @@ def _unpacked(blob: bytes, kind: str) -> np.ndarray:
 
 
 def sent(ids: np.ndarray, owner: np.ndarray, keys: np.ndarray, bits: int, extra: np.ndarray | None = None) -> Iterator[dict]:
-    """Rows for the buckets of one block. `owner` (rising) is the place in `ids` of each key's document."""
+    """Rows for the buckets of one block. `owner` (rising) is the place in `ids` of each key's document.
+
+    `ids` has a number for each document, or a row of numbers.
+    """
     bucket = (keys >> np.uint64(KEY_BITS - bits)).astype(np.uint16 if bits <= 16 else np.uint32)
     order = np.argsort(bucket, kind="stable")
     cuts = np.flatnonzero(np.diff(bucket[order])) + 1
@@ -75,19 +78,21 @@ def sent(ids: np.ndarray, owner: np.ndarray, keys: np.ndarray, bits: int, extra:
         yield {
             "bucket": int(bucket[part[0]]),
             "top": int(keys[part[0]] >> np.uint64(56)),
-            "docs": _packed(np.diff(ids[own[first]], prepend=0)),
+            "docs": _packed(np.diff(ids[own[first]], axis=0, prepend=np.zeros((1, *ids.shape[1:]), np.int64))),
             "sizes": _packed(np.diff(first, append=len(own)).astype("<u4")),
             "keys": keys[part].view(np.uint8).reshape(-1, 8)[:, :7].tobytes(),
             "extra": None if extra is None else _packed(extra[part]),
         }
 
 
-def received(table: pa.Table) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+def received(table: pa.Table, numbers: int = 1) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """All keys of a bucket's rows with the document of each, row after row, and the rows' extra blobs."""
-    docs, keys, extras = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], []
+    none = np.zeros(0, np.int64) if numbers == 1 else np.zeros((0, numbers), np.int64)
+    docs, keys, extras = [none], [np.zeros(0, np.uint64)], []
     for row in table.to_pylist():
-        ids, sizes = np.cumsum(_unpacked(row["docs"], "<i8")), _unpacked(row["sizes"], "<u4")
-        docs.append(np.repeat(ids, sizes))
+        ids = _unpacked(row["docs"], "<i8")
+        ids = np.cumsum(ids if numbers == 1 else ids.reshape(-1, numbers), axis=0)
+        docs.append(np.repeat(ids, _unpacked(row["sizes"], "<u4"), axis=0))
         raw = np.frombuffer(row["keys"], np.uint8).reshape(-1, 7)
         wide = np.zeros((len(raw), 8), np.uint8)
         wide[:, :7] = raw

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from airgauge.llm import jaccard_join, language_id, packing, quality_rules, sentence_pieces, substring_dedup, token_counts, token_files
+from airgauge.llm import jaccard_join, language_id, packing, quality_rules, sentence_pieces, substring_dedup, suffix_dedup, token_counts, token_files
 from airgauge.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), path, limit=512)
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup_digests(table(spark, sf_dir, "documents"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
@@ -60,6 +64,7 @@ QUERIES: dict[str, Query] = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_token_files": op3_token_files,
     "op4_token_counts": op4_token_counts,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_quality_rules": op7_quality_rules,
     "op8_language_id": op8_language_id,
