@@ -34,6 +34,7 @@ WORDS = 5
 PERCENT = 75
 FRAGMENTS = 8
 CHUNK_PAIRS = 20_000  # pairs whose documents one task holds a fragment of
+COMPARED = 200  # comparisons a head n-gram may cost on average before pairs are narrowed down once more
 LOWER = bytes(range(256)).translate(bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123))))
 CHARS_PER_KEY = 6.5
 ABOUT = "<q?"  # what follows a set's digest: the document's id, and whether it has one
@@ -148,7 +149,10 @@ def _ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _heads(sets: DataFrame) -> DataFrame:
-    """The head of each ordered set: what two linked documents share an n-gram of. gram, uid, n, lone."""
+    """The head of each ordered set: what two linked documents share an n-gram of.
+
+    gram, uid, n, lone (n-grams no other document holds), room (n-grams from this one on that others hold).
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -158,12 +162,14 @@ def _heads(sets: DataFrame) -> DataFrame:
             # n-grams that no other document holds come first in the order and link nothing
             size = n - -(-PERCENT * n // 100) + 1 - (n - held)
             grams = [np.frombuffer(g, "<i8", s) for g, s in zip(batch.column("grams").to_pylist(), size.tolist())]
+            place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(grams)), *(pa.array(np.repeat(x, size)) for x in (batch.column("uid").to_numpy(), n, n - held))],
-                names=["gram", "uid", "n", "lone"],
-            )
+                [pa.array(np.concatenate(grams)), *(pa.array(np.repeat(x, size)) for x in (batch.column("uid").to_numpy(), n, n - held)),
+                 pa.array(np.repeat(held, size) - place)],
+                names=["gram", "uid", "n", "lone", "room"],
+            )
 
-    rows = sets.select("uid", "n", "held", "grams").mapInArrow(cut, "gram bigint, uid bigint, n bigint, lone bigint")
+    rows = sets.select("uid", "n", "held", "grams").mapInArrow(cut, "gram bigint, uid bigint, n bigint, lone bigint, room bigint")
     shared = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("gram")
     return stored(rows.join(shared, "gram"), "heads")
 
@@ -250,8 +256,13 @@ def _linked(pairs: DataFrame, fragments: DataFrame, parts: int = FRAGMENTS) -> D
     return stored(total.where(100 * F.col("common") >= PERCENT * union).select("a", "b"), "linked")
 
 
-def _fits(na: Column | str, nb: Column | str) -> Column:
-    return 100 * F.least(na, nb) >= PERCENT * F.greatest(na, nb)
+def _fits(na: str, room_a: str, nb: str, room_b: str) -> Column:
+    """Whether two sets can be similar enough if this is the first n-gram they share: all others come after it.
+
+    A pair that cannot be is refused at its first shared n-gram as at the later ones, so none is lost.
+    """
+    most = F.least(F.col(room_a), F.col(room_b))
+    return 100 * most >= PERCENT * (F.col(na) + F.col(nb) - most)
 
 
 def _class_links(sets: DataFrame) -> DataFrame:
@@ -259,8 +270,8 @@ def _class_links(sets: DataFrame) -> DataFrame:
     heads = _heads(sets)
     fragments = _fragments(sets)
     # each document with the most typical one of those it shares a head n-gram with: fewest n-grams of its own
-    first = heads.groupBy("gram").agg(F.min(F.struct("lone", "uid", "n")).alias("h"))
-    near = heads.join(first, "gram").where((F.col("h.uid") != F.col("uid")) & _fits(F.col("n"), F.col("h.n")))
+    first = heads.groupBy("gram").agg(F.min(F.struct("lone", "uid", "n", "room")).alias("h"))
+    near = heads.join(first, "gram").where((F.col("h.uid") != F.col("uid")) & _fits("n", "room", "h.n", "h.room"))
     best = near.groupBy("uid", "n").agg(F.min("h").alias("h"))
     pairs = stored(best.select(F.col("uid").alias("a"), F.col("h.uid").alias("b"), F.col("n").alias("na"), F.col("h.n").alias("nb")), "pairs")
     tried, links = pairs.select("a", "b"), _linked(pairs, fragments)
@@ -268,7 +279,7 @@ def _class_links(sets: DataFrame) -> DataFrame:
     for turn in range(4):
         roots = components(links)
         rows = heads.join(roots.withColumnRenamed("node", "uid"), "uid", "left").withColumn("root", F.coalesce("root", "uid"))
-        by = rows.groupBy("gram", "root").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("lone", "uid", "n")).alias("h"))
+        by = rows.groupBy("gram", "root").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("lone", "uid", "n", "room")).alias("h"))
         main = by.groupBy("gram").agg(
             F.max(F.struct("c", "root", "h")).alias("m"), F.sum("c").alias("size"), F.count(F.lit(1)).alias("roots")
         ).where("roots > 1")
@@ -277,13 +288,13 @@ def _class_links(sets: DataFrame) -> DataFrame:
         cost = minor.agg(F.sum("size")).first()[0] or 0
         if not cost:
             break
-        last = turn == 3 or cost <= 4 * n_heads
+        last = turn == 3 or cost <= COMPARED * n_heads
         if last:  # every two documents in different components that share a head n-gram
-            r = open_rows.select("gram", F.col("uid").alias("_b"), F.col("n").alias("_nb"), F.col("root").alias("_root"))
-            new = minor.join(r, "gram").where((F.col("root") != F.col("_root")) & _fits(F.col("n"), F.col("_nb")))
+            r = open_rows.select("gram", F.col("uid").alias("_b"), F.col("n").alias("_nb"), F.col("room").alias("_room"), F.col("root").alias("_root"))
+            new = minor.join(r, "gram").where((F.col("root") != F.col("_root")) & _fits("n", "room", "_nb", "_room"))
             new = new.select(F.col("uid").alias("a"), F.col("_b").alias("b"), F.col("n").alias("na"), F.col("_nb").alias("nb"))
         else:  # first the most typical document of the largest component there
-            new = minor.where(_fits(F.col("n"), F.col("m.h.n")))
+            new = minor.where(_fits("n", "room", "m.h.n", "m.h.room"))
             new = new.select(F.col("uid").alias("a"), F.col("m.h.uid").alias("b"), F.col("n").alias("na"), F.col("m.h.n").alias("nb"))
         swap = F.col("a") < F.col("b")
         ordered = [F.when(swap, F.col(x)).otherwise(F.col(y)).alias(z) for x, y, z in (("b", "a", "a"), ("a", "b", "b"), ("nb", "na", "na"), ("na", "nb", "nb"))]
