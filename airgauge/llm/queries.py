@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from airgauge.llm import jaccard_join, language_id, packing, quality_rules, sentence_pieces, substring_dedup, suffix_dedup, token_counts, token_files
+from airgauge.llm import embedding_dedup, jaccard_join, language_id, packing, quality_rules, sentence_pieces, substring_dedup, suffix_dedup, token_counts, token_files
 from airgauge.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -68,6 +72,7 @@ QUERIES: dict[str, Query] = {
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_quality_rules": op7_quality_rules,
     "op8_language_id": op8_language_id,
+    "op9_embedding_dedup": op9_embedding_dedup,
     "op10_jaccard_join": op10_jaccard_join,
 }
 
