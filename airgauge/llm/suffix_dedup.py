@@ -1,13 +1,13 @@
 """Exact substring dedup with suffix arrays of shards.
 
 Only stretches of text that may be repeated are sorted: of each run of short windows that one long string
-spans, the one with the smallest hash is counted over the corpus, and the stretches around those that two
-documents hold form the shards. Documents that share their smallest repeated window share a shard (a very
-common one is split over several). A shard's suffixes are sorted by doubling in the manner of Larsson and
+spans, the one with the smallest hash is counted over the corpus, with a byte of what follows and precedes
+it, and the stretches around those that two documents hold form the shards. Stretches with the same smallest
+repeated window share a shard (a very common one is split over several). A shard's suffixes are sorted by doubling in the manner of Larsson and
 Sadakane: only groups that are not yet told apart are sorted again. Kasai's walk gives the common prefixes,
 capped at the length asked for, and they give the equal strings. Of each, the smallest document is known in
-the shard; the shards' sorted strings are then merged by binary search over their hashes, which shows where
-a still smaller document is elsewhere.
+the shard; strings whose short window other shards hold too are then merged by binary search over the sorted
+hashes of all shards, which shows where a still smaller document is elsewhere.
 """
 
 from __future__ import annotations
@@ -31,6 +31,7 @@ LENGTH = 50
 SEED = 20  # bytes of the short windows
 SHARD_BYTES = 3_000_000
 MOST_ALIKE = 2_000  # documents of one smallest window that share a shard
+MOST_COUNTED = 65_535  # documents of one short window, as far as they are told apart
 BLOCK_CHARS = 1_500_000
 CHARS_PER_KEY = 16.0
 LAST = np.iinfo(np.int64).max  # the order of documents without an id: after all others
@@ -147,26 +148,47 @@ def sliding_min(x: np.ndarray, n: int) -> np.ndarray:
     return x
 
 
-def seeds(texts: list[bytes], n: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of all texts in a row: places of the short windows that some string of n bytes picks, their keys, and
-    the number of the text of each."""
-    sizes = np.array([len(t) for t in texts], np.int64)
-    raw = np.frombuffer(b"".join(texts), np.uint8)
-    if len(raw) < n:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    keys = buckets.window_keys(raw.astype(np.uint64), k) + np.uint64(1)
-    span = n - k + 1
-    least = sliding_min(keys, span)
-    # no string crosses from one text into the next
-    whole = np.stack([np.maximum(sizes - n + 1, 0), np.minimum(sizes, n - 1)], axis=1).reshape(-1)
-    inside = np.repeat(np.tile([True, False], len(sizes)), whole)[: len(least)]
-    least = np.where(inside, least, np.uint64(0))
-    edge = np.zeros(span - 1, np.uint64)
-    top = np.uint64(0xFFFFFFFFFFFFFFFF)
-    around = top - sliding_min(top - np.concatenate([edge, least, edge]), span)
-    at = np.flatnonzero(around == keys)
-    ends = np.cumsum(sizes)
-    return at, keys[at] - np.uint64(1), np.searchsorted(ends, at, side="right")
+class Seeds:
+    """Of texts in a row: the short windows of k bytes that some string of n bytes picks (its smallest hash)."""
+
+    def __init__(self, texts: list[bytes], n: int, k: int):
+        sizes = np.array([len(t) for t in texts], np.int64)
+        raw = np.frombuffer(b"".join(texts), np.uint8)
+        self.n, self.span, self.ends = n, n - k + 1, np.cumsum(sizes)
+        self.starts = self.ends - sizes
+        self.keys = buckets.window_keys(raw.astype(np.uint64), k) if len(raw) >= n else np.zeros(0, np.uint64)
+        # no string crosses from one text into the next
+        whole = np.stack([np.maximum(sizes - n + 1, 0), np.minimum(sizes, n - 1)], axis=1).reshape(-1)
+        self.inside = np.repeat(np.tile([True, False], len(sizes)), whole)[: max(0, len(raw) - n + 1)]
+        if not len(self.keys):
+            self.at = np.zeros(0, np.int64)
+        else:
+            # one is added, so that no key is as small as what stands for "no string"
+            least = np.where(self.inside, sliding_min(self.keys, self.span) + np.uint64(1), np.uint64(0))
+            edge = np.zeros(self.span - 1, np.uint64)
+            top = np.uint64(0xFFFFFFFFFFFFFFFF)
+            around = top - sliding_min(top - np.concatenate([edge, least, edge]), self.span)
+            self.at = np.flatnonzero(around == self.keys + np.uint64(1))
+        self.owner = np.searchsorted(self.ends, self.at, side="right")
+
+    def beside(self, by: int) -> np.ndarray:
+        """A byte of the key `by` places further on, in the same text; 0 if there is none."""
+        there = self.at + by
+        ok = (there >= self.starts[self.owner]) & (there < self.ends[self.owner] - (self.n - self.span))
+        out = np.zeros(len(there), np.uint8)
+        out[ok] = (self.keys[there[ok]] % np.uint64(255)).astype(np.uint8) + np.uint8(1)
+        return out
+
+    def strings(self, chosen: np.ndarray) -> np.ndarray:
+        """For each place, whether a string starts there that picks one of `at` for which `chosen` holds."""
+        if not len(self.keys):
+            return self.inside
+        marked = self.keys << np.uint64(1)
+        marked[self.at] |= (~chosen).astype(np.uint64)
+        return self.inside & (sliding_min(marked, self.span) & np.uint64(1) == 0)
+
+
+SIDES = np.dtype([("right", "u1"), ("left", "u1")])
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
@@ -178,107 +200,171 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
 def _send_seeds(bits: int, n: int, k: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in _blocks(batches):
-            _, keys, owner = seeds(texts, n, k)
-            order = np.lexsort((keys, owner))
-            keys, owner = keys[order], owner[order]
+            seeds = Seeds(texts, n, k)
+            keys, owner = seeds.keys[seeds.at], seeds.owner
+            # of a string of n bytes, so many on one side of the short window or the other are inside
+            sides = np.zeros(len(keys), SIDES)
+            sides["right"], sides["left"] = seeds.beside((n - k) // 2), seeds.beside(-((n - k) // 2))
+            order = np.lexsort((sides["right"], sides["left"], keys, owner))
+            keys, owner, sides = keys[order], owner[order], sides[order]
             new = np.ones(len(keys), bool)
-            new[1:] = (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])
-            rows = list(buckets.sent(part.column("uid").to_numpy(), owner[new], keys[new], bits))
+            new[1:] = (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1]) | (sides[1:] != sides[:-1])
+            rows = list(buckets.sent(part.column("uid").to_numpy(), owner[new], keys[new], bits, sides[new]))
             yield pa.RecordBatch.from_pylist(rows, schema=buckets.SENT_ARROW)
 
     return send
 
 
+def _groups(*columns: np.ndarray) -> np.ndarray:
+    """A number for each row, equal for equal rows."""
+    order = np.lexsort(columns)
+    new = np.zeros(len(order), bool)
+    for c in columns:
+        new[1:] |= c[order][1:] != c[order][:-1]
+    out = np.empty(len(order), np.int64)
+    out[order] = np.cumsum(new)
+    return out
+
+
 def _shared_seeds(table: pa.Table) -> pa.Table:
-    """In one bucket: the short windows of two or more documents, with how many hold them in powers of two."""
-    docs, keys, _ = buckets.received(table)
+    """In one bucket: short windows that are repeated with the bytes on one of their sides, for each document once,
+    with how many documents hold them."""
+    docs, keys, extras = buckets.received(table)
+    sides = buckets.extras_of(extras, SIDES)
+    _, counts = buckets.run_lengths(keys)
+    at = np.flatnonzero(counts > 1)
+    docs, keys, sides = docs[at], keys[at], sides[at]
+    ok = np.zeros(len(keys), bool)
+    for side in ("right", "left"):
+        there = np.flatnonzero(sides[side])
+        group = _groups(keys[there], sides[side][there])
+        ok[there] |= np.bincount(group, minlength=1)[group] > 1
+    at = np.flatnonzero(ok)
+    pair = _groups(keys[at], docs[at])
+    at = np.sort(at[np.unique(pair, return_index=True)[1]])
+    docs, keys = docs[at], keys[at]
     _, counts = buckets.run_lengths(keys)
     at = np.flatnonzero(counts > 1)
     own = docs[at]
     cuts = np.append(np.flatnonzero(np.diff(own, prepend=own[:1] - 1)), len(own)) if len(own) else np.zeros(1, np.int64)
-    often = np.log2(counts[at]).astype(np.uint8)
-    return pa.table({"uid": pa.array(own[cuts[:-1]], pa.int64()), "keys": buckets.blobs(cuts, keys[at]), "often": buckets.blobs(cuts, often)})
+    return pa.table({"uid": pa.array(own[cuts[:-1]], pa.int64()), "keys": buckets.blobs(cuts, keys[at]), "held": buckets.blobs(cuts, counts[at].astype("<u4"))})
 
 
 def _stretches(n: int, k: int):
-    """Of each document: the bytes around its repeated short windows, and the shard they go to."""
+    """The stretches of each document where strings with repeated short windows are, and the shard of each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in _blocks(batches):
-            at, keys, owner = seeds(texts, n, k)
-            borders = np.searchsorted(owner, np.arange(len(texts) + 1))
-            starts = np.cumsum([0, *map(len, texts)])
-            shard, begins, sizes, data = [], [], [], []
-            for i, cells in enumerate(part.column("answers").to_pylist()):
-                known = np.frombuffer(b"".join(c["keys"] for c in cells), "<u8")
-                often = np.frombuffer(b"".join(c["often"] for c in cells), np.uint8)
-                by = np.argsort(known)
-                known = known[by]
-                mine = slice(borders[i], borders[i + 1])
-                place = at[mine] - starts[i]
-                place = place[known[np.minimum(np.searchsorted(known, keys[mine]), len(known) - 1)] == keys[mine]]
-                text = texts[i]
-                change = np.zeros(len(text) + 1, np.int32)
-                np.add.at(change, np.maximum(place - (n - k), 0), 1)
-                np.add.at(change, np.minimum(place + n, len(text)), -1)
-                edges = np.flatnonzero(np.diff(np.cumsum(change[:-1]) > 0, prepend=False, append=False))
-                begin, end = edges[::2], edges[1::2]
-                shard.append((int(known[0]), int(2 ** int(often[by[0]])) // MOST_ALIKE))
-                begins.append(begin.astype("<u4").tobytes())
-                sizes.append((end - begin).astype("<u4").tobytes())
-                data.append(b"".join(text[b:e] for b, e in zip(begin.tolist(), end.tolist())))
+            seeds = Seeds(texts, n, k)
+            found = [(_cells(c, "keys", "<u8"), _cells(c, "held", "<u4")) for c in part.column("answers").to_pylist()]
+            known = np.concatenate([f[0] for f in found])
+            held = np.concatenate([f[1] for f in found])
+            whose = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
+            by = np.lexsort((known, whose))
+            known, held, whose = known[by], held[by], whose[by]
+            borders = np.searchsorted(whose, np.arange(len(texts) + 1))
+
+            def holders(keys: np.ndarray, owner: np.ndarray) -> np.ndarray:
+                """How many documents hold each key, 0 for those not known of its text (`owner` rising)."""
+                out = np.zeros(len(keys), np.uint32)
+                cuts = np.searchsorted(owner, np.arange(len(texts) + 1))
+                for i in range(len(texts)):
+                    mine, theirs = slice(cuts[i], cuts[i + 1]), slice(borders[i], borders[i + 1])
+                    k, h = known[theirs], held[theirs]
+                    if len(k):
+                        at = np.minimum(np.searchsorted(k, keys[mine]), len(k) - 1)
+                        out[mine] = np.where(k[at] == keys[mine], h[at], 0)
+                return out
+
+            open_ = np.flatnonzero(seeds.strings(holders(seeds.keys[seeds.at], seeds.owner) > 0))
+            if not len(open_):
+                continue
+            # runs of bytes: a string starts where the last one has not ended, in the same text
+            text = np.searchsorted(seeds.ends, open_, side="right")
+            new = np.flatnonzero((np.diff(open_, prepend=-n) > n) | (np.diff(text, prepend=-1) != 0))
+            begin, text = open_[new], text[new]
+            end = np.append(open_[new[1:] - 1], open_[-1]) + n
+            raw = b"".join(texts)
+            data = [raw[b:e] for b, e in zip(begin.tolist(), end.tolist())]
+            inner = Seeds(data, n, k)
+            keys = inner.keys[inner.at]
+            much = np.minimum(holders(keys, text[inner.owner]), MOST_COUNTED).astype("<u2")
+            # the smallest repeated window of the stretch names its shard
+            cuts = np.searchsorted(inner.owner, np.arange(len(data) + 1))
+            shown = np.where(much > 0, keys, np.uint64(LAST))
+            name = np.minimum.reduceat(shown, cuts[:-1])
+            common = np.minimum.reduceat(np.where(shown == np.repeat(name, np.diff(cuts)), much, MOST_COUNTED), cuts[:-1])
             yield pa.RecordBatch.from_arrays(
-                [part.column("uid"), part.column("order"), pa.array([x for x, _ in shard], pa.int64()), pa.array([x for _, x in shard], pa.int64()),
-                 pa.array(begins, pa.binary()), pa.array(sizes, pa.binary()), pa.array(data, pa.binary())],
-                names=["uid", "order", "alike", "splits", "begins", "sizes", "data"],
+                [part.column("uid").take(pa.array(text)), part.column("order").take(pa.array(text)), pa.array(name.astype(np.int64)),
+                 pa.array(common.astype(np.int64) // MOST_ALIKE), pa.array(begin - seeds.starts[text]), buckets.blobs(cuts, much), pa.array(data, pa.binary())],
+                names=["uid", "order", "alike", "splits", "begin", "held", "data"],
             )
 
     return run
 
 
-def _sorted_shards(bits: int, n: int):
-    """Shards out of the rows of a partition: strings repeated inside are settled, the smallest documents' strings go to buckets."""
+def _cells(cells: list[dict], name: str, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(c[name] for c in cells), kind)
+
+
+def _sorted_shards(bits: int, n: int, k: int):
+    """Shards out of the rows of a partition: strings repeated inside are settled, those that may be elsewhere go to buckets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[int, int, np.ndarray, np.ndarray, bytes]] = []
+        held: list[tuple] = []
         size = 0
         for batch in batches:
-            for uid, order, b, s, data in zip(*(batch.column(c).to_pylist() for c in ("uid", "order", "begins", "sizes", "data"))):
-                held.append((uid, order, np.frombuffer(b, "<u4"), np.frombuffer(s, "<u4"), data))
-                size += len(data)
+            for row in zip(*(batch.column(c).to_pylist() for c in ("uid", "order", "begin", "held", "data"))):
+                held.append(row)
+                size += len(row[-1])
                 if size >= SHARD_BYTES:
-                    yield _shard(held, bits, n)
+                    yield _shard(held, bits, n, k)
                     held, size = [], 0
         if size:
-            yield _shard(held, bits, n)
+            yield _shard(held, bits, n, k)
 
     return run
 
 
-def _shard(held: list, bits: int, n: int) -> pa.RecordBatch:
-    text = np.frombuffer(b"".join(h[4] for h in held), np.uint8)
-    parts = np.array([len(h[2]) for h in held])
-    begins = np.concatenate([h[2] for h in held]).astype(np.int64)
-    sizes = np.concatenate([h[3] for h in held]).astype(np.int64)
+def _shard(held: list[tuple], bits: int, n: int, k: int) -> pa.RecordBatch:
+    held.sort(key=lambda h: (h[0], h[2]))
+    uids, orders, begins = (np.array([h[i] for h in held], np.int64) for i in range(3))
+    data = [h[4] for h in held]
+    text = np.frombuffer(b"".join(data), np.uint8)
+    sizes = np.array([len(d) for d in data])
     ends = np.cumsum(sizes)
-    owner = np.repeat(np.repeat(np.arange(len(held)), parts), sizes)  # document of each byte
-    place = np.arange(len(text)) + np.repeat(begins - (ends - sizes), sizes)  # its place there
+    owner = np.repeat(np.arange(len(held)), sizes)  # stretch of each byte
+    place = np.arange(len(text)) + np.repeat(begins - (ends - sizes), sizes)  # its place in the document
     valid = np.arange(len(text)) + n <= np.repeat(ends, sizes)
-    orders = np.array([h[1] for h in held], np.int64)
-    uids = np.array([h[0] for h in held], np.int64)
     gone, smallest = equal_strings(text, valid, orders[owner], n)
+    # a short window that as many documents hold here as anywhere has nothing to do with other shards
+    seeds = Seeds(data, n, k)
+    much = np.frombuffer(b"".join(h[3] for h in held), "<u2").astype(np.int64)
+    keys = seeds.keys[seeds.at]
+    at = np.flatnonzero(much)
+    one = at[np.unique(_groups(keys[at], uids[seeds.owner[at]]), return_index=True)[1]] if len(at) else at
+    here = np.zeros(len(keys), np.int64)
+    here[one] = 1
+    group = _groups(keys)
+    here = np.bincount(group, weights=here, minlength=1).astype(np.int64)[group] if len(keys) else here
+    away = np.zeros(len(text), bool)
+    elsewhere = seeds.strings((much > 0) & ((here < much) | (much >= MOST_COUNTED)))
+    away[: len(elsewhere)] = elsewhere
+    smallest = smallest[away[smallest]]
+    documents, document = np.unique(uids, return_inverse=True)
+    about = np.stack([documents, orders[np.unique(uids, return_index=True)[1]]], axis=1)
+    owner = document[owner]
     keys = buckets.window_keys(text.astype(np.uint64), n)[smallest]
-    about = np.stack([uids, orders], axis=1)
     rows = list(buckets.sent(about, owner[smallest], keys, bits, place[smallest].astype("<u4")))
     # runs of places that go, for each document, ride along to a bucket
-    step = np.flatnonzero((np.diff(gone, prepend=-2) != 1) | (np.diff(owner[gone], prepend=-1) != 0))
+    step = np.flatnonzero((np.diff(gone, prepend=-2) != 1) | (np.diff(owner[gone], prepend=-1) != 0) | (np.diff(place[gone], prepend=-2) != 1))
     if len(step):
         long = np.diff(step, append=len(gone))
         who = owner[gone[step]]
         first = np.flatnonzero(np.diff(who, prepend=-1))
         rows.append({
             "bucket": int(uids[0]) % (1 << bits), "top": None, "keys": None,
-            "docs": buckets._packed(np.diff(uids[who[first]], prepend=0)),
+            "docs": buckets._packed(np.diff(documents[who[first]], prepend=0)),
             "sizes": buckets._packed(np.diff(first, append=len(who)).astype("<u4")),
             "extra": buckets._packed(np.stack([place[gone[step]], long], axis=1).astype("<u4")),
         })
@@ -329,13 +415,13 @@ def dedup_digests(docs: DataFrame, n: int = LENGTH, id: str = "doc_id", text: st
     # one shuffle of the texts serves all three uses below: Spark reuses equal exchanges of a plan
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id).cast("bigint").alias("doc_id"), order.alias("order"), F.col(text).alias("text"))
     rows = rows.repartition(parts, "uid")
-    found = rows.mapInArrow(_send_seeds(bits, n, k), buckets.SENT).groupBy("bucket").applyInArrow(_shared_seeds, "uid bigint, keys binary, often binary")
-    found = found.groupBy("uid").agg(F.collect_list(F.struct("keys", "often")).alias("answers"))
-    schema = "uid bigint, order bigint, alike bigint, splits bigint, begins binary, sizes binary, data binary"
+    found = rows.mapInArrow(_send_seeds(bits, n, k), buckets.SENT).groupBy("bucket").applyInArrow(_shared_seeds, "uid bigint, keys binary, held binary")
+    found = found.groupBy("uid").agg(F.collect_list(F.struct("keys", "held")).alias("answers"))
+    schema = "uid bigint, order bigint, alike bigint, splits bigint, begin bigint, held binary, data binary"
     stretches = rows.join(found, "uid").mapInArrow(_stretches(n, k), schema)
     shard = F.xxhash64("alike", F.pmod(F.xxhash64("uid"), F.col("splits") + 1))
-    shards = stretches.withColumn("shard", shard).repartition(parts, "shard").sortWithinPartitions("shard", "order")
-    sent = shards.select("uid", "order", "begins", "sizes", "data").mapInArrow(_sorted_shards(bits, n), buckets.SENT)
+    shards = stretches.withColumn("shard", shard).repartition(parts, "shard").sortWithinPartitions("shard", "uid", "begin")
+    sent = shards.select("uid", "order", "begin", "held", "data").mapInArrow(_sorted_shards(bits, n, k), buckets.SENT)
     removed = sent.groupBy("bucket").applyInArrow(_merged, "uid bigint, runs binary")
     removed = removed.groupBy("uid").agg(F.collect_list("runs").alias("runs"))
 
