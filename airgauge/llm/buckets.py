@@ -16,9 +16,11 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from airgauge.llm.common import release
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-BUCKET_KEYS = 2_000_000  # keys of one bucket, about: what one task holds
+BUCKET_KEYS = 1_000_000  # keys of one bucket, about: what one task holds
 LEAST_BITS = 6
 KEY_BITS = 62
 
@@ -98,6 +100,7 @@ def received(table: pa.Table, numbers: int = 1) -> tuple[np.ndarray, np.ndarray,
         wide[:, :7] = raw
         keys.append(wide.view("<u8").reshape(-1) | np.uint64(row["top"] << 56))
         extras.append(row["extra"])
+    release()
     return np.concatenate(docs), np.concatenate(keys), extras
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 from collections.abc import Callable, Iterator
 
@@ -39,7 +40,15 @@ def kept_in_worker(name: str, make: Callable[[], object]) -> object:
     return kept[name]
 
 
-def texts_of(batch: pa.RecordBatch, column: str, most_chars: int = 4_000_000) -> Iterator[tuple[int, list[str]]]:
+def release() -> None:
+    """Gives memory that a Python worker has freed back to the system: workers stay, and share the executor's limit."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def texts_of(batch: pa.RecordBatch, column: str, most_chars: int = 2_000_000) -> Iterator[tuple[int, list[str]]]:
     """Runs of rows of a batch as texts, NULL as empty, about `most_chars` in each run.
 
     Yields (first row, texts). Rows are whole: a text longer than the bound is a run of its own.
@@ -53,3 +62,4 @@ def texts_of(batch: pa.RecordBatch, column: str, most_chars: int = 4_000_000) ->
         stop = max(start + 1, int(np.searchsorted(ends, base + most_chars, side="right")))
         yield start, [x or "" for x in values.slice(start, stop - start).to_pylist()]
         start = stop
+    release()

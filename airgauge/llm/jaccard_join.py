@@ -308,6 +308,28 @@ def _class_links(sets: DataFrame) -> DataFrame:
     return links
 
 
+def _grouped(docs: DataFrame, text: str) -> DataFrame:
+    """uid, doc_id, n, class_id, component_id, first (the row that stands for its component) for each row of
+    `docs` (uid, doc_id, text)."""
+    sets = _sets(docs, text)
+    rows = sets.select("uid", "doc_id", "n", "digest", F.col("grams").isNotNull().alias("open"))
+    some = rows.where("open")
+    # a row without an id stands for others only if none of them has one
+    lead = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "uid"))
+    classes = stored(some.groupBy("digest").agg(F.min("uid").alias("uid"), lead.alias("lead")), "classes")
+    links = _class_links(stored(sets.join(classes.select("uid"), "uid"), "class-sets"))
+    roots = components(links)
+    named = classes.join(roots.withColumnRenamed("node", "uid"), "uid", "left").withColumn("root", F.coalesce("root", "uid"))
+    least = named.groupBy("root").agg(F.min("lead").alias("first"))
+    named = named.join(least, "root").select("digest", "lead", "first")
+    found = some.join(named, "digest").select(
+        "uid", "doc_id", "n", F.col("lead.doc_id").alias("class_id"), F.col("first.doc_id").alias("component_id"), (F.col("first.uid") == F.col("uid")).alias("first")
+    )
+    own = F.col("doc_id")
+    alone = rows.where("not open").select("uid", "doc_id", "n", own.alias("class_id"), own.alias("component_id"), F.lit(True).alias("first"))
+    return found.unionByName(alone)
+
+
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """`id`, n_shingles, class_id (smallest id with the same set) and component_id (smallest id reachable by links).
 
@@ -317,16 +339,17 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     component if there is no other.
     """
     numbered = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    sets = _sets(numbered, "text")
-    rows = sets.select("uid", "doc_id", "n", "digest", F.col("grams").isNotNull().alias("open"))
-    some = rows.where("open")
-    classes = some.groupBy("digest").agg(F.min("uid").alias("uid"), F.min("doc_id").alias("class_id"))
-    classes = stored(classes, "classes")
-    links = _class_links(stored(sets.join(classes.select("uid"), "uid"), "class-sets"))
-    roots = components(links)
-    named = classes.join(roots.withColumnRenamed("node", "uid"), "uid", "left").withColumn("root", F.coalesce("root", "uid"))
-    least = named.groupBy("root").agg(F.min("class_id").alias("component_id"))
-    named = named.join(least, "root").select("digest", "class_id", "component_id")
-    found = some.join(named, "digest").select("doc_id", F.col("n").alias("n_shingles"), "class_id", "component_id")
-    alone = rows.where("not open").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("class_id"), F.col("doc_id").alias("component_id"))
-    return found.unionByName(alone).withColumnRenamed("doc_id", id)
+    found = _grouped(numbered, "text")
+    return found.select(F.col("doc_id").alias(id), F.col("n").alias("n_shingles"), "class_id", "component_id")
+
+
+def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of `docs` without near copies: of each group that `near_duplicates` finds, the row of the smallest id.
+
+    Rows without any word link with nothing and stay, as do all rows alone in their group. Of rows with the
+    same smallest id and text one stays.
+    """
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    whole = stored(docs.select(F.struct(*columns).alias("row"), F.monotonically_increasing_id().alias("uid")), "numbered")
+    found = _grouped(whole.select("uid", F.col("row")[id].cast("bigint").alias("doc_id"), F.col("row")[text].alias("text")), "text")
+    return whole.join(found.where("first").select("uid"), "uid").select("row.*")
