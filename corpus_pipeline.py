@@ -4,22 +4,54 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from airgauge.llm import quality_rules
+from airgauge.llm import jaccard_join, language_id, packing, quality_rules, substring_dedup
 from airgauge.llm.common import stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+# A text less like every learned language than this is no text of any of them.
+LEAST_SCORE = 0.1
+
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rules and the learned decision list keep."""
+    """Documents that the base rules and the learned decision list keep (NULL and empty texts go)."""
     rules = quality_rules.fit(docs, table(spark, sf_dir, "labels"))
     return quality_rules.judged(docs, rules, keep=docs.columns).where("kept").select(*[f"`{c}`" for c in docs.columns])
 
 
+def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that the documents themselves teach; those without letters or like none of them go."""
+    found = language_id.classified(docs, language_id.profiles(docs))
+    kept = found.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+    return kept.select(*[f"`{c}`" for c in docs.columns])
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the smallest id of each group of near copies; all documents that are no copies."""
+    return jaccard_join.one_of_each(docs)
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the word windows that stand elsewhere too; n_chars follows the text. No row goes."""
+    cut = substring_dedup.dedup_texts(docs)
+    return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token ids with their places in sequences of 4096."""
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", good_documents),
+    ("language_id", known_languages),
+    ("jaccard_join", one_of_each_group),
+    ("substring_dedup", without_repeats),
+    ("best_fit_packing", packed_sequences),
 ]
 
 # Learned rules, language profiles and packing are not SQL: the tests hold each stage against brute force.
