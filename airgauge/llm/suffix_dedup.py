@@ -31,7 +31,7 @@ LENGTH = 50
 SEED = 20  # bytes of the short windows
 SHARD_BYTES = 3_000_000
 MOST_ALIKE = 2_000  # documents of one smallest window that share a shard
-MOST_COUNTED = 65_535  # documents of one short window, as far as they are told apart
+MOST_COUNTED = 65_535  # documents of one short window, as far as they are counted; also: not known
 BLOCK_CHARS = 1_500_000
 CHARS_PER_KEY = 16.0
 LAST = np.iinfo(np.int64).max  # the order of documents without an id: after all others
@@ -289,6 +289,10 @@ def _stretches(n: int, k: int):
             inner = Seeds(data, n, k)
             keys = inner.keys[inner.at]
             much = np.minimum(holders(keys, text[inner.owner]), MOST_COUNTED).astype("<u2")
+            # stretches of one document that hold the same window may part; then none knows that all are with it
+            pair = _groups(keys, text[inner.owner])
+            once = np.unique(np.stack([pair, inner.owner], axis=1), axis=0)[:, 0]
+            much[(much > 0) & (np.bincount(once, minlength=1)[pair] > 1)] = MOST_COUNTED
             # the smallest repeated window of the stretch names its shard
             cuts = np.searchsorted(inner.owner, np.arange(len(data) + 1))
             shown = np.where(much > 0, keys, np.uint64(LAST))
@@ -346,9 +350,12 @@ def _shard(held: list[tuple], bits: int, n: int, k: int) -> pa.RecordBatch:
     here = np.zeros(len(keys), np.int64)
     here[one] = 1
     group = _groups(keys)
-    here = np.bincount(group, weights=here, minlength=1).astype(np.int64)[group] if len(keys) else here
+    here = np.bincount(group, weights=here, minlength=1).astype(np.int64)[group]
+    most = np.zeros(int(group.max(initial=0)) + 1, np.int64)
+    np.maximum.at(most, group, much)
+    most = most[group]
     away = np.zeros(len(text), bool)
-    elsewhere = seeds.strings((much > 0) & ((here < much) | (much >= MOST_COUNTED)))
+    elsewhere = seeds.strings((much > 0) & ((here < most) | (most >= MOST_COUNTED)))
     away[: len(elsewhere)] = elsewhere
     smallest = smallest[away[smallest]]
     documents, document = np.unique(uids, return_inverse=True)

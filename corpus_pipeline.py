@@ -17,17 +17,21 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 LEAST_SCORE = 0.1
 
 
+def _rows(docs: DataFrame) -> DataFrame:
+    """Whole rows as one column beside their texts, so that no column can clash with those an operator adds."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
+
+
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the learned decision list keep (NULL and empty texts go)."""
     rules = quality_rules.fit(docs, table(spark, sf_dir, "labels"))
-    return quality_rules.judged(docs, rules, keep=docs.columns).where("kept").select(*[f"`{c}`" for c in docs.columns])
+    return quality_rules.judged(_rows(docs), rules, keep=("row",)).where("kept").select("row.*")
 
 
 def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the documents themselves teach; those without letters or like none of them go."""
-    found = language_id.classified(docs, language_id.profiles(docs))
-    kept = found.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
-    return kept.select(*[f"`{c}`" for c in docs.columns])
+    found = language_id.classified(_rows(docs), language_id.profiles(docs))
+    return found.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select("row.*")
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
