@@ -1,8 +1,8 @@
 """Keys of documents sent to hash buckets in blocks: one row for each block of documents and bucket.
 
 A row per key would cost more than the key. A block's keys for one bucket go into one row instead, in
-document order: the documents once (delta-coded), how many keys each has there, and 56 bits of each key;
-its other bits, the top 6 of 62, are the same for all keys of a bucket.
+document order: the documents once (delta-coded), how many keys each has there, and 7 bytes of each key (or
+fewer); its other bits, the top 6, are the same for all keys of a bucket.
 """
 
 from __future__ import annotations
@@ -21,8 +21,9 @@ from airgauge.llm.common import release
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BUCKET_KEYS = 1_000_000  # keys of one bucket, about: what one task holds
-LEAST_BITS = 6
-KEY_BITS = 62
+LEAST_BITS = TOP_BITS = 6
+WIDTH = 7  # bytes of a key that are sent
+KEY_BITS = TOP_BITS + 8 * WIDTH
 
 
 def bucket_bits(docs: DataFrame, text: str, chars_per_key: float) -> int:
@@ -66,12 +67,12 @@ def _unpacked(blob: bytes, kind: str) -> np.ndarray:
     return np.frombuffer(pa.Codec("zstd").decompress(blob[4:], size, asbytes=True), kind)
 
 
-def sent(ids: np.ndarray, owner: np.ndarray, keys: np.ndarray, bits: int, extra: np.ndarray | None = None) -> Iterator[dict]:
+def sent(ids: np.ndarray, owner: np.ndarray, keys: np.ndarray, bits: int, extra: np.ndarray | None = None, width: int = WIDTH) -> Iterator[dict]:
     """Rows for the buckets of one block. `owner` (rising) is the place in `ids` of each key's document.
 
-    `ids` has a number for each document, or a row of numbers.
+    `ids` has a number for each document, or a row of numbers. Keys have TOP_BITS bits and `width` bytes.
     """
-    bucket = (keys >> np.uint64(KEY_BITS - bits)).astype(np.uint16 if bits <= 16 else np.uint32)
+    bucket = (keys >> np.uint64(TOP_BITS + 8 * width - bits)).astype(np.uint16 if bits <= 16 else np.uint32)
     order = np.argsort(bucket, kind="stable")
     cuts = np.flatnonzero(np.diff(bucket[order])) + 1
     for part in np.split(order, cuts) if len(order) else ():
@@ -79,15 +80,15 @@ def sent(ids: np.ndarray, owner: np.ndarray, keys: np.ndarray, bits: int, extra:
         first = np.flatnonzero(np.diff(own, prepend=-1))
         yield {
             "bucket": int(bucket[part[0]]),
-            "top": int(keys[part[0]] >> np.uint64(56)),
+            "top": int(keys[part[0]] >> np.uint64(8 * width)),
             "docs": _packed(np.diff(ids[own[first]], axis=0, prepend=np.zeros((1, *ids.shape[1:]), np.int64))),
             "sizes": _packed(np.diff(first, append=len(own)).astype("<u4")),
-            "keys": keys[part].view(np.uint8).reshape(-1, 8)[:, :7].tobytes(),
+            "keys": keys[part].view(np.uint8).reshape(-1, 8)[:, :width].tobytes(),
             "extra": None if extra is None else _packed(extra[part]),
         }
 
 
-def received(table: pa.Table, numbers: int = 1) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+def received(table: pa.Table, numbers: int = 1, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """All keys of a bucket's rows with the document of each, row after row, and the rows' extra blobs."""
     none = np.zeros(0, np.int64) if numbers == 1 else np.zeros((0, numbers), np.int64)
     docs, keys, extras = [none], [np.zeros(0, np.uint64)], []
@@ -95,10 +96,10 @@ def received(table: pa.Table, numbers: int = 1) -> tuple[np.ndarray, np.ndarray,
         ids = _unpacked(row["docs"], "<i8")
         ids = np.cumsum(ids if numbers == 1 else ids.reshape(-1, numbers), axis=0)
         docs.append(np.repeat(ids, _unpacked(row["sizes"], "<u4"), axis=0))
-        raw = np.frombuffer(row["keys"], np.uint8).reshape(-1, 7)
+        raw = np.frombuffer(row["keys"], np.uint8).reshape(-1, width)
         wide = np.zeros((len(raw), 8), np.uint8)
-        wide[:, :7] = raw
-        keys.append(wide.view("<u8").reshape(-1) | np.uint64(row["top"] << 56))
+        wide[:, :width] = raw
+        keys.append(wide.view("<u8").reshape(-1) | np.uint64(row["top"] << 8 * width))
         extras.append(row["extra"])
     release()
     return np.concatenate(docs), np.concatenate(keys), extras

@@ -133,12 +133,12 @@ def classified(docs: DataFrame, learned: Profiles, text: str = "text") -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classify = Classifier(shared.value)
         for batch in batches:
-            found = [classify(t) for _, texts in texts_of(batch, text) for t in texts]
-            names, scores = zip(*found) if found else ((), ())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                names=[*batch.schema.names, "lang_pred", "score"],
-            )
+            for first, texts in texts_of(batch, text):
+                names, scores = zip(*map(classify, texts))
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.slice(first, len(texts)).columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
+                    names=[*batch.schema.names, "lang_pred", "score"],
+                )
 
     added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields, *added]))

@@ -29,6 +29,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 LENGTH = 50
 SEED = 20  # bytes of the short windows
+SEED_WIDTH = 5  # bytes of their keys: they only choose what is compared, so two that clash do no harm
 SHARD_BYTES = 3_000_000
 MOST_ALIKE = 2_000  # documents of one smallest window that share a shard
 MOST_COUNTED = 65_535  # documents of one short window, as far as they are counted; also: not known
@@ -75,7 +76,7 @@ def suffix_array(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray,
         beyond = there + known
         second = np.where(beyond < n, rank[np.minimum(beyond, n - 1)] + 1, 0)
         keys = rank[there] * (n + 1) + second
-        by = np.argsort(keys, kind="stable")
+        by = np.argsort(keys)
         order[slots] = there[by]
         keys = keys[by]
         new[slots[1:]] |= keys[1:] != keys[:-1]
@@ -156,7 +157,8 @@ class Seeds:
         raw = np.frombuffer(b"".join(texts), np.uint8)
         self.n, self.span, self.ends = n, n - k + 1, np.cumsum(sizes)
         self.starts = self.ends - sizes
-        self.keys = buckets.window_keys(raw.astype(np.uint64), k) if len(raw) >= n else np.zeros(0, np.uint64)
+        keys = buckets.window_keys(raw.astype(np.uint64), k) if len(raw) >= n else np.zeros(0, np.uint64)
+        self.keys = keys >> np.uint64(8 * (buckets.WIDTH - SEED_WIDTH))
         # no string crosses from one text into the next
         whole = np.stack([np.maximum(sizes - n + 1, 0), np.minimum(sizes, n - 1)], axis=1).reshape(-1)
         self.inside = np.repeat(np.tile([True, False], len(sizes)), whole)[: max(0, len(raw) - n + 1)]
@@ -209,7 +211,7 @@ def _send_seeds(bits: int, n: int, k: int):
             keys, owner, sides = keys[order], owner[order], sides[order]
             new = np.ones(len(keys), bool)
             new[1:] = (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1]) | (sides[1:] != sides[:-1])
-            rows = list(buckets.sent(part.column("uid").to_numpy(), owner[new], keys[new], bits, sides[new]))
+            rows = list(buckets.sent(part.column("uid").to_numpy(), owner[new], keys[new], bits, sides[new], SEED_WIDTH))
             yield pa.RecordBatch.from_pylist(rows, schema=buckets.SENT_ARROW)
 
     return send
@@ -229,7 +231,7 @@ def _groups(*columns: np.ndarray) -> np.ndarray:
 def _shared_seeds(table: pa.Table) -> pa.Table:
     """In one bucket: short windows that are repeated with the bytes on one of their sides, for each document once,
     with how many documents hold them."""
-    docs, keys, extras = buckets.received(table)
+    docs, keys, extras = buckets.received(table, width=SEED_WIDTH)
     sides = buckets.extras_of(extras, SIDES)
     _, counts = buckets.run_lengths(keys)
     at = np.flatnonzero(counts > 1)

@@ -18,20 +18,24 @@ LEAST_SCORE = 0.1
 
 
 def _rows(docs: DataFrame) -> DataFrame:
-    """Whole rows as one column beside their texts, so that no column can clash with those an operator adds."""
-    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
+    """All columns but the text as one, so that none can clash with those an operator adds."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"), "text")
+
+
+def _columns(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    return rows.select(*["text" if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the learned decision list keep (NULL and empty texts go)."""
     rules = quality_rules.fit(docs, table(spark, sf_dir, "labels"))
-    return quality_rules.judged(_rows(docs), rules, keep=("row",)).where("kept").select("row.*")
+    return _columns(quality_rules.judged(_rows(docs), rules, keep=("row", "text")).where("kept"), docs)
 
 
 def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the documents themselves teach; those without letters or like none of them go."""
     found = language_id.classified(_rows(docs), language_id.profiles(docs))
-    return found.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select("row.*")
+    return _columns(found.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE)), docs)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
