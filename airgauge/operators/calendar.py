@@ -51,12 +51,13 @@ def densify(fact: DataFrame, points: DataFrame, first: date, last: date, value:
     """Measured facts plus a `no_medido` row for every missing (point, week).
 
     `points` holds one row per point; `fact` one row per (point, year, week), so
-    the join keys are unique on both sides and cannot be skewed.
+    the join keys are unique on both sides and cannot be skewed. Facts of other
+    points or weeks stay, with NULL in what only the grid knows.
     """
     keys = ["punto_nro", "anio", "semana_nro"]
     grid = week_grid(points, first, last)
     extra = [c for c in fact.columns if c not in grid.columns and c not in ("estado", "motivo_no_medicion")]
-    return grid.join(fact.select(*keys, *extra), keys, "left").select(
+    return grid.join(fact.select(*keys, *extra), keys, "full").select(
         *grid.columns,
         *extra,
         measured_state(F.col(value)).alias("estado"),

@@ -69,7 +69,7 @@ def render(pieces: str | Sequence) -> Column:
 
 def pii_token(c: Column, salt: str) -> Column:
     digest = F.sha2(F.concat(F.lit(salt), c.cast("string")), 256)
-    return F.when(c.isNotNull(), F.concat(F.lit("PII_"), F.substring(digest, 1, 12)))
+    return F.when(c.isNotNull(), F.concat(F.lit("PII_"), digest))
 
 
 def tokenize_pii(df: DataFrame, cols: Sequence[str], salt: str) -> DataFrame:

@@ -255,7 +255,11 @@ def snapshot_check(
             .when(F.col("_n").isNull() | (F.col("_n.h") == F.col("_o.h")), F.array(kept))
             .otherwise(F.array(closed, new))
         )
-        result = fresh.join(old, list(key), "full").select(*_cols(key), F.inline(versions))
+        # keys meet null-safely: a row without a key is the same row at the next load
+        both = [F.struct(*_cols(key)).alias("_k"), "_n"], [F.struct(*_cols(key)).alias("_ko"), "_o"]
+        joined = fresh.select(*both[0]).join(old.select(*both[1]), F.col("_k").eqNullSafe(F.col("_ko")), "full")
+        found = F.coalesce("_k", "_ko")
+        result = joined.select(*[found.getField(k).alias(k) for k in key], F.inline(versions))
         past = stored.where(F.col(SNAP_TO).isNotNull()).select(*_cols(result.columns))
         result = result.unionByName(past)
     identified = result.withColumn("_desde", F.date_format(SNAP_FROM, "yyyy-MM-dd HH:mm:ss.SSSSSS"))

@@ -84,13 +84,15 @@ def topk_cosine(
     vector: str = "embedding",
     query_block: int = QUERY_BLOCK,
     vector_block: int = VECTOR_BLOCK,
+    few_queries: bool = False,
 ) -> DataFrame:
     """The k nearest vectors of every query: (query, vector, score, lugar). No score floor.
 
-    Up to `query_block` queries travel to the tasks and the vectors stay where
-    they are: each task keeps k rows per query, so nothing else is shuffled.
-    More queries than that take the block form below. Both are exact. Ids are
-    unique, as in any vector collection.
+    Both sides are cut into blocks that meet pairwise. With `few_queries` the
+    caller vouches for at most `query_block` of them: they travel to the tasks and
+    the vectors stay where they are, so only k rows per query and task are
+    shuffled; more queries than that are an error. Both ways are exact. Ids are
+    unique, as in any vector collection. NULL and empty vectors are near nothing.
     """
     schema = T.StructType(
         [
@@ -99,12 +101,12 @@ def topk_cosine(
             T.StructField("score", T.DoubleType()),
         ]
     )
-    q = queries.select(F.col(query_id).alias("id"), F.col(query_vector).cast("array<double>").alias("v"))
-    v = vectors.select(F.col(vector_id).alias("id"), F.col(vector).cast("array<double>").alias("v")).where(
-        F.col("v").isNotNull()
-    )
-    few = q.limit(query_block + 1).toArrow()
-    if few.num_rows <= query_block:
+    q = queries.select(F.col(query_id).alias("id"), F.col(query_vector).cast("array<double>").alias("v")).where(F.size("v") > 0)
+    v = vectors.select(F.col(vector_id).alias("id"), F.col(vector).cast("array<double>").alias("v")).where(F.size("v") > 0)
+    if few_queries:
+        few = q.limit(query_block + 1).toArrow()
+        if few.num_rows > query_block:
+            raise ValueError(f"more than {query_block} queries")
         winners = _scan_with_few_queries(few, v, k, schema)
     else:
         winners = _block_pairs(q, v, k, schema, query_block, vector_block)

@@ -631,7 +631,7 @@ def _as_text(pieces, replaced) -> str:
 
 
 def _token(col: str) -> str:
-    return f"CASE WHEN {col} IS NOT NULL THEN 'PII_' || substr(sha256('sal' || {col}), 1, 12) END"
+    return f"CASE WHEN {col} IS NOT NULL THEN 'PII_' || sha256('sal' || {col}) END"
 
 
 def chunks_sql(qid: str) -> str:
@@ -658,7 +658,7 @@ SHEET_ORDERS = f"""SELECT * EXCLUDE (dia, cubo, maquina_nro), strftime(dia, '%Y-
 CELL_KEY = "punto_nro, anio, semana_nro, concentracion_mg_m3"
 
 CHUNK_COUNT = " UNION ALL ".join(
-    f"SELECT '{i}' AS regla_id, count(*) AS filas FROM ({QUESTION_SQL[i]}) a" for i in ("P3", "P5", "P13", "P14", "P16")
+    f"SELECT '{i}' AS regla_id, count(*) AS filas FROM ({QUESTION_SQL[i]}) a" for i in QUESTION_SQL
 )
 
 

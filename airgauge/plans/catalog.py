@@ -61,7 +61,7 @@ LINKS = (
     ),
     Link(
         "relacion_medicion_persona",
-        (*POINT_WEEK, "dni", "rol"),
+        (*POINT_WEEK, *PERSON, "rol"),
         {"ent_punto_medicion_hk": ("punto_nro",), "ent_semana_hk": WEEK, "ent_persona_hk": PERSON},
         "mediciones_personas",
     ),
@@ -88,7 +88,7 @@ LINKS = (
     ),
     Link(
         "relacion_ot_responsable",
-        ("orden_nro", "dni"),
+        ("orden_nro", *PERSON),
         {"ent_orden_trabajo_hk": ("orden_nro",), "ent_persona_hk": PERSON},
         "ordenes_personas",
     ),
@@ -215,26 +215,18 @@ SATELLITES = (
         ("fecha_inicio_semana", "fecha_fin_semana", "trimestre", "mes"),
         "semanas",
     ),
+    # A link keeps every pair that ever was. These hold, per driving key, the pair that holds now; a pair
+    # that comes back is a version again.
+    Satellite("vigencia_maqctrl_planta", ("ubicacion_tecnica",), ("planta_canon",), "equipos", "planta_canon is not null"),
+    Satellite("vigencia_ot_maqctrl", ("orden_nro",), ("ubicacion_tecnica", *WEEK), "ordenes", "ubicacion_tecnica is not null"),
+    Satellite("vigencia_ot_responsable", ("orden_nro",), PERSON, "ordenes_personas"),
+    Satellite(
+        "vigencia_punto_componente", ("punto_nro",), ("componente_codigo_full",), "mediciones", "componente_codigo_full is not null"
+    ),
+    Satellite("vigencia_punto_maqgen", ("punto_nro",), ("maquina_gen_codigo",), "mediciones", "maquina_gen_codigo is not null"),
+    Satellite("vigencia_punto_planta", ("punto_nro",), ("planta_canon",), "mediciones", "planta_canon is not null"),
 )
 
-# The measurement and order sheets that are kept as snapshots.
-MEASUREMENT_SHEETS = (
-    "puntos_prechancado",
-    "puntos_chancado_2_3",
-    "puntos_terciario",
-    "puntos_cuaternario",
-    "puntos_molienda_sag",
-    "puntos_molienda_convencional",
-    "puntos_cdm_1",
-    "puntos_cdm_2",
-    "puntos_nodo",
-)
-ORDER_SHEETS = ("programa_general", "programa_chancado_fino", "programa_molienda", "programa_chancado_primario")
-SNAPSHOT_KEYS = {
-    **{name: ("etiqueta",) for name in MEASUREMENT_SHEETS},
-    **{name: ("orden_nro",) for name in ORDER_SHEETS},
-}
-
 HUB = {h.name: h for h in HUBS}
 LINK = {l.name: l for l in LINKS}
 SATELLITE = {s.name: s for s in SATELLITES}

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from airgauge.operators import history as h
 from airgauge.plans.catalog import HUBS, LINKS, SATELLITES, HUB, LINK, SATELLITE
@@ -64,17 +65,21 @@ def frames_from_history(spark: SparkSession, root: str) -> Frames:
         return table(name).select(*dict.fromkeys([*LINK[name].key, *extra]))
 
     def point() -> DataFrame:
-        out = described(hub("entidad_punto_medicion"), "detalle_punto_medicion").drop(h.KEY)
-        for name in ("relacion_punto_planta", "relacion_punto_maqgen", "relacion_punto_componente"):
-            out = out.join(link(name), "punto_nro", "left")
-        return out
+        out = hub("entidad_punto_medicion")
+        for name in ("detalle_punto_medicion", "vigencia_punto_planta", "vigencia_punto_maqgen", "vigencia_punto_componente"):
+            out = described(out, name)
+        return out.drop(h.KEY)
 
     def order() -> DataFrame:
-        key = "ent_orden_trabajo_hk"
-        out = table("relacion_ot_maqctrl").select(key, *LINK["relacion_ot_maqctrl"].key)
+        # orders on a machine; an order moved to another machine or week counts where it is now
+        out = described(hub("entidad_orden_trabajo"), "vigencia_ot_maqctrl").where(F.col("ubicacion_tecnica").isNotNull())
         for name in ("detalle_ot_descr", "detalle_ot_programacion", "detalle_ot_ejecucion", "detalle_ot_no_ejecucion"):
-            out = described(out, name, key)
-        return out.drop(key)
+            out = described(out, name)
+        return out.drop(h.KEY)
+
+    def responsible() -> DataFrame:
+        out = described(hub("entidad_orden_trabajo"), "vigencia_ot_responsable").where(F.col("dni").isNotNull())
+        return out.drop(h.KEY)
 
     def of_link(name: str, satellite: str) -> DataFrame:
         return described(table(name).select(h.KEY, *LINK[name].key), satellite).drop(h.KEY)
@@ -87,8 +92,8 @@ def frames_from_history(spark: SparkSession, root: str) -> Frames:
         return out.withColumnRenamed("estado_actual", "estado_componente").drop(h.KEY, "severidad")
 
     def machine() -> DataFrame:
-        out = of_hub("entidad_maquina_control_polvo", "detalle_maquina_control_polvo")
-        return out.join(link("relacion_maqctrl_planta"), "ubicacion_tecnica", "left")
+        out = described(hub("entidad_maquina_control_polvo"), "detalle_maquina_control_polvo")
+        return described(out, "vigencia_maqctrl_planta").drop(h.KEY)
 
     person = HUB["entidad_persona"].key
     return Frames(
@@ -101,7 +106,7 @@ def frames_from_history(spark: SparkSession, root: str) -> Frames:
             "medicion_persona": lambda: link("relacion_medicion_persona", *person),
             "persona": lambda: of_hub("entidad_persona", "detalle_persona"),
             "orden": order,
-            "orden_responsable": lambda: link("relacion_ot_responsable", *person),
+            "orden_responsable": responsible,
             "maquina_control": machine,
             "cobertura": lambda: link("relacion_punto_maqctrl"),
             "componente": component,

@@ -433,13 +433,13 @@ def grants_of(t: st.Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
     groups = plants.select(
         F.lit("planta").alias("dimension"), F.concat(F.lit("G_"), "r_name").alias("grupo"), F.col("n_name").alias("valor")
     ).unionByName(
-        t.region.limit(1).select(F.lit("ambito").alias("dimension"), F.lit("Todos").alias("grupo"), F.explode(scopes).alias("valor"))
+        t.region.sparkSession.range(1).select(F.lit("ambito").alias("dimension"), F.lit("Todos").alias("grupo"), F.explode(scopes).alias("valor"))
     )
     domain = (
         t.nation.select(F.lit("planta").alias("dimension"), F.col("n_name").alias("valor"))
-        .unionByName(t.region.limit(1).select(F.lit("ambito").alias("dimension"), F.explode(scopes).alias("valor")))
+        .unionByName(t.region.sparkSession.range(1).select(F.lit("ambito").alias("dimension"), F.explode(scopes).alias("valor")))
         .unionByName(
-            t.region.limit(1).select(
+            t.region.sparkSession.range(1).select(
                 F.lit("clasificacion").alias("dimension"), F.explode(F.array(*[F.lit(x) for x in g.LEVELS])).alias("valor")
             )
         )
@@ -560,18 +560,14 @@ def chunks_upserted(spark: SparkSession, d: str) -> DataFrame:
     return both.select("chunk_id", "hash_contenido", "texto", "carga")
 
 
-COUNTED = ("P3", "P5", "P13", "P14", "P16")
-
-
 def chunk_counts(spark: SparkSession, d: str) -> DataFrame:
-    """Rows of some questions against the limits each declares."""
-    marts = st.marts(spark, d)
+    """Rows of every question against the limits it declares."""
     rows = None
-    for qid in COUNTED:
-        part = q.QUESTIONS[qid].run(marts, ordered=False).select(F.lit(qid).alias("regla_id"))
+    for qid in q.QUESTIONS:
+        part = question_query(qid)(spark, d).select(F.lit(qid).alias("regla_id"))
         rows = part if rows is None else rows.unionByName(part)
     limits = spark.createDataFrame(
-        [(i, q.QUESTIONS[i].min_rows, q.QUESTIONS[i].max_rows) for i in COUNTED], "regla_id string, minimo int, maximo int"
+        [(i, q.QUESTIONS[i].min_rows, q.QUESTIONS[i].max_rows) for i in q.QUESTIONS], "regla_id string, minimo int, maximo int"
     )
     return ch.check_counts(rows, limits)
 
@@ -613,7 +609,7 @@ def label_centres(t: st.Tables) -> DataFrame:
 
 def _hits(spark: SparkSession, d: str, k: int = 10) -> DataFrame:
     t = st.Tables(spark, d)
-    return vec.topk_cosine(label_centres(t), t.embeddings, k)
+    return vec.topk_cosine(label_centres(t), t.embeddings, k, few_queries=True)  # a row per label
 
 
 def nearest_vectors(spark: SparkSession, d: str) -> DataFrame:

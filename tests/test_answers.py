@@ -86,7 +86,7 @@ def test_chunk_text_hash_and_tokens(spark):
     df = spark.createDataFrame([("Ana", None, 2.5, True), ("Luis", "x", None, False)], "n string, e string, v double, f boolean")
     made = ch.build_chunks(df, "R", "M", ["n", "e"], (("f", "sí {v}", "no {v}"), " de {n}."), {"a": "column:n", "b": "fijo"},
                            ["n"], "c", F.current_timestamp(), "s").collect()
-    token = "PII_" + hashlib.sha256(b"sAna").hexdigest()[:12]
+    token = "PII_" + hashlib.sha256(b"sAna").hexdigest()
     first = made[0]
     assert first.texto == f"sí 2.5 de {token}." and made[1].texto.startswith("no None de PII_")
     assert first.chunk_id == f"{token}_None" and first.pii_tokens == {"n": token}
@@ -142,8 +142,8 @@ def test_report_rows_are_plants_times_years(spark, marts):
     assert {r.anio for r in one} == {1998}
 
 
-@pytest.mark.parametrize("blocks", [(1024, 16384), (3, 7)])
-def test_topk_against_brute_force(spark, blocks):
+@pytest.mark.parametrize("few, blocks", [(True, (1024, 16384)), (False, (3, 7)), (False, (1024, 16384))])
+def test_topk_against_brute_force(spark, few, blocks):
     rng = np.random.default_rng(3)
     v, u = rng.normal(size=(60, 8)), rng.normal(size=(11, 8))
     v[5] = 0.0  # a vector of length 0 is never near
@@ -151,7 +151,10 @@ def test_topk_against_brute_force(spark, blocks):
     vectors = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<float>")
     queries = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(u)], "query_id long, query_vector array<double>")
     got = {}
-    for r in vec.topk_cosine(queries, vectors.repartition(5), 4, query_block=blocks[0], vector_block=blocks[1]).collect():
+    none = spark.createDataFrame([(90, None), (91, [])], queries.schema)
+    vectors = vectors.unionByName(spark.createDataFrame([(90, None), (91, [])], vectors.schema)).repartition(5)
+    found = vec.topk_cosine(queries.unionByName(none), vectors, 4, query_block=blocks[0], vector_block=blocks[1], few_queries=few)
+    for r in found.collect():
         got.setdefault(r.query_id, {})[r.lugar] = r.vec_id
     f = v.astype(np.float32).astype(float)
     with np.errstate(invalid="ignore"):
@@ -176,7 +179,7 @@ def test_task_functions_run_without_the_package(tmp_path):
         "v = s.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], 'vec_id long, embedding array<float>')\n"
         "q = s.createDataFrame([(1, [1.0, 0.1])], 'query_id long, query_vector array<float>')\n"
         "q2 = q.unionByName(s.createDataFrame([(2, [0.1, 1.0])], q.schema))\n"
-        "assert [r.vec_id for r in topk_cosine(q, v, 1).collect()] == [1]\n"
+        "assert [r.vec_id for r in topk_cosine(q, v, 1, few_queries=True).collect()] == [1]\n"
         "assert sorted(r.vec_id for r in topk_cosine(q2, v, 1, query_block=1).collect()) == [1, 2]\n"
     )
     env = {k: x for k, x in os.environ.items() if k != "PYTHONPATH"}

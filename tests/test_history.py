@@ -107,3 +107,14 @@ def test_order_marts_keep_their_grain(spark, sf):
         key = ["orden_nro", "ubicacion_tecnica", "anio", "semana_nro", "punto_nro"]
         assert m[name].count() == m[name].select(*key).distinct().count()
     assert m["ot_en_curso"].where("cumpl_prog is null").count() > 0
+
+
+def test_snapshot_keeps_one_open_row_without_a_key(spark):
+    src = spark.createDataFrame([(None, "a"), ("k", "b")], "clave string, valor string")
+    at = [F.lit(f"2026-01-0{d}").cast("timestamp") for d in (1, 2, 3)]
+    one = h.snapshot_check(src, None, ["clave"], at[0])
+    two = h.snapshot_check(src, one, ["clave"], at[1])
+    assert two.count() == 2 and h.snapshot_current(two).count() == 2
+    changed = spark.createDataFrame([(None, "c"), ("k", "b")], src.schema)
+    three = h.snapshot_check(changed, two, ["clave"], at[2])
+    assert three.count() == 3 and {tuple(r) for r in h.snapshot_current(three).collect()} == {(None, "c"), ("k", "b")}

@@ -8,8 +8,11 @@ from airgauge.plans import ingest as ing
 from airgauge.plans import questions as q
 from airgauge.plans.frames import Lazy
 from airgauge.plans.marts import MARTS
+from airgauge.operators import history as h
+from airgauge.plans import vault
+from airgauge.plans.catalog import SATELLITE
 from airgauge.plans.vault import frames_from_history
-from airgauge.sources.landing import REFERENCE_SCHEMAS
+from airgauge.sources.landing import REFERENCE_SCHEMAS, read_if_present
 
 DAYS = {f"2026-05-{d} 00:00:00": date(2026, 5, d) for d in range(18, 25)}
 SHEET = OrderSheet(DAYS, 2026, 19)
@@ -83,3 +86,42 @@ def test_files_to_answers_and_a_second_week(spark, tmp_path):
     assert q.QUESTIONS["P19"].run(m).first().responsable_nombre == "Taller SA"
     versions = spark.read.parquet(f"{root}/detalle_medicion")
     assert versions.count() == 4 and versions.agg(F.max("version_seq")).first()[0] == 2
+
+
+def test_frames_after_moves(spark, tmp_path):
+    """A point, a machine, an order and a person in charge move, and one comes back: one row per key, always the last."""
+    root = str(tmp_path / "root")
+    point = "punto_nro int, planta_canon string, maquina_gen_codigo string, componente_codigo_full string"
+    point += ", nombre_punto string, descripcion_punto string, tipo_punto string"
+
+    def load(day, plant, machine_plant, machine, week, person):
+        loads = {
+            "mediciones": ([(1, plant, "G1", "G1_C1", "p", "d", "real")], point),
+            "equipos": ([("M1", machine_plant), ("M2", "B")], "ubicacion_tecnica string, planta_canon string"),
+            "ordenes": ([("O1", machine, 2026, week)], "orden_nro string, ubicacion_tecnica string, anio int, semana_nro int"),
+            "ordenes_personas": ([("O1", *person)], "orden_nro string, dni string, tipo_dni string, dni_pais_emisor string"),
+        }
+        sources = {n: spark.createDataFrame(rows, schema) for n, (rows, schema) in loads.items()}
+        now = F.lit(f"2026-06-{day:02d}").cast("timestamp")
+        for name in SATELLITE:
+            if name.startswith("vigencia_"):
+                stored = read_if_present(spark, f"{root}/{name}")
+                vault.satellite_rows(name, sources, stored, now).write.mode("append").parquet(f"{root}/{name}")
+        return {n: h.current_version(spark.read.parquet(f"{root}/{n}")) for n in SATELLITE if n.startswith("vigencia_")}
+
+    chile, peru = ("7", "RUN", "Chile"), ("7", "DNI", "Perú")
+    moves = [("A", "A", "M1", 20, chile), ("B", "B", "M2", 21, peru), ("A", "B", "M1", 20, chile), ("A", "B", "M1", 20, chile)]
+    for day, (plant, machine_plant, machine, week, person) in enumerate(moves, 1):
+        now = load(day, plant, machine_plant, machine, week, person)
+        assert [r.planta_canon for r in now["vigencia_punto_planta"].collect()] == [plant]
+        assert [(r.ubicacion_tecnica, r.semana_nro) for r in now["vigencia_ot_maqctrl"].collect()] == [(machine, week)]
+        assert [(r.dni, r.tipo_dni, r.dni_pais_emisor) for r in now["vigencia_ot_responsable"].collect()] == [person]
+        assert sorted(r.planta_canon for r in now["vigencia_maqctrl_planta"].collect()) == sorted([machine_plant, "B"])
+    assert spark.read.parquet(f"{root}/vigencia_punto_planta").count() == 3
+
+
+def test_two_people_with_one_number(spark):
+    rows = [("O1", "7", "RUN", "Chile"), ("O1", "7", "DNI", "Perú")]
+    src = spark.createDataFrame(rows, "orden_nro string, dni string, tipo_dni string, dni_pais_emisor string")
+    links = vault.link_rows("relacion_ot_responsable", {"ordenes_personas": src}, None, F.current_timestamp())
+    assert links.select(h.KEY).distinct().count() == 2

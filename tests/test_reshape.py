@@ -125,8 +125,12 @@ def test_normalized_join(spark):
 
 def test_densify(spark):
     points = spark.createDataFrame([(1,), (2,)], "punto_nro int")
-    fact = spark.createDataFrame([(1, 2026, 1, 2.0)], "punto_nro int, anio int, semana_nro int, concentracion_mg_m3 double")
+    rows = [(1, 2026, 1, 2.0), (7, 2026, 1, 3.0), (1, 2026, 30, 4.0)]
+    fact = spark.createDataFrame(rows, "punto_nro int, anio int, semana_nro int, concentracion_mg_m3 double")
     out = densify(fact, points, date(2025, 12, 29), date(2026, 1, 18)).collect()
+    # facts of a point or a week outside the grid stay
+    assert {(r.punto_nro, r.semana_nro) for r in out if r.trimestre is None} == {(7, 1), (1, 30)}
+    out = [r for r in out if r.trimestre is not None]
     assert len(out) == 6
     assert sorted((r.punto_nro, r.semana_nro, r.estado, r.motivo_no_medicion) for r in out if r.punto_nro == 1) == [
         (1, 1, "medido", None),
