@@ -30,7 +30,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 LENGTH = 50
 SEED = 20  # bytes of the short windows
 SEED_WIDTH = 5  # bytes of their keys: they only choose what is compared, so two that clash do no harm
-SHARD_BYTES = 3_000_000
+SHARD_BYTES = 2_000_000
 MOST_ALIKE = 2_000  # documents of one smallest window that share a shard
 MOST_COUNTED = 65_535  # documents of one short window, as far as they are counted; also: not known
 BLOCK_CHARS = 1_500_000
@@ -207,22 +207,32 @@ def _send_seeds(bits: int, n: int, k: int):
             # of a string of n bytes, so many on one side of the short window or the other are inside
             sides = np.zeros(len(keys), SIDES)
             sides["right"], sides["left"] = seeds.beside((n - k) // 2), seeds.beside(-((n - k) // 2))
-            order = np.lexsort((sides["right"], sides["left"], keys, owner))
-            keys, owner, sides = keys[order], owner[order], sides[order]
-            new = np.ones(len(keys), bool)
-            new[1:] = (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1]) | (sides[1:] != sides[:-1])
-            rows = list(buckets.sent(part.column("uid").to_numpy(), owner[new], keys[new], bits, sides[new], SEED_WIDTH))
+            # once for each document: sorted by a hash of all, equal ones are neighbours
+            order = np.argsort(_mixed(keys, owner, sides["right"], sides["left"]))
+            new = np.ones(len(order), bool)
+            for c in (keys, owner, sides["right"], sides["left"]):
+                new[1:] &= c[order[1:]] == c[order[:-1]]
+            new[1:] ^= True
+            one = np.sort(order[new])
+            rows = list(buckets.sent(part.column("uid").to_numpy(), owner[one], keys[one], bits, sides[one], SEED_WIDTH))
             yield pa.RecordBatch.from_pylist(rows, schema=buckets.SENT_ARROW)
 
     return send
 
 
+def _mixed(*columns: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(columns[0]), np.uint64)
+    for c in columns:
+        out = buckets.mixed(out * np.uint64(0x9E3779B97F4A7C15) + c.astype(np.uint64))
+    return out
+
+
 def _groups(*columns: np.ndarray) -> np.ndarray:
-    """A number for each row, equal for equal rows."""
-    order = np.lexsort(columns)
+    """A number for each row, equal for equal rows (told apart by 64 bits of hash)."""
+    keys = _mixed(*columns)
+    order = np.argsort(keys)
     new = np.zeros(len(order), bool)
-    for c in columns:
-        new[1:] |= c[order][1:] != c[order][:-1]
+    new[1:] = keys[order][1:] != keys[order][:-1]
     out = np.empty(len(order), np.int64)
     out[order] = np.cumsum(new)
     return out
@@ -334,6 +344,12 @@ def _sorted_shards(bits: int, n: int, k: int):
 
 def _shard(held: list[tuple], bits: int, n: int, k: int) -> pa.RecordBatch:
     held.sort(key=lambda h: (h[0], h[2]))
+    # of equal stretches only those of the smallest document are sorted: all of the others goes
+    least: dict[bytes, int] = {}
+    for h in held:
+        least[h[4]] = min(least.get(h[4], LAST), h[1])
+    copies = [h for h in held if h[1] > least[h[4]]]
+    held = [h for h in held if h[1] == least[h[4]]]
     uids, orders, begins = (np.array([h[i] for h in held], np.int64) for i in range(3))
     data = [h[4] for h in held]
     text = np.frombuffer(b"".join(data), np.uint8)
@@ -345,37 +361,41 @@ def _shard(held: list[tuple], bits: int, n: int, k: int) -> pa.RecordBatch:
     gone, smallest = equal_strings(text, valid, orders[owner], n)
     # a short window that as many documents hold here as anywhere has nothing to do with other shards
     seeds = Seeds(data, n, k)
-    much = np.frombuffer(b"".join(h[3] for h in held), "<u2").astype(np.int64)
     keys = seeds.keys[seeds.at]
+    cuts = np.searchsorted(seeds.owner, np.arange(len(held) + 1))
+    stretch = {d: i for i, d in enumerate(data)}
+    twins = [stretch[h[4]] for h in copies]
+    all_keys = np.concatenate([keys, *(keys[cuts[i] : cuts[i + 1]] for i in twins)])
+    all_uids = np.concatenate([uids[seeds.owner], *(np.full(cuts[i + 1] - cuts[i], h[0]) for i, h in zip(twins, copies))])
+    much = np.frombuffer(b"".join(h[3] for h in [*held, *copies]), "<u2").astype(np.int64)
+    group = _groups(all_keys)
     at = np.flatnonzero(much)
-    one = at[np.unique(_groups(keys[at], uids[seeds.owner[at]]), return_index=True)[1]] if len(at) else at
-    here = np.zeros(len(keys), np.int64)
-    here[one] = 1
-    group = _groups(keys)
-    here = np.bincount(group, weights=here, minlength=1).astype(np.int64)[group]
-    most = np.zeros(int(group.max(initial=0)) + 1, np.int64)
+    one = at[np.unique(_groups(all_keys[at], all_uids[at]), return_index=True)[1]]
+    here = np.bincount(group[one], minlength=int(group.max(initial=0)) + 1)
+    most = np.zeros(len(here), np.int64)
     np.maximum.at(most, group, much)
-    most = most[group]
-    away = np.zeros(len(text), bool)
+    here, most, much = here[group[: len(keys)]], most[group[: len(keys)]], much[: len(keys)]
     elsewhere = seeds.strings((much > 0) & ((here < most) | (most >= MOST_COUNTED)))
+    away = np.zeros(len(text), bool)
     away[: len(elsewhere)] = elsewhere
     smallest = smallest[away[smallest]]
-    documents, document = np.unique(uids, return_inverse=True)
-    about = np.stack([documents, orders[np.unique(uids, return_index=True)[1]]], axis=1)
-    owner = document[owner]
-    keys = buckets.window_keys(text.astype(np.uint64), n)[smallest]
-    rows = list(buckets.sent(about, owner[smallest], keys, bits, place[smallest].astype("<u4")))
+    documents, at, document = np.unique(uids, return_index=True, return_inverse=True)
+    about = np.stack([documents, orders[at]], axis=1)
+    strings = buckets.window_keys(text.astype(np.uint64), n)[smallest]
+    rows = list(buckets.sent(about, document[owner[smallest]], strings, bits, place[smallest].astype("<u4")))
     # runs of places that go, for each document, ride along to a bucket
-    step = np.flatnonzero((np.diff(gone, prepend=-2) != 1) | (np.diff(owner[gone], prepend=-1) != 0) | (np.diff(place[gone], prepend=-2) != 1))
-    if len(step):
-        long = np.diff(step, append=len(gone))
-        who = owner[gone[step]]
-        first = np.flatnonzero(np.diff(who, prepend=-1))
+    step = np.flatnonzero((np.diff(gone, prepend=-2) != 1) | (np.diff(owner[gone], prepend=-1) != 0))
+    runs = np.stack([uids[owner[gone[step]]], place[gone[step]], np.diff(step, append=len(gone))], axis=1) if len(step) else np.zeros((0, 3), np.int64)
+    whole = [(h[0], h[2], len(h[4]) - n + 1) for h in copies]
+    runs = np.concatenate([runs, np.array(whole, np.int64).reshape(-1, 3)])
+    if len(runs):
+        runs = runs[np.argsort(runs[:, 0], kind="stable")]
+        first = np.flatnonzero(np.diff(runs[:, 0], prepend=-1))
         rows.append({
-            "bucket": int(uids[0]) % (1 << bits), "top": None, "keys": None,
-            "docs": buckets._packed(np.diff(documents[who[first]], prepend=0)),
-            "sizes": buckets._packed(np.diff(first, append=len(who)).astype("<u4")),
-            "extra": buckets._packed(np.stack([place[gone[step]], long], axis=1).astype("<u4")),
+            "bucket": int(runs[0, 0]) % (1 << bits), "top": None, "keys": None,
+            "docs": buckets._packed(np.diff(runs[first, 0], prepend=0)),
+            "sizes": buckets._packed(np.diff(first, append=len(runs)).astype("<u4")),
+            "extra": buckets._packed(runs[:, 1:].astype("<u4")),
         })
     return pa.RecordBatch.from_pylist(rows, schema=buckets.SENT_ARROW)
 
