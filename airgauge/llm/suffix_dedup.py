@@ -33,7 +33,7 @@ SEED_WIDTH = 5  # bytes of their keys: they only choose what is compared, so two
 SHARD_BYTES = 2_000_000
 MOST_ALIKE = 2_000  # documents of one smallest window that share a shard
 MOST_COUNTED = 65_535  # documents of one short window, as far as they are counted; also: not known
-BLOCK_CHARS = 1_500_000
+BLOCK_CHARS = 1_000_000
 CHARS_PER_KEY = 16.0
 LAST = np.iinfo(np.int64).max  # the order of documents without an id: after all others
 WALKS = 64  # steps of Kasai's walk; as many walks at once as it takes
@@ -303,7 +303,7 @@ def _stretches(n: int, k: int):
             much = np.minimum(holders(keys, text[inner.owner]), MOST_COUNTED).astype("<u2")
             # stretches of one document that hold the same window may part; then none knows that all are with it
             pair = _groups(keys, text[inner.owner])
-            once = np.unique(np.stack([pair, inner.owner], axis=1), axis=0)[:, 0]
+            once = pair[np.unique(_groups(pair, inner.owner), return_index=True)[1]]
             much[(much > 0) & (np.bincount(once, minlength=1)[pair] > 1)] = MOST_COUNTED
             # the smallest repeated window of the stretch names its shard
             cuts = np.searchsorted(inner.owner, np.arange(len(data) + 1))
