@@ -662,6 +662,10 @@ CHUNK_COUNT = " UNION ALL ".join(
 )
 
 
+CTES["cobertura_visible"] = """SELECT * FROM cobertura_semanal WHERE planta_canon IN
+    (SELECT value FROM permisos WHERE user_id = 'Customer#000000001' AND dimension = 'planta')"""
+
+
 def governed_sql(name: str, plant: str = "planta_canon") -> str:
     return f"""SELECT * FROM ({REPORT_SQL[name]}) r WHERE {plant} IN
         (SELECT value FROM permisos WHERE user_id = 'Customer#000000001' AND dimension = 'planta')"""
@@ -878,6 +882,8 @@ def bodies() -> dict[str, str]:
     out.update({f"question_{b.lower()}_{names[b]}": sql(EARLIER_SQL[b]) for b in names})
     out.update({f"report_{n}": sql(s) for n, s in REPORT_SQL.items()})
     out.update({f"kpi_{n}": sql(s) for n, s in KPI_SQL.items()})
+    visible = {n: s.replace("cobertura_semanal", "cobertura_visible") for n, s in KPI_SQL.items()}
+    out.update({f"kpi_{n}_for_user": sql(s) for n, s in visible.items()})
     out.update({f"hub_{n}": s for n, s in HUB_SQL.items()})
     out.update({f"link_{n}": s for n, s in LINK_SQL.items()})
     out.update({f"satellite_{n}": s for n, s in SATELLITE_SQL.items()})

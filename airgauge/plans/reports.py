@@ -165,3 +165,15 @@ def kpi_critical_points(mart: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("puntos_totales"),
         kpi_severity(over.cast("double"), "puntos-criticos-ultima-jornada").alias("nivel"),
     )
+
+
+KPIS = {
+    "concentracion_maxima_ultima_jornada": kpi_max_last_session,
+    "pct_sobre_limite_anual": kpi_percent_over_limit,
+    "puntos_criticos_ultima_jornada": kpi_critical_points,
+}
+
+
+def kpi(name: str, mart: DataFrame, grants: DataFrame, user_id: str) -> DataFrame:
+    """A KPI as one user sees it: the coverage rows of other plants are gone before its session is found."""
+    return KPIS[name](governed(mart, grants, user_id, {"planta": "planta_canon"}, ("planta",)))

@@ -467,6 +467,11 @@ def report_for_user(name: str) -> Query:
     return lambda spark, d: rep.report(name, st.marts(spark, d), _expanded(spark, d), user)
 
 
+def kpi_for_user(name: str) -> Query:
+    user = "Customer#000000001"
+    return lambda spark, d: rep.kpi(name, st.marts(spark, d)["cobertura_semanal"], _expanded(spark, d), user)
+
+
 def points_by_level(spark: SparkSession, d: str) -> DataFrame:
     """Points each user may see by classification: the user's level must reach the point's."""
     t = st.Tables(spark, d)
@@ -633,20 +638,27 @@ def nearest_vectors_recall(spark: SparkSession, d: str) -> DataFrame:
 def weekly_stream(spark: SparkSession, d: str) -> DataFrame:
     folder = shared_dir(spark, "semanas")
     schema = st.Tables(spark, d).events.schema
-    events = inc.read_files(spark, d, schema, only="events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    events = inc.read_table(spark, f"{d}/events.parquet", schema).withColumn("ts", F.col("ts").cast("timestamp"))
     weekly = inc.weekly_readings(events, "ts", "value", ["event_type"])
     inc.stream_weekly(weekly, f"{folder}/datos", f"{folder}/control").awaitTermination()
     return inc.latest_windows(spark, f"{folder}/datos", ["event_type"])
 
 
+def worst_conditions(batch: DataFrame, root: str) -> DataFrame:
+    """Conditions of a batch, as grave as the worst event of this batch or any before it."""
+    stored = ld.read_if_present(batch.sparkSession, f"{root}/detalle_condicion_estado")
+    key = SATELLITE["detalle_condicion_estado"].key
+    return inc.no_milder(st.conditions_of(batch), stored, key, "severidad", ("leve", "medio", "grave"))
+
+
 def landing_stream(spark: SparkSession, d: str) -> DataFrame:
     """Events land as a stream and load the observed-condition tables."""
     folder = shared_dir(spark, "aterrizaje")
     schema = st.Tables(spark, d).events.schema
-    events = inc.read_files(spark, d, schema, only="events.parquet")
+    events = inc.read_table(spark, f"{d}/events.parquet", schema)
 
     def sources(batch: DataFrame) -> dict[str, DataFrame]:
-        return {"condiciones_observadas": st.conditions_of(batch)}
+        return {"condiciones_observadas": worst_conditions(batch, f"{folder}/datos")}
 
     inc.stream_landing(events, f"{folder}/datos", f"{folder}/control", sources).awaitTermination()
     link = spark.read.parquet(f"{folder}/datos/relacion_condicion_observada")
@@ -700,6 +712,8 @@ def runnable() -> dict[str, Query]:
         out[fn.__name__] = fn
     for name in rep.REPORTS:
         out[f"report_for_user_{name}"] = report_for_user(name)
+    for name in rep.KPIS:
+        out[f"kpi_{name}_for_user"] = kpi_for_user(name)
     for qid in q.QUESTIONS:
         out[f"chunks_{slug(qid)}"] = question_chunks(qid)
     for fn in (

@@ -55,6 +55,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(hadoop).isDirectory()
+
+
 def scan_csv(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     """Every column as text. With declared columns no pass over the data is needed for a schema."""
     reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("encoding", "UTF-8")

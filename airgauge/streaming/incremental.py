@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from airgauge.functions.columns import record_key
+from airgauge.operators.history import KEY, current_version
 from airgauge.plans.vault import load_history
+from airgauge.sources.landing import is_folder
 
 
 def read_files(spark: SparkSession, directory: str, schema: StructType, fmt: str = "parquet", only: str | None = None,
@@ -24,6 +27,14 @@ def read_files(spark: SparkSession, directory: str, schema: StructType, fmt: str
     return reader.load(directory)
 
 
+def read_table(spark: SparkSession, path: str, schema: StructType, **options) -> DataFrame:
+    """A stored table as a stream, be it a folder of part files or one file."""
+    if is_folder(spark, path):
+        return read_files(spark, path, schema, **options)
+    folder, _, name = path.rpartition("/")
+    return read_files(spark, folder, schema, only=name, **options)
+
+
 def stream_landing(
     landed: DataFrame,
     root: str,
@@ -52,10 +63,25 @@ def stream_landing(
     )
 
 
+def no_milder(new: DataFrame, stored: DataFrame | None, key: Sequence[str], column: str, order: Sequence[str]) -> DataFrame:
+    """`new` with the worse of its own and the stored current value of `column` for each key.
+
+    What a key ends with is then the worst of all batches, however the input is cut into them.
+    """
+    if stored is None:
+        return new
+    rank = F.array(*[F.lit(x) for x in order])
+    now = current_version(stored).select(KEY, F.col(column).alias("_before"))
+    both = new.withColumn(KEY, record_key(new, key)).join(now, KEY, "left")
+    worse = F.array_position(rank, F.col("_before")) > F.array_position(rank, F.col(column))
+    return both.withColumn(column, F.when(worse, F.col("_before")).otherwise(F.col(column))).select(*new.columns)
+
+
 def weekly_readings(readings: DataFrame, time: str, value: str, keys: list[str], late: str = "7 days") -> DataFrame:
     """Count, sum and extremes of readings per key and calendar week (Monday to Sunday).
 
-    Windows start on Mondays: the epoch was a Thursday, hence the shift of four days.
+    Windows start on Mondays: the epoch was a Thursday, hence the shift of four days. A reading
+    more than `late` behind the newest one may find its window closed, and is then left out.
     """
     exact = F.col(value).cast("decimal(18,6)")
     return (

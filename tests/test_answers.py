@@ -241,6 +241,35 @@ def test_landing_stream_restarts_without_doubles(spark, sf, tmp_path):
     assert spark.read.parquet(f"{root}/detalle_condicion_estado").count() == first
 
 
+@pytest.mark.parametrize("files", [1, 4])
+def test_landing_stream_does_not_depend_on_batches(spark, sf, tmp_path, files):
+    """The severity a key ends with is the worst of all its events, in one batch or in one per file."""
+    from airgauge.operators import history as h
+    from airgauge.registry import worst_conditions
+
+    events = st.Tables(spark, sf).events
+    src, root = str(tmp_path / "src"), str(tmp_path / "root")
+    events.repartition(files).write.parquet(src)
+    landed = inc.read_files(spark, src, events.schema, files_per_batch=1)
+    inc.stream_landing(
+        landed, root, f"{tmp_path}/cp", lambda b: {"condiciones_observadas": worst_conditions(b, root)}
+    ).awaitTermination()
+    key = ["punto_nro", "condicion_codigo", "anio", "semana_nro"]
+    state = h.current_version(spark.read.parquet(f"{root}/detalle_condicion_estado")).select(h.KEY, "severidad")
+    got = spark.read.parquet(f"{root}/relacion_condicion_observada").select(h.KEY, *key).join(state, h.KEY).drop(h.KEY)
+    want = st.conditions_of(events).select(*got.columns)
+    assert got.exceptAll(want).count() == 0 and got.count() == want.count()
+
+
+def test_streams_take_a_folder_or_a_file(spark, sf, tmp_path):
+    events = st.Tables(spark, sf).events
+    events.repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    for n, path in enumerate((f"{tmp_path}/events.parquet", f"{sf}/events.parquet")):
+        stream = inc.read_table(spark, path, events.schema).withColumn("ts", F.col("ts").cast("timestamp"))
+        inc.stream_weekly(inc.weekly_readings(stream, "ts", "value", ["event_type"]), f"{tmp_path}/o{n}", f"{tmp_path}/c{n}").awaitTermination()
+        assert inc.latest_windows(spark, f"{tmp_path}/o{n}", ["event_type"]).agg(F.sum("n")).first()[0] == events.count()
+
+
 def test_one_hot_key_stays_whole(spark):
     """A point with a third of all rows: same answers, and aggregates combine before the shuffle."""
     n = 30000
