@@ -39,7 +39,7 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """
     base = spark.conf.get(SHARED_DIR_KEY, None)
     if not base:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError(f"{SHARED_DIR_KEY} must name a folder that driver and executors share")
         base = spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/airgauge/{name}-{uuid.uuid4().hex}"
