@@ -10,10 +10,12 @@ covered points, and fact to causes.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from airgauge.functions.columns import exact_avg, to_numeric
 from airgauge.plans.frames import (
@@ -26,8 +28,11 @@ from airgauge.plans.frames import (
     SCOPE_MAINTENANCE,
     STOPPED_MACHINE,
     Frames,
+    Lazy,
 )
+from airgauge.sources.landing import write_mart, write_overwrite
 
+SCHEMAS = "esquemas"
 WEEK = ["anio", "semana_nro"]
 POINT_WEEK = ["punto_nro", *WEEK]
 MAIN_CAUSE_WEIGHT = 0.80
@@ -313,3 +318,26 @@ MARTS: dict[str, Callable[[Frames], DataFrame]] = {
     "ejecucion_ot": orders_done,
     "ot_en_curso": orders_open,
 }
+
+
+def build_marts(frames: Frames, root: str) -> None:
+    """Stores every mart, those with a year partitioned by it. A rerun replaces what a lost job left.
+
+    Their schemas are stored beside them: a mart without rows has no file that could tell its own.
+    """
+    made = {name: build(frames) for name, build in MARTS.items()}
+    for name, mart in made.items():
+        if "anio" in mart.columns:
+            write_mart(mart, f"{root}/{name}")
+        else:
+            write_overwrite(mart, f"{root}/{name}")
+    spark = next(iter(made.values())).sparkSession
+    schemas = [(name, mart.schema.json()) for name, mart in made.items()]
+    write_overwrite(spark.createDataFrame(schemas, "mart string, esquema string"), f"{root}/{SCHEMAS}")
+
+
+def stored_marts(spark: SparkSession, root: str) -> Lazy:
+    """The stored marts by name: questions on them scan a mart and prune its years instead of building it."""
+    rows = spark.read.parquet(f"{root}/{SCHEMAS}").collect()  # one row per mart
+    schemas = {r.mart: T.StructType.fromJson(json.loads(r.esquema)) for r in rows}
+    return Lazy({n: lambda n=n: spark.read.schema(schemas[n]).parquet(f"{root}/{n}").select(*schemas[n].names) for n in MARTS})

@@ -7,7 +7,7 @@ from airgauge.operators.orders import ORDER_COLUMNS, OrderSheet
 from airgauge.plans import ingest as ing
 from airgauge.plans import questions as q
 from airgauge.plans.frames import Lazy
-from airgauge.plans.marts import MARTS
+from airgauge.plans.marts import MARTS, build_marts, stored_marts
 from airgauge.operators import history as h
 from airgauge.plans import vault
 from airgauge.plans.catalog import SATELLITE
@@ -87,6 +87,15 @@ def test_files_to_answers_and_a_second_week(spark, tmp_path):
     versions = spark.read.parquet(f"{root}/detalle_medicion")
     assert versions.count() == 4 and versions.agg(F.max("version_seq")).first()[0] == 2
 
+    build_marts(frames_from_history(spark, root), f"{root}/marts")
+    stored = stored_marts(spark, f"{root}/marts")
+    for name in MARTS:
+        assert stored[name].select(*m[name].columns).exceptAll(m[name]).count() == 0 and stored[name].count() == m[name].count()
+    assert q.QUESTIONS["P1"].run(stored).first().concentracion_mg_m3 == 4.5
+    why = q.QUESTIONS["P7"].run(stored, punto=1)
+    plan = why._jdf.queryExecution().executedPlan().toString()
+    assert why.count() == q.QUESTIONS["P7"].run(m, punto=1).count() and "detalle_medicion" not in plan
+
 
 def test_frames_after_moves(spark, tmp_path):
     """A point, a machine, an order and a person in charge move, and one comes back: one row per key, always the last."""
