@@ -1,10 +1,11 @@
 """Near copies among embeddings by navigable small-world graphs, one per shard of a label.
 
 A shard's graph has layers, each over a share of the one below. A query walks down the layers and then
-widens a beam in the lowest one. Every vector queries every shard of its label. A query whose whole beam is
-still similar enough is asked again with a beam twice as wide, and a shard whose audit (a sample of queries
-against all its vectors) finds too few widens all beams, at last to the whole shard. What is found is
-verified in double precision; links become components.
+widens a beam in the lowest one. Every vector queries every shard of its label; a pair that either side
+finds is a link of both. A query whose whole beam is still similar enough is asked again with a beam twice
+as wide, and a shard whose audit (samples of its own vectors, of the same as strangers, and of vectors of
+the label's other shards, each against all its vectors) finds too few widens all beams, at last to the
+whole shard. What is found is verified in double precision; links become components.
 """
 
 from __future__ import annotations
@@ -24,11 +25,12 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SIMILAR = 0.93
 SHARD = 8_192  # vectors of one graph
-BLOCK = 2_048  # queries a task asks one graph
+BLOCK = 2_048  # queries that one graph is asked at once
 STEP = 128  # queries that walk at once
 LINKS, LOWEST_LINKS = 16, 32  # of a node in an upper and in the lowest layer
 BUILD_BEAM, BEAM = 48, 48
 AUDITED, RECALL = 64, 0.995
+STRANGERS = 1_024  # vectors of a label, about, from which audits take those of other shards
 SLACK = 1e-4  # single precision in the walk
 
 
@@ -188,25 +190,50 @@ class Graph:
             beam *= 2
         return np.concatenate([np.zeros(0, np.int64), *queries]), np.concatenate([np.zeros(0, np.int64), *nodes])
 
-    def audited(self, least: float, recall: float = RECALL) -> tuple[int, float]:
-        """The beam at which the queries of an audit find enough of what comparing with all vectors finds."""
+    def audited(self, least: float, others: np.ndarray | None = None, recall: float = RECALL) -> tuple[int, float]:
+        """The beam at which all queries of an audit find enough of what comparing with all vectors finds.
+
+        Own vectors that start at their node, own vectors as strangers, and `others` (vectors of other shards)
+        pass each by themselves. Nobody's own node counts as found. The share found is that of the links and
+        the mean over the queries, whichever is less: a crowd does not hide the pairs that are missed.
+        """
         n = len(self.x)
-        some = np.random.default_rng(0).choice(n, min(AUDITED, n), replace=False)
-        true = self.x[some] @ self.x.T >= least
-        true[np.arange(len(some)), some] = False
-        # vectors without any neighbour show nothing: those that have one are audited too
-        linked = [np.flatnonzero((self.x[a : a + 512] @ self.x[: 1 << 12].T >= least).sum(axis=1) > 1) + a for a in range(0, n, 512)]
-        linked = np.concatenate([np.zeros(0, np.int64), *linked])
-        some = np.unique(np.concatenate([some, linked[:: max(1, len(linked) // AUDITED)]]))
-        true = self.x[some] @ self.x.T >= least
+        nodes, true = self._with_neighbours(self.x, np.arange(n), least)
+        lots = [(self.x[nodes], nodes, nodes, true), (self.x[nodes], np.full(len(nodes), -1), nodes, true)]
+        if others is not None and len(others):
+            no = np.full(len(others), -1)
+            some, met = self._with_neighbours(others, no, least)
+            lots.append((others[some], no[some], no[some], met))
         beam = BEAM
         while True:
-            i, j = self.near(self.x[some], some, least, beam)
-            found = true[i, j].sum() / max(1, true.sum())
+            found = min(self._share(*lot, least, beam) for lot in lots)
             if found >= recall or beam >= n:
-                return beam, float(found)
+                return beam, found
             beam *= 2
 
+    def _with_neighbours(self, q: np.ndarray, own: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+        """Some of the queries that have neighbours other than `own` anywhere in the shard, and which these are."""
+        linked = [np.zeros(0, np.int64)]
+        for at in range(0, len(q), 512):
+            linked.append(at + np.flatnonzero(self._alike(q[at : at + 512], own[at : at + 512], least).any(axis=1)))
+        linked = np.concatenate(linked)
+        linked = linked[:: max(1, len(linked) // AUDITED)]
+        return linked, self._alike(q[linked], own[linked], least)
+
+    def _alike(self, q: np.ndarray, own: np.ndarray, least: float) -> np.ndarray:
+        alike = q @ self.x.T >= least
+        alike[np.flatnonzero(own >= 0), own[own >= 0]] = False
+        return alike
+
+    def _share(self, q: np.ndarray, start: np.ndarray, own: np.ndarray, true: np.ndarray, least: float, beam: int) -> float:
+        if not len(q):
+            return 1.0
+        i, j = self.near(q, start, least, beam)
+        found = np.zeros_like(true)
+        found[i, j] = True
+        found &= true
+        return float(min(found.sum() / true.sum(), (found.sum(axis=1) / true.sum(axis=1)).mean()))
+
 
 # --- Spark ------------------------------------------------------------------------
 
@@ -218,59 +245,82 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _graph(table: pa.Table) -> pa.Table:
-    """The graph of a shard, as one row: its vectors' ids and weights, the vectors, its layers, the audited beam."""
+GRAPH = pa.schema([
+    ("grp", pa.int64()), ("shard", pa.int32()), ("shards", pa.int32()), ("ids", pa.binary()), ("weights", pa.binary()), ("vectors", pa.binary()),
+    ("layers", pa.list_(pa.binary())), ("entry", pa.int64()), ("beam", pa.int64()), ("recall", pa.float64()),
+])
+LINK = pa.schema([("cid", pa.int64()), ("links", pa.int64()), ("root", pa.int64())])
+
+
+def _graph(table: pa.Table, sample: pa.Table) -> pa.Table:
+    """The graph of a shard, as one row: its vectors' ids and weights, the vectors, its layers, the audited beam.
+
+    `sample` is of the whole label; its vectors of other shards take part in the audit.
+    """
+    if not table.num_rows:
+        return GRAPH.empty_table()
     table = table.sort_by("cid")
-    x = _matrix(table["vector"])
+    x, ids = _matrix(table["vector"]), table["cid"].to_numpy()
     graph = Graph.build(x.astype(np.float32))
-    beam, recall = graph.audited(SIMILAR - SLACK)
+    sample = sample.sort_by("cid")
+    sample = sample.filter(pa.array(~np.isin(sample["cid"].to_numpy(), ids)))
+    others = _matrix(sample["vector"]).astype(np.float32) if sample.num_rows else None
+    beam, recall = graph.audited(SIMILAR - SLACK, others)
     return pa.table({
-        "grp": table["grp"][:1], "shard": table["shard"][:1],
-        "ids": [table["cid"].to_numpy().tobytes()], "weights": [table["weight"].to_numpy().tobytes()], "vectors": [x.tobytes()],
+        "grp": table["grp"][:1], "shard": table["shard"][:1], "shards": table["shards"][:1],
+        "ids": [ids.tobytes()], "weights": [table["weight"].to_numpy().tobytes()], "vectors": [x.tobytes()],
         "layers": [[h.tobytes() for h in graph.layers]], "entry": [graph.entry], "beam": [beam], "recall": [recall],
-    })
-
-
-def _asked(key: tuple, graphs: pa.Table, queries: pa.Table) -> pa.Table:
-    """One block of queries to one shard's graph: links of each query there, and one edge a vector to the smallest it hangs with."""
-    if not graphs.num_rows or not queries.num_rows:
-        return pa.table({"cid": pa.array([], pa.int64()), "links": pa.array([], pa.int64()), "root": pa.array([], pa.int64())})
-    g = graphs.to_pylist()[0]
-    ids, weights = np.frombuffer(g["ids"], np.int64), np.frombuffer(g["weights"], np.int64)
-    exact = np.frombuffer(g["vectors"], np.float64).reshape(len(ids), -1)
-    layers = [np.frombuffer(h, np.int32).reshape(len(ids), -1) for h in g["layers"]]
-    graph = Graph(exact.astype(np.float32), layers, g["entry"])
-    queries = queries.sort_by("cid")
-    q, qid = _matrix(queries["vector"]), queries["cid"].to_numpy()
-    own = np.minimum(np.searchsorted(ids, qid), len(ids) - 1)
-    own = np.where(ids[own] == qid, own, -1)
-    i, j = graph.near(q.astype(np.float32), own, SIMILAR - SLACK, g["beam"])
-    keep = []
-    for at in range(0, len(i), 1 << 16):
-        a, b = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
-        keep.append((np.einsum("nd,nd->n", q[a], exact[b]) >= SIMILAR) & (qid[a] != ids[b]))
-    keep = np.concatenate([np.zeros(0, bool), *keep])
-    i, j = i[keep], j[keep]
-    links = np.bincount(i, weights=weights[j], minlength=len(qid)).astype(np.int64)
-    # smallest id hanging together with each vector, by the links of this block alone
-    names = np.unique(np.concatenate([qid, ids]))
-    a, b = np.searchsorted(names, qid[i]), np.searchsorted(names, ids[j])
-    root = np.arange(len(names))
-    while True:
-        low = np.minimum(root[a], root[b])
-        new = root.copy()
-        np.minimum.at(new, a, low)
-        np.minimum.at(new, b, low)
-        new = new[new]
-        if (new == root).all():
-            break
-        root = new
-    moved = np.flatnonzero(root != np.arange(len(names)))
-    return pa.table({
-        "cid": pa.array(np.concatenate([qid, names[moved]])),
-        "links": pa.array(np.concatenate([links, np.zeros(len(moved), np.int64)])),
-        "root": pa.array(np.concatenate([qid, names[root[moved]]])),
-    })
+    }).cast(GRAPH)
+
+
+class Shard:
+    """A stored graph with its vectors in double precision, their ids (ascending) and weights."""
+
+    def __init__(self, row: dict):
+        self.ids, self.weights = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["weights"], np.int64)
+        self.exact = np.frombuffer(row["vectors"], np.float64).reshape(len(self.ids), -1)
+        layers = [np.frombuffer(h, np.int32).reshape(len(self.ids), -1) for h in row["layers"]]
+        self.graph, self.beam = Graph(self.exact.astype(np.float32), layers, row["entry"]), row["beam"]
+
+    def __len__(self) -> int:
+        return len(self.ids)
+
+
+def _met(key: tuple, graphs: pa.Table) -> pa.Table:
+    """Two shards of a label, or one and itself: links of each vector there, and the smallest it hangs with by them.
+
+    The vectors of each shard ask the graph of the other. A pair counts once, for both, whichever side found it.
+    """
+    shards = [Shard(g) for g in graphs.sort_by("shard").to_pylist()]
+    same = key[1].as_py() == key[2].as_py()
+    if len(shards) < (1 if same else 2):
+        return LINK.empty_table()
+    a, b = shards[0], shards[-1]
+    hit = np.zeros((len(a), len(b)), bool)
+    for asking, asked, cells in ((a, b, hit),) if same else ((a, b, hit), (b, a, hit.T)):
+        for at in range(0, len(asking), BLOCK):
+            some = np.arange(at, min(at + BLOCK, len(asking)))
+            i, j = asked.graph.near(asking.graph.x[some], some if same else np.full(len(some), -1), SIMILAR - SLACK, asked.beam)
+            cells[some[i], j] = True
+    if same:
+        hit = np.triu(hit | hit.T, 1)
+    names = np.unique(np.concatenate([a.ids, b.ids]))
+    at_a, at_b = np.searchsorted(names, a.ids), np.searchsorted(names, b.ids)
+    links, root = np.zeros(len(names), np.int64), np.arange(len(names))
+    for start in range(0, len(a), STEP):
+        i, j = np.nonzero(hit[start : start + STEP])
+        for at in range(0, len(i), 1 << 16):
+            p, r = start + i[at : at + (1 << 16)], j[at : at + (1 << 16)]
+            sure = np.einsum("nd,nd->n", a.exact[p], b.exact[r]) >= SIMILAR
+            p, r = p[sure], r[sure]
+            u, v = at_a[p], at_b[r]
+            links += np.bincount(u, weights=b.weights[r], minlength=len(names)).astype(np.int64)
+            links += np.bincount(v, weights=a.weights[p], minlength=len(names)).astype(np.int64)
+            while (root[u] != root[v]).any():  # the larger of two roots is hung to the smaller
+                np.minimum.at(root, np.maximum(root[u], root[v]), np.minimum(root[u], root[v]))
+                while (root[root] != root).any():
+                    root = root[root]
+    return pa.table({"cid": names, "links": links, "root": names[root]})
 
 
 def near_duplicates(vectors: DataFrame, id: str = "vec_id", embedding: str = "embedding", label: str = "label") -> DataFrame:
@@ -293,16 +343,18 @@ def near_duplicates(vectors: DataFrame, id: str = "vec_id", embedding: str = "em
     )
     sizes = classes.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
     placed = classes.join(sizes, "grp").withColumn("shards", F.ceil(F.col("n") / SHARD).cast("int"))
-    placed = placed.withColumn("shard", F.pmod(F.xxhash64("cid"), F.col("shards")).cast("int")).withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-    schema = "grp bigint, shard int, ids binary, weights binary, vectors binary, layers array<binary>, entry bigint, beam bigint, recall double"
-    graphs = placed.select("grp", "shard", "cid", "weight", "vector").groupBy("grp", "shard").applyInArrow(_graph, schema)
+    placed = placed.withColumn("shard", F.pmod(F.xxhash64("cid"), F.col("shards")).cast("int"))
+    sample = placed.where((F.col("shards") > 1) & (F.pmod(F.xxhash64("cid", F.lit(1)), F.ceil(F.col("n") / STRANGERS)) == 0))
+    every = F.explode(F.sequence(F.lit(0), F.col("shards") - 1))
+    sample = sample.select(every.alias("shard"), *[F.col(c).alias(c) for c in ("grp", "cid", "vector")])
+    keys = ["grp", "shard"]
+    schema = "grp bigint, shard int, shards int, ids binary, weights binary, vectors binary, layers array<binary>, entry bigint, beam bigint, recall double"
+    graphs = placed.select(*keys, "shards", "cid", "weight", "vector").groupBy(*keys).cogroup(sample.groupBy(*keys)).applyInArrow(_graph, schema)
     graphs = stored(graphs, "graphs")
-    blocks = placed.select("grp", "blocks").distinct()
-    asked = graphs.join(blocks, "grp").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
-    block = F.pmod(F.xxhash64("cid", F.lit(1)), F.col("blocks")).cast("int")
-    queries = placed.select("grp", block.alias("block"), F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), "cid", "vector")
-    keys = ["grp", "shard", "block"]
-    found = queries.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(lambda key, q, g: _asked(key, g, q), "cid bigint, links bigint, root bigint")
+    # every two shards of a label meet once, and each meets itself
+    other = graphs.select("*", every.alias("other"))
+    pairs = other.withColumn("a", F.least("shard", "other")).withColumn("b", F.greatest("shard", "other"))
+    found = pairs.groupBy("grp", "a", "b").applyInArrow(_met, "cid bigint, links bigint, root bigint")
     found = stored(found, "vector-links")
     roots = components(found.where("cid <> root").select(F.col("cid").alias("a"), F.col("root").alias("b")))
     links = found.groupBy("cid").agg(F.sum("links").alias("links"))

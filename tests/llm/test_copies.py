@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from airgauge.llm import embedding_dedup, jaccard_join, substring_dedup, suffix_dedup
@@ -185,6 +186,49 @@ def test_graph_recall():
         assert true[i, j].all() and len(i) >= 0.99 * true.sum()
 
 
+def near_pairs(n):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(n, 16))
+    x[1::2] = x[::2] + 0.02 * rng.normal(size=(n // 2, 16))
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def test_graph_audit_asks_as_strangers():
+    """Vectors that hang together in pairs only are found from their own node, but not from above."""
+    x = near_pairs(400).astype(np.float32)
+    mates = np.arange(400, dtype=np.int32).reshape(-1, 2)[:, ::-1].reshape(-1, 1)
+    graph = embedding_dedup.Graph(x, [mates], 0)
+    i, j = graph.near(x, np.arange(400), 0.93, embedding_dedup.BEAM)
+    assert set(zip(np.arange(400), mates[:, 0])) <= set(zip(i, j))
+    beam, found = graph.audited(0.93)
+    assert beam >= 400 and found == 1.0
+
+
+def test_graph_audit_asks_vectors_of_other_shards():
+    x = near_pairs(600).astype(np.float32)
+    links = np.concatenate([np.full((300, 1), -1, np.int32), np.arange(1, 301, dtype=np.int32)[:, None] % 300], axis=1)
+    graph = embedding_dedup.Graph(x[::2], [links], 0)  # a ring: no two of these are alike, but each has a mate elsewhere
+    assert graph.audited(0.93)[0] == embedding_dedup.BEAM
+    beam, found = graph.audited(0.93, x[1::2])
+    assert beam >= 300 and found == 1.0
+
+
+def test_a_link_that_one_shard_finds_counts_for_both():
+    x = near_pairs(80)
+    rows = []
+    for shard in (0, 1):
+        table = pa.table({
+            "grp": pa.array([7] * 40, pa.int64()), "shard": pa.array([shard] * 40, pa.int32()), "shards": pa.array([2] * 40, pa.int32()),
+            "cid": np.arange(shard, 80, 2), "weight": np.full(40, 3 + shard), "vector": list(x[shard::2]),
+        })
+        rows.append(embedding_dedup._graph(table, table.slice(0, 0)))
+    blind = rows[0].to_pylist()[0]
+    blind |= {"layers": [np.full((40, 1), -1, np.int32).tobytes()], "beam": 1}
+    graphs = pa.concat_tables([pa.Table.from_pylist([blind], embedding_dedup.GRAPH), rows[1]])
+    got = embedding_dedup._met((pa.scalar(7), pa.scalar(0), pa.scalar(1)), graphs).to_pylist()
+    assert got == [{"cid": k, "links": 4 - k % 2, "root": k - k % 2} for k in range(80)]
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(1, 40)] + [(100, 99), (100, 98), (7, 7), (55, 54), (54, 56)]
     df = spark.createDataFrame(links, "a bigint, b bigint")
