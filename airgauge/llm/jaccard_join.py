@@ -8,7 +8,8 @@ fragment apart and summed per pair.
 
 Equal sets are one class. A document is first compared with the most typical document it shares a head
 n-gram with; after that only documents that are not yet in one component are. That keeps a group of
-thousands of near copies linear, and leaves out no pair that could join two components.
+thousands of near copies linear, and leaves out no pair that could join two components. `all_links` instead
+compares every two classes that share a head n-gram, and gives the pairs and the numbers of links.
 """
 
 from __future__ import annotations
@@ -308,6 +309,15 @@ def _class_links(sets: DataFrame) -> DataFrame:
     return links
 
 
+def _all_class_links(sets: DataFrame) -> DataFrame:
+    """All links (a, b) between classes, each once: whatever shares a head n-gram and can be similar enough is compared."""
+    heads = _heads(sets)
+    other = heads.select("gram", F.col("uid").alias("b"), F.col("n").alias("nb"), F.col("room").alias("_room"))
+    near = heads.join(other, "gram").where((F.col("uid") > F.col("b")) & _fits("n", "room", "nb", "_room"))
+    pairs = stored(near.select(F.col("uid").alias("a"), "b", F.col("n").alias("na"), "nb").distinct(), "pairs")
+    return _linked(pairs, _fragments(sets))
+
+
 def _grouped(docs: DataFrame, text: str) -> DataFrame:
     """uid, doc_id, n, class_id, component_id, first (the row that stands for its component) for each row of
     `docs` (uid, doc_id, text)."""
@@ -343,6 +353,33 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     return found.select(F.col("doc_id").alias(id), F.col("n").alias("n_shingles"), "class_id", "component_id")
 
 
+def all_links(docs: DataFrame, id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """Each row's number of links, and the linked pairs of classes of equal sets.
+
+    The first has `id`, n_shingles, class (a number of its own for each set; NULL if the row links with
+    nothing) and n_links, the rows it links with, copies included, for each row of `docs`. The second has a and b
+    (two classes that link, each pair once), class_a and class_b (their smallest ids) and rows_a and rows_b
+    (their sizes). Links are those of `near_duplicates`; their number grows with the square of a group.
+    """
+    sets = _sets(docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id).cast("bigint").alias("doc_id"), F.col(text).alias("text")), "text")
+    rows = sets.select("doc_id", "n", "digest", F.col("grams").isNotNull().alias("open"))
+    some = sets.where(F.col("grams").isNotNull())
+    of = F.min("uid").alias("class"), F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("rows")
+    classes = stored(some.groupBy("digest").agg(*of), "classes")
+    links = _all_class_links(stored(sets.join(classes.select(F.col("class").alias("uid")), "uid"), "class-sets"))
+    side = {x: classes.select(F.col("class").alias(x), F.col("class_id").alias(f"class_{x}"), F.col("rows").alias(f"rows_{x}")) for x in ("a", "b")}
+    pairs = stored(links.join(side["a"], "a").join(side["b"], "b").select("a", "b", "class_a", "class_b", "rows_a", "rows_b"), "class-links")
+    both = pairs.select(F.col("a").alias("class"), F.col("rows_b").alias("with"))
+    both = both.unionByName(pairs.select(F.col("b").alias("class"), F.col("rows_a").alias("with")))
+    counts = classes.join(both.groupBy("class").agg(F.sum("with").alias("with")), "class", "left")
+    counts = counts.select("digest", "class", (F.coalesce("with", F.lit(0)) + F.col("rows") - 1).alias("n_links"))
+    found = rows.where("open").join(counts, "digest").select(F.col("doc_id").alias(id), F.col("n").alias("n_shingles"), "class", "n_links")
+    alone = rows.where("not open").select(
+        F.col("doc_id").alias(id), F.col("n").alias("n_shingles"), F.lit(None).cast("bigint").alias("class"), F.lit(0).cast("bigint").alias("n_links")
+    )
+    return found.unionByName(alone), pairs
+
+
 def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of `docs` without near copies: of each group that `near_duplicates` finds, the row of the smallest id.
 

@@ -61,6 +61,29 @@ def test_jaccard_join(docs, rows, empty):
     assert jaccard_join.one_of_each(empty).collect() == []
 
 
+def test_jaccard_join_gives_all_links(spark, rows, empty):
+    """Also the links inside a component, which the components do not need."""
+    crowd = [" ".join(f"e{k}" if i in (k * 6, 149 - k) else f"w{i}" for i in range(150)) for k in range(25)]
+    more = [*rows, *[(1000 + k, t, "en", "src", 1) for k, t in enumerate([*crowd, crowd[3], crowd[3], crowd[7]])]]
+    sets = [frozenset(shingles(t)) for _, t, *_ in more]
+    like = lambda x, y: bool(x and y) and 100 * len(x & y) >= 75 * len(x | y)
+    count = [sum(like(x, y) for y in sets) - bool(x) for x in sets]
+    names, size = {}, Counter(sets)
+    for (i, *_), x in zip(more, sets):
+        names[x] = min((k for k in (i, names.get(x)) if k is not None), default=None)
+    distinct = list(names)
+    want = Counter(
+        frozenset([(names[x], size[x]), (names[y], size[y])]) for k, x in enumerate(distinct) for y in distinct[:k] if like(x, y)
+    )
+    df = spark.createDataFrame([(i, t) for i, t, *_ in more], "doc_id bigint, text string")
+    got, pairs = jaccard_join.all_links(df)
+    assert Counter((r.doc_id, r.n_shingles, r.n_links) for r in got.collect()) == Counter(zip([r[0] for r in more], map(len, sets), count))
+    assert Counter(frozenset([(r.class_a, r.rows_a), (r.class_b, r.rows_b)]) for r in pairs.collect()) == want
+    assert sum(want.values()) > 100
+    got, pairs = jaccard_join.all_links(empty)
+    assert got.collect() == [] and pairs.collect() == []
+
+
 def test_jaccard_join_in_many_rounds(spark, monkeypatch):
     """A chain of near copies and a crowd that shares passages without links; few comparisons allowed at once."""
     monkeypatch.setattr(jaccard_join, "COMPARED", 0)
