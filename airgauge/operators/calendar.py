@@ -40,6 +40,18 @@ def iso_calendar(spark: SparkSession, first: date, last: date) -> DataFrame:
     )
 
 
+def with_weeks_of(calendar: DataFrame, days: DataFrame) -> DataFrame:
+    """`calendar`, and the weeks it lacks of the days in the only column of `days`; NULL days have none."""
+    met = days.select(monday(F.col(days.columns[0])).alias("fecha_inicio_semana")).where(F.col("fecha_inicio_semana").isNotNull())
+    return calendar.select("fecha_inicio_semana").unionByName(met).distinct().select(*_week_columns())
+
+
+def day_of_week(year: Column, week: Column) -> Column:
+    """The Monday of an ISO week; NULL where there is no such number."""
+    real = year.between(1, 9999) & week.between(1, 53)
+    return F.when(real, F.date_add(monday(F.make_date(year, F.lit(1), F.lit(4))), (week.cast("int") - 1) * 7))
+
+
 def week_grid(points: DataFrame, first: date, last: date) -> DataFrame:
     """Every point with every week. Each point row expands in place: no join, no shuffle."""
     return points.select("*", _mondays(F.lit(first), F.lit(last)).alias("fecha_inicio_semana")).select(

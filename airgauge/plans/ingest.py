@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from airgauge.functions import columns as c
 from airgauge.operators import history as h
 from airgauge.operators import reshape as rs
-from airgauge.operators.calendar import iso_calendar
+from airgauge.operators.calendar import day_of_week, iso_calendar, with_weeks_of
 from airgauge.operators.orders import OrderSheet, normalize_orders, resolve_machine
 from airgauge.plans.frames import ROLES, Lazy
 from airgauge.plans.vault import load_history
@@ -102,6 +102,13 @@ def sources_of(
     def ref(name: str) -> DataFrame:
         return load_reference(spark, name, f"{references}/{name}.csv")
 
+    def weeks() -> DataFrame:
+        out = iso_calendar(spark, *CALENDAR)
+        for rows in (measurements, orders):
+            if rows is not None:
+                out = with_weeks_of(out, rows.select(day_of_week(F.col("anio"), F.col("semana_nro"))))
+        return out
+
     kind = F.col("tipo_equipo").alias("tipo_equipo_codigo")
     makers = {
         "componentes": lambda: ref("componentes_estructurales"),
@@ -118,7 +125,7 @@ def sources_of(
         "cobertura": lambda: ref("punto_maqctrl_cobertura"),
         "personas": lambda: ref("personas_alias"),
         "plantas": lambda: ref("plantas_descripcion"),
-        "semanas": lambda: iso_calendar(spark, *CALENDAR),
+        "semanas": weeks,
     }
     if measurements is not None:
         # labels outside the catalogue have no point to hang from

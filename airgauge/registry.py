@@ -16,7 +16,7 @@ from airgauge.operators import governance as g
 from airgauge.operators import history as h
 from airgauge.operators import reshape as rs
 from airgauge.operators import vectors as vec
-from airgauge.operators.calendar import densify, iso_calendar, monday
+from airgauge.operators.calendar import densify, monday
 from airgauge.operators.orders import normalize_orders, resolve_machine
 from airgauge.plans import questions as q
 from airgauge.plans import reports as rep
@@ -254,7 +254,7 @@ def week_calendar(spark: SparkSession, d: str) -> DataFrame:
     readings = t.lineitem.groupBy(monday(F.col("l_shipdate")).alias("fecha_inicio_semana")).agg(
         F.count(F.lit(1)).alias("lecturas")
     )
-    return iso_calendar(spark, *st.CALENDAR).join(readings, "fecha_inicio_semana")
+    return st.weeks(t).join(readings, "fecha_inicio_semana")
 
 
 # --- sinks ---------------------------------------------------------------------

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airgauge.functions import columns as c
-from airgauge.operators.calendar import iso_calendar, monday
+from airgauge.operators.calendar import iso_calendar, monday, with_weeks_of
 from airgauge.operators.history import resolve_roles
 from airgauge.operators.orders import OrderSheet, reason_of, weight_of
 from airgauge.plans.frames import ROLES, Frames, Lazy
@@ -65,6 +65,13 @@ class Tables:
         return table
 
 
+def weeks(t: Tables) -> DataFrame:
+    """The fixed calendar, and every other week of a reading or an order."""
+    days = t.lineitem.select(F.col("l_shipdate").cast("date").alias("dia"))
+    days = days.unionByName(t.orders.select(F.col("o_orderdate").cast("date").alias("dia")))
+    return with_weeks_of(iso_calendar(t.spark, *CALENDAR), days)
+
+
 def plants(t: Tables) -> DataFrame:
     return t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"), "left").select(
         F.col("n_name").alias("planta_canon"),
@@ -464,7 +471,7 @@ def history_sources(spark: SparkSession, directory: str, batch: int = 2) -> Lazy
             "cobertura": lambda: coverage(t),
             "personas": lambda: people(t),
             "plantas": lambda: plants(t),
-            "semanas": lambda: iso_calendar(spark, *CALENDAR),
+            "semanas": lambda: weeks(t),
         }
     )
 

@@ -2,10 +2,12 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
+from airgauge import registry, standin
 from airgauge.functions import bands, columns as c
 from airgauge.operators import reshape as rs
 from airgauge.operators.calendar import densify, iso_calendar
 from airgauge.operators.orders import OrderSheet, ORDER_COLUMNS, normalize_orders, resolve_machine
+from airgauge.plans import ingest
 
 
 def one(spark, expr):
@@ -36,6 +38,30 @@ def test_iso_weeks_match_the_calendar(spark):
     assert all((r.y, r.w) == tuple(r.d.isocalendar()[:2]) for r in bad)
 
 
+def test_weeks_outside_the_calendar_stay(spark, tmp_path):
+    """A reading of 1985 and an order of 2041: no week of the data is missing from the calendar, the satellite's source and the ingest."""
+    for name, schema in standin.TABLE_SCHEMAS.items():
+        day = {"lineitem": ("l_shipdate", "1985-07-03"), "orders": ("o_orderdate", "2041-03-08")}.get(name)
+        df = spark.createDataFrame([], schema)
+        if day:
+            one_row = spark.range(1).select(*[F.lit(day[1] if f.name == day[0] else None).cast(f.dataType).alias(f.name) for f in df.schema])
+            df = df.unionByName(one_row)
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    fixed = iso_calendar(spark, *standin.CALENDAR)
+    rows = standin.history_sources(spark, str(tmp_path))["semanas"]
+    assert rows.count() == fixed.count() + 2 and fixed.exceptAll(rows).count() == 0
+    more = {(r.anio, r.semana_nro): r.fecha_inicio_semana for r in rows.join(fixed, fixed.columns, "left_anti").collect()}
+    assert more == {(1985, 27): date(1985, 7, 1), (2041, 10): date(2041, 3, 4)}
+    got = registry.week_calendar(spark, str(tmp_path)).collect()
+    assert [(r.fecha_inicio_semana, r.lecturas) for r in got] == [(date(1985, 7, 1), 1)]
+    weeks = spark.createDataFrame([(2019, 52, 1), (2041, 1, 1), (2030, 5, 1), (2041, 54, 1), (None, None, 1)], "anio int, semana_nro int, punto_nro int")
+    out = ingest.sources_of(spark, "", weeks.where("anio < 2030"), weeks.where("anio >= 2030 or anio is null"))["semanas"]
+    late = out.where("anio > 2040 or anio < 2020").select("anio", "semana_nro", "fecha_inicio_semana").collect()
+    assert {tuple(r) for r in late} == {(2019, 52, date(2019, 12, 23)), (2041, 1, date(2040, 12, 31))} | {
+        tuple(r) for r in iso_calendar(spark, *ingest.CALENDAR).where("anio > 2040").select("anio", "semana_nro", "fecha_inicio_semana").collect()
+    }
+
+
 def test_calendar_rows(spark):
     rows = {(r.anio, r.semana_nro): r for r in iso_calendar(spark, date(2025, 12, 29), date(2026, 5, 10)).collect()}
     assert len(rows) == 19
