@@ -128,7 +128,7 @@ def sources_of(
         "semanas": weeks,
     }
     if measurements is not None:
-        # labels outside the catalogue have no point to hang from
+        # labels outside the catalogue have no point to hang from; `write_rejects` keeps them
         known = measurements.where(F.col("punto_nro").isNotNull())
         key = ["punto_nro", "anio", "semana_nro"]
         makers["mediciones"] = lambda: known
@@ -141,6 +141,18 @@ def sources_of(
     return Lazy(makers)
 
 
+def write_rejects(measurements: DataFrame, root: str) -> None:
+    """The measurements whose label is not in the catalogue, and their number per sheet and label.
+
+    Both hold the state of the landed sheets: a label that enters the catalogue later leaves them.
+    """
+    unknown = measurements.where(F.col("punto_nro").isNull())
+    write_overwrite(unknown, f"{root}/rechazos/mediciones")
+    stored = measurements.sparkSession.read.schema(unknown.schema).parquet(f"{root}/rechazos/mediciones")
+    counts = stored.groupBy("planta", "punto_evaluacion").agg(F.count(F.lit(1)).alias("n_filas"))
+    write_overwrite(counts, f"{root}/rechazos/mediciones_por_etiqueta")
+
+
 def ingest(spark: SparkSession, landing: str, references: str, root: str, sheet: OrderSheet, now: Column) -> dict[str, bool]:
     """Everything under `landing` into the tables under `root`; which declared sources were there.
 
@@ -153,13 +165,15 @@ def ingest(spark: SparkSession, landing: str, references: str, root: str, sheet:
     current_orders = snapshot_landing(numbered, f"{root}/instantaneas/programa", ["_fuente", "Orden"], now)
     catalog = load_reference(spark, "puntos_catalogo", f"{references}/puntos_catalogo.csv")
     machines = load_reference(spark, "equipos_ventilacion_catalogo", f"{references}/equipos_ventilacion_catalogo.csv")
+    measurements = measurements_from_sheets(current, catalog)
+    write_rejects(measurements, root)
     load_history(
         spark,
         root,
         sources_of(
             spark,
             references,
-            measurements_from_sheets(current, catalog),
+            measurements,
             orders_from_sheets(current_orders, machines, sheet),
         ),
         now,

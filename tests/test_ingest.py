@@ -97,6 +97,27 @@ def test_files_to_answers_and_a_second_week(spark, tmp_path):
     assert why.count() == q.QUESTIONS["P7"].run(m, punto=1).count() and "detalle_medicion" not in plan
 
 
+def test_labels_outside_the_catalogue_are_kept_as_rejects(spark, tmp_path):
+    refs, root = tmp_path / "refs", str(tmp_path / "root")
+    for name, rows in REFERENCES.items():
+        write(refs / f"{name}.csv", [x.split()[0] for x in REFERENCE_SCHEMAS[name].split(", ")], rows)
+
+    def load(day):
+        landing(tmp_path / f"landing{day}")
+        ing.ingest(spark, str(tmp_path / f"landing{day}"), str(refs), root, SHEET, F.lit(f"2026-05-{day}").cast("timestamp"))
+        rows = spark.read.parquet(f"{root}/rechazos/mediciones").collect()
+        counts = spark.read.parquet(f"{root}/rechazos/mediciones_por_etiqueta").collect()
+        return sorted((r.planta, r.punto_evaluacion, r.semana_nro, r.concentracion_mg_m3) for r in rows), [tuple(r) for r in counts]
+
+    want = [("Nodo 3500", "Desconocido", 18, 2.0), ("Nodo 3500", "Desconocido", 19, 2.0)]
+    assert load(11) == (want, [("Nodo 3500", "Desconocido", 2)])
+    assert load(18) == (want, [("Nodo 3500", "Desconocido", 2)])  # the same sheets again: the same state
+    known = REFERENCES["puntos_catalogo"]
+    unknown = ["Desconocido", 3, "Nodo 3500", "G2", "C2", "Punto Tres", "d", "real", "Correa 2", "correa", "x"]
+    write(refs / "puntos_catalogo.csv", [x.split()[0] for x in REFERENCE_SCHEMAS["puntos_catalogo"].split(", ")], [*known, unknown])
+    assert load(25) == ([], [])
+
+
 def test_frames_after_moves(spark, tmp_path):
     """A point, a machine, an order and a person in charge move, and one comes back: one row per key, always the last."""
     root = str(tmp_path / "root")
