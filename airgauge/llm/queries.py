@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from airgauge.llm import embedding_dedup, jaccard_join, language_id, packing, quality_rules, sentence_pieces, substring_dedup, suffix_dedup, token_counts, token_files
+from airgauge.llm import chat_format, embedding_dedup, jaccard_join, language_id, merkle, oracles, packing, prefix_trie, quality_rules
+from airgauge.llm import sentence_pieces, substring_dedup, suffix_dedup, token_counts, token_files
 from airgauge.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +64,21 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tamper_audit(table(spark, sf_dir, "documents"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.rebuilt_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    probe = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string")
+    return chat_format.round_trip(given.unionByName(probe))
+
+
 QUERIES: dict[str, Query] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_substring_dedup": op2_substring_dedup,
@@ -74,6 +90,13 @@ QUERIES: dict[str, Query] = {
     "op8_language_id": op8_language_id,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_chat_format": op13_chat_format,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op11_merkle_manifest": oracles.MERKLE_MANIFEST,
+    "op12_prefix_trie": oracles.PREFIX_TRIE,
+    "op13_chat_format": oracles.CHAT_FORMAT,
+}
