@@ -21,7 +21,7 @@ from pyspark.sql.window import Window
 
 from airgauge.llm.common import stored
 
-SPAN = 8  # levels that one stored row covers
+SPAN = 10  # levels that one stored row covers
 SHARE = 256  # leaves that share one copy of a stored row
 TOP, ROOT = -1, -2  # the tree over all subroots, and what stands above its last node
 
@@ -30,11 +30,15 @@ ROW_LIMIT = "spark.sql.cteRecursionRowLimit"
 
 @dataclass(frozen=True)
 class Manifest:
-    """`leaves`: num, tree, pos, hash and the kept columns; `trees`: tree, group, subroot; `links`: the node rows; `root`."""
+    """`leaves`: num, tree, pos, hash and the kept columns; `trees`: tree, group, subroot; `root`.
+
+    `low` and `upper`: the node rows of the leaves and of all nodes above them.
+    """
 
     leaves: DataFrame
     trees: DataFrame
-    links: DataFrame
+    low: DataFrame
+    upper: DataFrame
     root: bytes | None
 
 
@@ -143,24 +147,21 @@ def build(rows: DataFrame, group: str, id: str, hash: Column, keep: dict[str, Co
     subroots = stored(subroots, "merkle-subroots")
     n_trees = trees.count()
     if not n_trees:
-        return Manifest(leaves, trees.select("tree", F.col("_group").alias(group), F.lit(None).cast("binary").alias("subroot")), _no_links(leaves), None)
+        none = leaves.sparkSession.createDataFrame([], T.StructType.fromDDL(LINK))
+        return Manifest(leaves, trees.select("tree", F.col("_group").alias(group), F.lit(None).cast("binary").alias("subroot")), none, none, None)
     top = F.lit(TOP).cast("bigint")
     height = leaves.sparkSession.range(1).select(top.alias("tree"), _height(f"{n_trees}").alias("height"))
     upper, root = _grown(
         subroots.select(top.alias("tree"), F.col("tree").alias("pos"), "hash", "leaves"), height, span, "merkle-top"
     )
-    links = _stacked([*[_link_rows(r, TOP) for r in rounds], *[_link_rows(r, ROOT) for r in upper]])
+    links = [*[_link_rows(r, TOP) for r in rounds], *[_link_rows(r, ROOT) for r in upper]]
     named = trees.join(subroots, "tree").select("tree", F.col("_group").alias(group), F.col("hash").alias("subroot"))
-    return Manifest(leaves, named, stored(links, "merkle-links"), bytes(root.first()["hash"]))
+    return Manifest(leaves, named, links[0], stored(_stacked(links[1:]), "merkle-links"), bytes(root.first()["hash"]))
 
 
 LINK = "tree bigint, turn int, pos bigint, copy bigint, to_tree bigint, to_turn int, to_pos bigint, to_copies bigint, at int, path array<binary>"
 
 
-def _no_links(leaves: DataFrame) -> DataFrame:
-    return leaves.sparkSession.createDataFrame([], T.StructType.fromDDL(LINK))
-
-
 def _link_rows(blocks: DataFrame, above: int) -> DataFrame:
     """The node rows of a round, each once for every SHARE leaves below it.
 
@@ -180,29 +181,34 @@ def _link_rows(blocks: DataFrame, above: int) -> DataFrame:
 _FOLD = f"""aggregate(transform(n.path, (sibling, j) -> named_struct('s', sibling, 'right', shiftright(n.at, j) % 2 = 1)), c.folded, (own, x) ->
     case when x.s is null then {_hash("own")} when x.right then {_hash("x.s", "own")} else {_hash("own", "x.s")} end)"""
 
+_SIBLINGS = "aggregate(n.path, X'', (all, sibling) -> concat(all, coalesce(sibling, X'')))"
+
 _CLIMB = f"""
-WITH RECURSIVE climb(num, tree, turn, pos, copies, folded, proof) AS (
-    SELECT num, tree, 0, pos, 1L, start, X'' FROM {{starts}}
+WITH RECURSIVE climb(num, hop, tree, turn, pos, copies, folded, siblings) AS (
+    SELECT c.num, 0, n.to_tree, n.to_turn, n.to_pos, n.to_copies, {_FOLD}, {_SIBLINGS}
+    FROM {{starts}} c JOIN {{low}} n ON c.tree = n.tree AND c.pos = n.pos
     UNION ALL
-    SELECT c.num, n.to_tree, n.to_turn, n.to_pos, n.to_copies, {_FOLD},
-           aggregate(n.path, c.proof, (all, sibling) -> concat(all, coalesce(sibling, X'')))
-    FROM climb c JOIN {{links}} n ON c.tree = n.tree AND c.turn = n.turn AND c.pos = n.pos AND pmod(c.num, c.copies) = n.copy
+    SELECT c.num, c.hop + 1, n.to_tree, n.to_turn, n.to_pos, n.to_copies, {_FOLD}, {_SIBLINGS}
+    FROM climb c JOIN {{upper}} n ON c.tree = n.tree AND c.turn = n.turn AND c.pos = n.pos AND pmod(c.num, c.copies) = n.copy
 )
-SELECT num, folded, sha2(lower(hex(proof)), 256) AS proof_sha256 FROM climb WHERE tree = {ROOT}
+SELECT num, max(CASE WHEN tree = {ROOT} THEN folded END) AS folded,
+       sha2(array_join(transform(sort_array(collect_list(struct(hop, siblings))), x -> lower(hex(x.siblings))), ''), 256) AS proof_sha256
+FROM climb GROUP BY num
 """
 
 
 def climb(manifest: Manifest, starts: DataFrame) -> DataFrame:
-    """num, folded and proof_sha256 for each of `starts` (num, tree, pos, start): its way up to the root.
+    """num, folded and proof_sha256 for each of `starts` (num, tree, pos, folded): its way up to the root.
 
-    `folded` is the root that `start` and the stored siblings of leaf `num` give; the proof is the siblings
-    alone. The result is stored: a session's limit on rows of recursive queries is lifted for this one only.
+    `folded` becomes the root that the given hash and the stored siblings of leaf `num` lead to. Each step of a
+    leaf appends a row with the siblings on it; the proof is these alone, in order. The result is stored: a
+    session's limit on rows of recursive queries is lifted for this one only.
     """
     spark = starts.sparkSession
     limit = spark.conf.get(ROW_LIMIT, None)
     spark.conf.set(ROW_LIMIT, "-1")
     try:
-        return stored(spark.sql(_CLIMB, starts=starts, links=manifest.links), "merkle-climb")
+        return stored(spark.sql(_CLIMB, starts=starts, low=manifest.low, upper=manifest.upper), "merkle-climb")
     finally:
         if limit is None:
             spark.conf.unset(ROW_LIMIT)
@@ -222,7 +228,7 @@ def tamper_audit(docs: DataFrame, id: str = "doc_id", group: str = "lang", field
     chosen = F.coalesce(F.crc32(col(id).cast("string").cast("binary")) % every == 0, F.lit(False))
     changed = F.when(chosen, row_hash([more if f == bumped else col(f) for f in fields]))
     found = build(docs, group, id, row_hash([col(f) for f in fields]), {"changed": changed}, span)
-    ways = climb(found, found.leaves.select("num", "tree", "pos", F.coalesce("changed", "hash").alias("start")))
+    ways = climb(found, found.leaves.select("num", "tree", "pos", F.coalesce("changed", "hash").alias("folded")))
     text = lambda c: F.lower(F.hex(c))
     root = F.lit(found.root.hex() if found.root else None).cast("string")
     rows = found.leaves.join(ways, "num").join(found.trees.select("tree", "subroot"), "tree")
