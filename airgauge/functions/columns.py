@@ -49,10 +49,34 @@ def to_date(c: Column) -> Column:
     return F.trim(c.cast("string")).try_cast("date")
 
 
+def _power(n: Column) -> Column:
+    """2 ** n, exactly."""
+    return F.pow(F.lit(2.0), n.cast("double"))
+
+
+def number_text(c: Column, kind: str = "double") -> Column:
+    """A double (or float) as text: one text for each number, the same in every engine.
+
+    Engines print doubles differently, decimals alike. A number below 1e9 that six decimals hold is printed
+    with these; every other one exactly, as a whole number times a power of two (`-4503599627370497p-85`).
+    """
+    six = c.try_cast(KEY_DECIMAL)
+    size = F.abs(c.cast("double"))
+    guess = F.floor(F.log2(size))  # one off, at most, near a power of two
+    half = F.floor((52 - guess) / 2)
+    scaled = size * _power(half) * _power(52 - guess - half)  # in two steps, as one could overflow
+    up, down = scaled >= 2.0**53, scaled < 2.0**52
+    whole = F.when(up, scaled / 2).when(down, scaled * 2).otherwise(scaled)
+    power = guess - 52 + F.when(up, 1).when(down, -1).otherwise(0)
+    exact = F.concat(F.when(c < 0, "-").otherwise(""), whole.cast("bigint").cast("string"), F.lit("p"), power.cast("string"))
+    endless = F.isnan(c) | (size == float("inf"))
+    return F.when((size < 1e9) & (six.cast(kind) == c), six.cast("string")).when(endless, c.cast("string")).when(c.isNotNull(), exact)
+
+
 def _key_text(field: T.StructField) -> Column:
     c = F.col(f"`{field.name}`")
     if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-        c = c.cast(KEY_DECIMAL)  # engines print doubles differently, decimals alike
+        c = number_text(c, field.dataType.simpleString())
     return F.coalesce(c.cast("string"), F.lit(NULL_TOKEN))
 
 
