@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from airgauge.functions.columns import blank_to_null, norm_text, to_date, to_double, to_int
 
@@ -120,17 +121,36 @@ def year_from_position(position: Column, first_year: int = 2025, weeks_in_first_
     )
 
 
+def header_years(header: DataFrame, ids: Sequence[str] = (), first_year: Column | int = 2025) -> DataFrame:
+    """Header rows (ids, position, semana_nro) with `anio`, for any number of years.
+
+    Column 1 is in `first_year`, and a sheet whose first columns are missing starts as many years later as
+    they fill; given as a Column, it is the year of the first column that is there. Where the week number falls by more than half a year from one column to the next, a new year
+    begins; smaller steps back are slips of the pen. The pass over the columns of a sheet is a window over its
+    header, which is as long as the sheet is wide.
+    """
+    place = position_number(F.col(POSITION))
+    along = Window.partitionBy(*ids).orderBy(place)
+    first = first_year if isinstance(first_year, Column) else F.lit(first_year) + F.floor((F.min(place).over(along) - 1) / 52)
+    fell = F.lag("semana_nro").over(along) - F.col("semana_nro") > 26
+    marked = header.withColumn("_nuevo", F.when(fell, 1).otherwise(0))
+    year = (first + F.sum("_nuevo").over(along)).cast("int")
+    return marked.withColumn("anio", year).drop("_nuevo")
+
+
 def melt_sheet(
     sheet: DataFrame,
     ids: Sequence[str] = ("planta",),
     year: Column | None = None,
     low: float = 0.0,
     high: float = 100.0,
+    first_year: Column | int = 2025,
 ) -> DataFrame:
     """Whole sheets, already stacked and tagged by `ids`, to long measurements.
 
     All sheets melt in one plan. Header rows are reduced to one row per column
     first, so the join side is (sheets x weeks) rows however many points there are.
+    The year of a column is `year` if given; else it follows from the order of the weeks.
     """
     long = unpivot_wide(sheet, [*ids, LABEL], week_columns(sheet))
     is_week = _label().isin(*WEEK_LABELS)
@@ -140,11 +160,11 @@ def melt_sheet(
         .agg(F.max(F.when(is_week, to_int(F.col(CELL)))).alias("semana_nro"), *_metadata_aggregates())
         .where(F.col("semana_nro").isNotNull())
     )
-    when = year if year is not None else year_from_position(F.col(POSITION))
+    header = header_years(header, ids, first_year) if year is None else header.withColumn("anio", year)
     return value_rows(long, ids, low, high).join(header, [*ids, POSITION]).select(
         *ids,
         "punto_evaluacion",
-        when.alias("anio"),
+        "anio",
         "semana_nro",
         "concentracion_mg_m3",
         to_date(F.col("fecha_str")).alias("fecha_medicion"),
