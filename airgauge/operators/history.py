@@ -31,6 +31,8 @@ class Hub:
     name: str
     key: tuple[str, ...]
     sources: tuple[str, ...]
+    # buckets of a table that grows with the facts; 0: a reference table, read as a whole
+    buckets: int = 0
 
 
 @dataclass(frozen=True)
@@ -41,6 +43,7 @@ class Link:
     members: Mapping[str, tuple[str, ...]]
     source: str
     not_null: tuple[str, ...] = ()
+    buckets: int = 0
 
 
 @dataclass(frozen=True)
@@ -51,6 +54,9 @@ class Satellite:
     source: str
     where: str | None = None
     renames: Mapping[str, str] = field(default_factory=dict)
+    buckets: int = 0
+    # a key may have several rows at once, and all of them are its content
+    several: bool = False
 
 
 def _not_stored(rows: DataFrame, stored: DataFrame | None) -> DataFrame:
@@ -118,7 +124,7 @@ def resolve_roles(
 
 
 def resolve_hierarchy(children: DataFrame, child: str, parent: str, attributes: DataFrame | None = None) -> DataFrame:
-    """Two levels: every element with its parent and the parent's parent, if any."""
+    """Two levels: every element with its parent and the parent's parent, if any (`hierarchy` goes to any depth)."""
     up = children.select(F.col(child).alias(parent), F.col(parent).alias("abuelo_codigo")).where(
         F.col("abuelo_codigo").isNotNull()
     )
@@ -128,22 +134,22 @@ def resolve_hierarchy(children: DataFrame, child: str, parent: str, attributes:
     return out
 
 
-def hash_rows(src: DataFrame, key: Sequence[str], attributes: Sequence[str]) -> DataFrame:
-    """Source rows with key and content hashes, one row per key.
+def hash_rows(src: DataFrame, key: Sequence[str], attributes: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """Source rows with key and content hashes, one row per key; `keep` are columns of the key to carry along.
 
     Exact copies collapse in a hash aggregate before the shuffle. When one batch
     still holds different contents for a key, the greatest content hash is kept,
-    so a rerun of the batch decides alike.
+    so a rerun of the batch decides alike. Where all of them count, see `multi_active`.
     """
     rows = src.select(*key, *attributes).distinct()
     hashed = rows.select(
-        record_key(rows, key).alias(KEY), content_hash(rows, attributes).alias(CONTENT), *attributes
+        record_key(rows, key).alias(KEY), content_hash(rows, attributes).alias(CONTENT), *attributes, *keep
     )
     packed = F.struct(*attributes)
     return (
-        hashed.groupBy(KEY)
+        hashed.groupBy(KEY, *keep)
         .agg(F.max(F.struct(F.col(CONTENT), packed.alias("_a"))).alias("_r"))
-        .select(KEY, F.col(f"_r.{CONTENT}").alias(CONTENT), *[F.col(f"_r._a.{a}").alias(a) for a in attributes])
+        .select(KEY, F.col(f"_r.{CONTENT}").alias(CONTENT), *[F.col(f"_r._a.{a}").alias(a) for a in attributes], *keep)
     )
 
 
@@ -177,7 +183,13 @@ def new_satellite_rows(
     source: str,
 ) -> DataFrame:
     """Versions to append: keys that are new, or whose content differs from their own latest version."""
-    rows = hash_rows(src, key, attributes)
+    return changed_versions(hash_rows(src, key, attributes), attributes, stored, now, source)
+
+
+def changed_versions(
+    rows: DataFrame, attributes: Sequence[str], stored: DataFrame | None, now: Column, source: str, keep: Sequence[str] = ()
+) -> DataFrame:
+    """The `hash_rows` to append as versions. `stored` needs no more than key, content hash and number."""
     if stored is None:
         versioned = rows.withColumn(SEQ, F.lit(1))
     else:
@@ -191,7 +203,7 @@ def new_satellite_rows(
             .drop("_v")
         )
     return versioned.select(
-        KEY, CONTENT, *attributes, now.alias(FROM), F.col(SEQ).cast("int").alias(SEQ), F.lit(source).alias(SOURCE)
+        KEY, CONTENT, *attributes, now.alias(FROM), F.col(SEQ).cast("int").alias(SEQ), F.lit(source).alias(SOURCE), *keep
     )
 
 

@@ -866,7 +866,10 @@ def oracle_sql() -> dict[str, str]:
             casts = ", ".join(f"CAST({c} AS {'VARCHAR' if f == 'D' else 'DOUBLE'}) AS {c}" for c, f in forms.items())
             body = f"SELECT * REPLACE ({casts}) FROM (\n{body}\n) salida"
         out[name] = body
-    return out
+    from airgauge import oracles_history
+
+    out["satellite_bucketed"] = out["satellite_detalle_medicion"]
+    return out | oracles_history.bodies()
 
 
 def bodies() -> dict[str, str]:

@@ -8,13 +8,16 @@ PERSON = ("dni", "tipo_dni", "dni_pais_emisor")
 WEEK = ("anio", "semana_nro")
 POINT_WEEK = ("punto_nro", *WEEK)
 
+# Buckets of tables that grow with readings and orders; those with a week in their key have one per week.
+GROWING = 16
+
 # Names, keys and attributes of the stored tables.
 HUBS = (
     Hub("entidad_componente_estructural", ("componente_codigo",), ("componentes",)),
     Hub("entidad_condicion_tipo", ("condicion_codigo",), ("condiciones_tipo",)),
     Hub("entidad_maquina_control_polvo", ("ubicacion_tecnica",), ("equipos",)),
     Hub("entidad_maquina_generadora", ("maquina_gen_codigo",), ("mediciones",)),
-    Hub("entidad_orden_trabajo", ("orden_nro",), ("ordenes",)),
+    Hub("entidad_orden_trabajo", ("orden_nro",), ("ordenes",), GROWING),
     Hub("entidad_persona", PERSON, ("personas",)),
     Hub("entidad_planta", ("planta_canon",), ("mediciones", "equipos")),
     Hub("entidad_problema_raiz", ("problema_raiz_codigo",), ("problemas",)),
@@ -46,6 +49,7 @@ LINKS = (
         ("punto_nro", "condicion_codigo", *WEEK),
         {"ent_punto_medicion_hk": ("punto_nro",), "ent_condicion_tipo_hk": ("condicion_codigo",), "ent_semana_hk": WEEK},
         "condiciones_observadas",
+        buckets=GROWING,
     ),
     Link(
         "relacion_condicion_problema",
@@ -58,12 +62,14 @@ LINKS = (
         POINT_WEEK,
         {"ent_punto_medicion_hk": ("punto_nro",), "ent_semana_hk": WEEK},
         "mediciones",
+        buckets=GROWING,
     ),
     Link(
         "relacion_medicion_persona",
         (*POINT_WEEK, *PERSON, "rol"),
         {"ent_punto_medicion_hk": ("punto_nro",), "ent_semana_hk": WEEK, "ent_persona_hk": PERSON},
         "mediciones_personas",
+        buckets=GROWING,
     ),
     Link(
         # a machine's own plant; the plant of its orders comes from here and not
@@ -85,12 +91,14 @@ LINKS = (
         },
         "ordenes",
         ("ubicacion_tecnica",),
+        buckets=GROWING,
     ),
     Link(
         "relacion_ot_responsable",
         ("orden_nro", *PERSON),
         {"ent_orden_trabajo_hk": ("orden_nro",), "ent_persona_hk": PERSON},
         "ordenes_personas",
+        buckets=GROWING,
     ),
     Link(
         "relacion_planta_tipo_equipo",
@@ -146,6 +154,7 @@ SATELLITES = (
         ("punto_nro", "condicion_codigo", *WEEK),
         ("severidad",),
         "condiciones_observadas",
+        buckets=GROWING,
     ),
     Satellite("detalle_condicion_tipo", ("condicion_codigo",), ("condicion_nombre", "peso_causa_default"), "condiciones_tipo"),
     Satellite(
@@ -166,18 +175,21 @@ SATELLITES = (
         POINT_WEEK,
         ("concentracion_mg_m3", "fecha_medicion", "hora_inicio", "hora_termino", "estado", "motivo_no_medicion"),
         "mediciones",
+        buckets=GROWING,
     ),
     Satellite(
         "detalle_ot_descr",
         ("orden_nro",),
         ("ot_texto_breve", "denom_ubic_tecnica", "clase_orden", "clase_actividad_pm"),
         "ordenes",
+        buckets=GROWING,
     ),
     Satellite(
         "detalle_ot_ejecucion",
         ("orden_nro",),
         ("cumpl_prog", "hh_reales", "personal_real", "duracion_real", "adherencia_prog", "dia_ejecutado"),
         "ordenes",
+        buckets=GROWING,
     ),
     Satellite(
         "detalle_ot_no_ejecucion",
@@ -185,6 +197,7 @@ SATELLITES = (
         ("motivo_no_ejecucion", "peso_motivo", "fecha_reprogramacion"),
         "ordenes",
         "cumpl_prog = 0",
+        buckets=GROWING,
     ),
     Satellite(
         "detalle_ot_programacion",
@@ -199,6 +212,7 @@ SATELLITES = (
             "status_sistema",
         ),
         "ordenes",
+        buckets=GROWING,
     ),
     Satellite("detalle_persona", PERSON, ("nombre_completo", "tipo_persona"), "personas"),
     Satellite("detalle_planta", ("planta_canon",), ("nombre_planta", "area", "sector"), "plantas"),
@@ -218,8 +232,8 @@ SATELLITES = (
     # A link keeps every pair that ever was. These hold, per driving key, the pair that holds now; a pair
     # that comes back is a version again.
     Satellite("vigencia_maqctrl_planta", ("ubicacion_tecnica",), ("planta_canon",), "equipos", "planta_canon is not null"),
-    Satellite("vigencia_ot_maqctrl", ("orden_nro",), ("ubicacion_tecnica", *WEEK), "ordenes", "ubicacion_tecnica is not null"),
-    Satellite("vigencia_ot_responsable", ("orden_nro",), PERSON, "ordenes_personas"),
+    Satellite("vigencia_ot_maqctrl", ("orden_nro",), ("ubicacion_tecnica", *WEEK), "ordenes", "ubicacion_tecnica is not null", buckets=GROWING),
+    Satellite("vigencia_ot_responsable", ("orden_nro",), PERSON, "ordenes_personas", buckets=GROWING),
     Satellite(
         "vigencia_punto_componente", ("punto_nro",), ("componente_codigo_full",), "mediciones", "componente_codigo_full is not null"
     ),

@@ -7,9 +7,12 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from airgauge.operators import bucketed as b
 from airgauge.operators import history as h
+from airgauge.operators import multi_active as ma
 from airgauge.plans.catalog import HUBS, LINKS, SATELLITES, HUB, LINK, SATELLITE
 from airgauge.plans.frames import Frames
+from airgauge.session import shared_dir
 from airgauge.sources.landing import read_if_present
 
 Sources = Mapping[str, DataFrame]
@@ -25,25 +28,59 @@ def link_rows(name: str, sources: Sources, stored: DataFrame | None, now: Column
     return h.new_link_rows(sources[spec.source], spec.key, spec.members, stored, now, spec.source, spec.not_null)
 
 
+def _satellite_source(spec: h.Satellite, sources: Sources) -> DataFrame:
+    src = sources[spec.source]
+    return src.where(spec.where) if spec.where else src
+
+
 def satellite_rows(name: str, sources: Sources, stored: DataFrame | None, now: Column) -> DataFrame:
     spec = SATELLITE[name]
-    src = sources[spec.source]
-    if spec.where:
-        src = src.where(spec.where)
-    return h.new_satellite_rows(src, spec.key, spec.attributes, stored, now, spec.source)
+    new = ma.new_set_rows if spec.several else h.new_satellite_rows
+    return new(_satellite_source(spec, sources), spec.key, spec.attributes, stored, now, spec.source)
+
+
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    """The batch of a table, written once: its buckets are looked up before it is compared."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def append_keys(spec: h.Hub | h.Link, rows: DataFrame, path: str) -> b.Load:
+    """Hub or link rows of a batch to a table in buckets."""
+    cut = b.buckets_for(spec.key, spec.buckets)
+    return b.append_unknown(_kept(rows.withColumn(b.BUCKET, cut.of()), spec.name), path)
+
+
+def append_versions(spec: h.Satellite, src: DataFrame, path: str, now: Column) -> list[str]:
+    """Changed versions of a batch to a table in buckets; the buckets that were read."""
+    cut = b.buckets_for(spec.key, spec.buckets)
+    rows = h.hash_rows(src, spec.key, spec.attributes, cut.by).withColumn(b.BUCKET, cut.of())
+    batch = _kept(rows.drop(*cut.by), spec.name)
+    touched = b.buckets_of(batch)
+    stored = b.current_contents(src.sparkSession, path, touched)
+    b.append_rows(h.changed_versions(batch, spec.attributes, stored, now, spec.source, [b.BUCKET]), path)
+    return touched
 
 
 def load_history(spark: SparkSession, root: str, sources: Sources, now: Column) -> None:
     """Append what each table does not hold yet. Running it again with the same data adds nothing.
 
-    Tables whose source is absent are skipped, so a batch may bring only some sources.
+    Tables whose source is absent are skipped, so a batch may bring only some sources. Of a table that grows
+    with the facts only the buckets are read that the batch can meet; reference tables are read whole.
     """
     for specs, rows in ((HUBS, hub_rows), (LINKS, link_rows), (SATELLITES, satellite_rows)):
         for spec in specs:
             needed = spec.sources if hasattr(spec, "sources") else (spec.source,)
-            if all(s in sources for s in needed):
-                path = f"{root}/{spec.name}"
+            if not all(s in sources for s in needed):
+                continue
+            path = f"{root}/{spec.name}"
+            if not spec.buckets:
                 rows(spec.name, sources, read_if_present(spark, path), now).write.mode("append").parquet(path)
+            elif isinstance(spec, h.Satellite):
+                append_versions(spec, _satellite_source(spec, sources), path, now)
+            else:
+                append_keys(spec, rows(spec.name, sources, None, now), path)
 
 
 def frames_from_history(spark: SparkSession, root: str) -> Frames:

@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from airgauge import registry_history
 from airgauge import standin as st
 from airgauge.functions import bands
 from airgauge.functions import columns as c
+from airgauge.operators import bucketed as b
 from airgauge.operators import chunks as ch
 from airgauge.operators import governance as g
 from airgauge.operators import history as h
@@ -646,9 +648,11 @@ def weekly_stream(spark: SparkSession, d: str) -> DataFrame:
 
 def worst_conditions(batch: DataFrame, root: str) -> DataFrame:
     """Conditions of a batch, as grave as the worst event of this batch or any before it."""
-    stored = ld.read_if_present(batch.sparkSession, f"{root}/detalle_condicion_estado")
     key = SATELLITE["detalle_condicion_estado"].key
-    return inc.no_milder(st.conditions_of(batch), stored, key, "severidad", ("leve", "medio", "grave"))
+    seen = st.conditions_of(batch)
+    touched = b.buckets_of(seen.select(b.buckets_for(key).of().alias(b.BUCKET)))  # a batch's weeks
+    stored = b.stored_rows(batch.sparkSession, f"{root}/detalle_condicion_estado", touched)
+    return inc.no_milder(seen, stored, key, "severidad", ("leve", "medio", "grave"))
 
 
 def landing_stream(spark: SparkSession, d: str) -> DataFrame:
@@ -722,4 +726,4 @@ def runnable() -> dict[str, Query]:
         landing_stream,
     ):
         out[fn.__name__] = fn
-    return out
+    return out | registry_history.QUERIES

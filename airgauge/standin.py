@@ -263,6 +263,46 @@ def order_lines(t: Tables) -> DataFrame:
     )
 
 
+def operations(t: Tables, batch: int = 2) -> DataFrame:
+    """The operations of each order: an order has several, and some of one order are alike."""
+    rows = t.lineitem
+    if batch == 1:
+        rows = rows.where(F.col("l_shipdate") < F.lit(CUT).cast("timestamp_ntz"))
+    return rows.select(
+        F.col("l_orderkey").cast("string").alias("orden_nro"),
+        F.col("l_returnflag").alias("estado"),
+        (F.floor(F.col("l_quantity") / 10) * 10.0).cast("double").alias("hh"),
+    )
+
+
+# The events' own first day, the first day of the readings, and the stretch that maps one span to the other.
+EVENTS_START, READINGS_START, EVENT_STRETCH = "2024-01-01", "1995-01-01", 80
+
+
+def condition_versions(t: Tables) -> DataFrame:
+    """What was known of a point from a moment on: each event holds until the next one, over the years of the readings."""
+    seconds = F.unix_seconds(F.col("ts").cast("timestamp")) - F.unix_seconds(F.lit(EVENTS_START).cast("timestamp"))
+    since = F.timestamp_seconds(F.unix_seconds(F.lit(READINGS_START).cast("timestamp")) + seconds * EVENT_STRETCH)
+    return t.events.select(F.col("user_id").alias("punto_nro"), since.alias("desde"), "event_id", F.col("event_type").alias("condicion"), F.col("value").alias("medida"))
+
+
+def component_tree(t: Tables) -> DataFrame:
+    """Components in a tree as deep as their number's logarithm; two of them are each other's parents."""
+    key = F.col("s_suppkey")
+    parent = F.when(key == 3, 7).when(key > 0, F.floor(key / 2))
+    code = lambda c: F.concat(F.lit("C"), c.cast("string"))
+    return t.supplier.select(code(key).alias("componente_codigo"), code(parent).alias("componente_padre_codigo"))
+
+
+def week_header(t: Tables, weeks: int = 156) -> DataFrame:
+    """The week row of one wide sheet per plant and `weeks` weeks, and the year of its first filled column."""
+    place = points(t).select("punto_nro", F.col("planta_canon").alias("planta"))
+    week = F.floor(F.datediff(monday(F.col("fecha_medicion")), F.lit(SHEET_EPOCH)) / 7).cast("int")
+    rows = cells(t).join(place, "punto_nro", "left").select("planta", F.floor(week / weeks).cast("int").alias("bloque"), (week % weeks + 1).alias("pos"), "anio", "semana_nro")
+    spread = [F.max(F.expr(f"case when pos = {p} then semana_nro end")).cast("string").alias(f"column{p:03d}") for p in range(1, weeks + 1)]
+    return rows.groupBy(*SHEET_IDS).agg(F.min("anio").alias("primer_anio"), *spread).withColumn("etiqueta", F.lit(WEEK_ROW))
+
+
 def done_flag(status: Column) -> Column:
     return F.when(status == "F", 1).when(status == "O", 0)
 
