@@ -75,3 +75,21 @@ def densify(fact: DataFrame, points: DataFrame, first: date, last: date, value:
         measured_state(F.col(value)).alias("estado"),
         unmeasured_reason(F.col(value)).alias("motivo_no_medicion"),
     )
+
+
+def missing_cells(fact: DataFrame, points: DataFrame, first: date, last: date, known: DataFrame | None = None) -> DataFrame:
+    """The `no_medido` rows a load adds to its facts: cells of the grid that neither it nor the store has.
+
+    `known` holds the (point, year, week) that are stored, of the weeks from `first` to `last` at least. Such
+    a cell keeps what it is: a stored reading is not taken back because a later batch does not bring it again,
+    and a stored `no_medido` is closed by the version that its reading makes when it arrives.
+    Columns that only facts have are NULL.
+    """
+    keys = ["punto_nro", "anio", "semana_nro"]
+    grid = week_grid(points, first, last).join(fact.select(*keys), keys, "left_anti")
+    if known is not None:
+        grid = grid.join(known.select(*keys), keys, "left_anti")
+    filled = {"estado": measured_state(F.lit(None)), "motivo_no_medicion": unmeasured_reason(F.lit(None))}
+    kinds = {f.name: f.dataType for f in fact.schema.fields}
+    own = {c: F.col(c) if c in grid.columns else filled.get(c, F.lit(None)) for c in fact.columns}
+    return grid.select(*[x.cast(kinds[c]).alias(c) for c, x in own.items()])

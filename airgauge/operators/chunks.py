@@ -143,9 +143,14 @@ def valid_chunks(chunks: DataFrame, now_epoch: Column) -> DataFrame:
 
 
 def upsert_chunks(new: DataFrame, stored: DataFrame | None) -> DataFrame:
-    """New chunks whose (rule, id, hash) is not stored: loading twice adds nothing."""
+    """New chunks whose (rule, id, hash) is not stored: loading twice adds nothing.
+
+    Of new chunks that agree in these the first by their JSON text stands, whatever order they come in.
+    """
     same = ["regla_id", "chunk_id", "hash_contenido"]
-    unique = new.dropDuplicates(same)
+    whole = F.struct(*new.columns)
+    first = new.groupBy(*same).agg(F.min_by(whole, F.to_json(whole)).alias("_c"))
+    unique = first.select(*[F.col("_c").getField(c).alias(c) for c in new.columns])
     return unique if stored is None else unique.join(stored.select(*same), same, "left_anti")
 
 

@@ -869,6 +869,7 @@ def oracle_sql() -> dict[str, str]:
     from airgauge import oracles_history
 
     out["satellite_bucketed"] = out["satellite_detalle_medicion"]
+    out["not_measured_from_store"] = next(s for n, s in out.items() if n.startswith("question_p11_"))
     return out | oracles_history.bodies()
 
 

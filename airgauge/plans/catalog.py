@@ -241,6 +241,17 @@ SATELLITES = (
     Satellite("vigencia_punto_planta", ("punto_nro",), ("planta_canon",), "mediciones", "planta_canon is not null"),
 )
 
+# Keys that hold several rows at once: an order's operations.
+ROW_SETS = (
+    Satellite(
+        "detalle_ot_operaciones",
+        ("orden_nro",),
+        ("ot_texto_breve", "ubicacion_tecnica", "hh_planificadas", "hh_reales", "personal_prog", "personal_real", "cumpl_prog", "inicio_programado"),
+        "ordenes",
+        several=True,
+    ),
+)
+
 HUB = {h.name: h for h in HUBS}
 LINK = {l.name: l for l in LINKS}
 SATELLITE = {s.name: s for s in SATELLITES}

@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 
 from airgauge.functions import columns as c
 from airgauge.operators import history as h
+from airgauge.operators import multi_active as ma
 from airgauge.operators import reshape as rs
 from airgauge.operators.calendar import day_of_week, iso_calendar, with_weeks_of
 from airgauge.operators.orders import OrderSheet, normalize_orders, resolve_machine
 from airgauge.plans.frames import ROLES, Lazy
-from airgauge.plans.vault import load_history
+from airgauge.plans.vault import load_history, with_missing_cells
 from airgauge.sources.landing import SourceSpec, load_reference, path_exists, scan_all, write_overwrite
 
 # Sheet name, its file, and the plant it measures.
@@ -53,8 +54,8 @@ def order_sources(root: str) -> list[SourceSpec]:
     return [SourceSpec(name, f"{root}/{file}", snapshot_key=("_fuente", "Orden")) for name, file in ORDER_FILES]
 
 
-def snapshot_landing(src: DataFrame, root: str, key: Sequence[str], now: Column) -> DataFrame:
-    """Bring the snapshot under `root` up to `src` and return its current rows.
+def snapshot_landing(src: DataFrame, root: str, key: Sequence[str], now: Column, several: bool = False) -> DataFrame:
+    """Bring the snapshot under `root` up to `src` and return its current rows; `several`: a key may have more than one.
 
     A new state is written beside the old one and counts once its job has
     committed: a job lost half way leaves the old state in force.
@@ -68,10 +69,15 @@ def snapshot_landing(src: DataFrame, root: str, key: Sequence[str], now: Column)
         # a sheet that grew has week columns its older states lack, or the other way round
         for col in set(src.columns) - set(stored.columns):
             stored = stored.withColumn(col, F.lit(None).cast("string"))
-        for col in set(stored.columns) - set(src.columns) - set(h.SNAP_COLUMNS):
+        for col in set(stored.columns) - set(src.columns) - {*h.SNAP_COLUMNS, ma.COPIES}:
             src = src.withColumn(col, F.lit(None).cast("string"))
-    write_overwrite(h.snapshot_check(src, stored, key, now), f"{root}/estado={n}")
-    return h.snapshot_current(spark.read.parquet(f"{root}/estado={n}"))
+    if not several:
+        write_overwrite(h.snapshot_check(src, stored, key, now), f"{root}/estado={n}")
+        return h.snapshot_current(spark.read.parquet(f"{root}/estado={n}"))
+    if stored is not None and ma.COPIES not in stored.columns:
+        stored = stored.withColumn(ma.COPIES, F.lit(1))
+    write_overwrite(ma.snapshot_rows(src, stored, key, now), f"{root}/estado={n}")
+    return ma.snapshot_rows_current(spark.read.parquet(f"{root}/estado={n}"))
 
 
 def measurements_from_sheets(sheets: DataFrame, catalog: DataFrame, year: Column | None = None) -> DataFrame:
@@ -90,6 +96,16 @@ def measurements_from_sheets(sheets: DataFrame, catalog: DataFrame, year: Column
     )
 
 
+def catalogue_points(catalog: DataFrame) -> DataFrame:
+    """The catalogue's points with the columns that measurements carry of them."""
+    return catalog.select(
+        F.col("planta_canon").alias("planta"), "planta_canon", "punto_evaluacion", "punto_nro", "maquina_gen_codigo", "componente_codigo",
+        c.concat_code(F.col("maquina_gen_codigo"), F.col("componente_codigo")).alias("componente_codigo_full"),
+        "nombre_punto", "descripcion_punto", "tipo_punto", "maquina_gen_nombre", "tipo_maquina_gen", "descripcion",
+        c.utc_now().alias("_bronce_loaded_at"),
+    )
+
+
 def orders_from_sheets(sheets: DataFrame, machines: DataFrame, sheet: OrderSheet) -> DataFrame:
     return resolve_machine(normalize_orders(sheets, sheet), machines)
 
@@ -153,20 +169,27 @@ def write_rejects(measurements: DataFrame, root: str) -> None:
     write_overwrite(counts, f"{root}/rechazos/mediciones_por_etiqueta")
 
 
-def ingest(spark: SparkSession, landing: str, references: str, root: str, sheet: OrderSheet, now: Column) -> dict[str, bool]:
+def ingest(
+    spark: SparkSession, landing: str, references: str, root: str, sheet: OrderSheet, now: Column, dense: bool = True
+) -> dict[str, bool]:
     """Everything under `landing` into the tables under `root`; which declared sources were there.
 
-    Running it again on the same files adds nothing but a load of equal state.
+    Running it again on the same files adds nothing but a load of equal state. An order may have several
+    operations, all of which are kept. With `dense`, points of the catalogue that were not measured in one of
+    the sheets' weeks get a `no_medido` cell there, until a reading for it comes in.
     """
     sheets, found = scan_all(spark, measurement_sources(landing))
     programme, found_orders = scan_all(spark, order_sources(landing))
     current = snapshot_landing(sheets, f"{root}/instantaneas/puntos", ["planta", rs.LABEL], now)
     numbered = programme.where(F.trim(F.col("Orden")) != "")
-    current_orders = snapshot_landing(numbered, f"{root}/instantaneas/programa", ["_fuente", "Orden"], now)
+    current_orders = snapshot_landing(numbered, f"{root}/instantaneas/programa", ["_fuente", "Orden"], now, several=True)
     catalog = load_reference(spark, "puntos_catalogo", f"{references}/puntos_catalogo.csv")
     machines = load_reference(spark, "equipos_ventilacion_catalogo", f"{references}/equipos_ventilacion_catalogo.csv")
     measurements = measurements_from_sheets(current, catalog)
     write_rejects(measurements, root)
+    if dense:
+        known = measurements.where(F.col("punto_nro").isNotNull())
+        measurements = with_missing_cells(known, catalogue_points(catalog), root)
     load_history(
         spark,
         root,

@@ -11,7 +11,7 @@ covered points, and fact to causes.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Collection, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +30,7 @@ from airgauge.plans.frames import (
     Frames,
     Lazy,
 )
-from airgauge.sources.landing import write_mart, write_overwrite
+from airgauge.sources.landing import path_exists, write_mart, write_overwrite
 
 SCHEMAS = "esquemas"
 WEEK = ["anio", "semana_nro"]
@@ -320,24 +320,39 @@ MARTS: dict[str, Callable[[Frames], DataFrame]] = {
 }
 
 
-def build_marts(frames: Frames, root: str) -> None:
-    """Stores every mart, those with a year partitioned by it. A rerun replaces what a lost job left.
+def _editions(spark: SparkSession, root: str) -> int:
+    """How many editions of the marts are whole. The schemas are an edition's last file."""
+    n = 0
+    while path_exists(spark, f"{root}/edicion={n}/{SCHEMAS}/_SUCCESS"):
+        n += 1
+    return n
 
-    Their schemas are stored beside them: a mart without rows has no file that could tell its own.
+
+def build_marts(frames: Frames, root: str, only: Collection[str] | None = None) -> None:
+    """Stores every mart (or those named), those with a year partitioned by it, as a new edition.
+
+    An edition counts once its last table is written: a lost job leaves the one before in force, and a rerun
+    replaces what it left. The schemas are stored beside the marts: one without rows has no file that could tell
+    its own.
     """
-    made = {name: build(frames) for name, build in MARTS.items()}
+    made = {name: build(frames) for name, build in MARTS.items() if only is None or name in only}
+    spark = next(iter(made.values())).sparkSession
+    folder = f"{root}/edicion={_editions(spark, root)}"
     for name, mart in made.items():
         if "anio" in mart.columns:
-            write_mart(mart, f"{root}/{name}")
+            write_mart(mart, f"{folder}/{name}")
         else:
-            write_overwrite(mart, f"{root}/{name}")
-    spark = next(iter(made.values())).sparkSession
+            write_overwrite(mart, f"{folder}/{name}")
     schemas = [(name, mart.schema.json()) for name, mart in made.items()]
-    write_overwrite(spark.createDataFrame(schemas, "mart string, esquema string"), f"{root}/{SCHEMAS}")
+    write_overwrite(spark.createDataFrame(schemas, "mart string, esquema string"), f"{folder}/{SCHEMAS}")
 
 
 def stored_marts(spark: SparkSession, root: str) -> Lazy:
-    """The stored marts by name: questions on them scan a mart and prune its years instead of building it."""
-    rows = spark.read.parquet(f"{root}/{SCHEMAS}").collect()  # one row per mart
+    """The latest edition of the stored marts: questions scan a mart and prune its years instead of building it."""
+    n = _editions(spark, root)
+    if not n:
+        raise FileNotFoundError(f"no whole edition of the marts under {root}")
+    folder = f"{root}/edicion={n - 1}"
+    rows = spark.read.parquet(f"{folder}/{SCHEMAS}").collect()  # one row per mart
     schemas = {r.mart: T.StructType.fromJson(json.loads(r.esquema)) for r in rows}
-    return Lazy({n: lambda n=n: spark.read.schema(schemas[n]).parquet(f"{root}/{n}").select(*schemas[n].names) for n in MARTS})
+    return Lazy({m: lambda m=m: spark.read.schema(schemas[m]).parquet(f"{folder}/{m}").select(*schemas[m].names) for m in schemas})

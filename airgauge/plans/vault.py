@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 from airgauge.operators import bucketed as b
 from airgauge.operators import history as h
 from airgauge.operators import multi_active as ma
-from airgauge.plans.catalog import HUBS, LINKS, SATELLITES, HUB, LINK, SATELLITE
+from airgauge.operators.calendar import day_of_week, iso_calendar, missing_cells
+from airgauge.plans.catalog import HUB, HUBS, LINK, LINKS, ROW_SETS, SATELLITE, SATELLITES
 from airgauge.plans.frames import Frames
 from airgauge.session import shared_dir
 from airgauge.sources.landing import read_if_present
@@ -34,7 +36,7 @@ def _satellite_source(spec: h.Satellite, sources: Sources) -> DataFrame:
 
 
 def satellite_rows(name: str, sources: Sources, stored: DataFrame | None, now: Column) -> DataFrame:
-    spec = SATELLITE[name]
+    spec = SATELLITE.get(name) or next(x for x in ROW_SETS if x.name == name)
     new = ma.new_set_rows if spec.several else h.new_satellite_rows
     return new(_satellite_source(spec, sources), spec.key, spec.attributes, stored, now, spec.source)
 
@@ -63,14 +65,17 @@ def append_versions(spec: h.Satellite, src: DataFrame, path: str, now: Column) -
     return touched
 
 
-def load_history(spark: SparkSession, root: str, sources: Sources, now: Column) -> None:
+def load_history(spark: SparkSession, root: str, sources: Sources, now: Column, only: Collection[str] | None = None) -> None:
     """Append what each table does not hold yet. Running it again with the same data adds nothing.
 
     Tables whose source is absent are skipped, so a batch may bring only some sources. Of a table that grows
     with the facts only the buckets are read that the batch can meet; reference tables are read whole.
+    `only` names the tables to load; the default is all.
     """
-    for specs, rows in ((HUBS, hub_rows), (LINKS, link_rows), (SATELLITES, satellite_rows)):
+    for specs, rows in ((HUBS, hub_rows), (LINKS, link_rows), ((*SATELLITES, *ROW_SETS), satellite_rows)):
         for spec in specs:
+            if only is not None and spec.name not in only:
+                continue
             needed = spec.sources if hasattr(spec, "sources") else (spec.source,)
             if not all(s in sources for s in needed):
                 continue
@@ -83,6 +88,25 @@ def load_history(spark: SparkSession, root: str, sources: Sources, now: Column)
                 append_keys(spec, rows(spec.name, sources, None, now), path)
 
 
+def known_cells(spark: SparkSession, root: str, first: date, last: date) -> DataFrame | None:
+    """Point, year and week of the stored measurement cells, read from the buckets of these weeks alone."""
+    spec = LINK["relacion_medicion"]
+    weeks = iso_calendar(spark, first, last).select(b.buckets_for(spec.key, spec.buckets).of().alias(b.BUCKET))
+    stored = b.stored_rows(spark, f"{root}/{spec.name}", b.buckets_of(weeks))
+    return None if stored is None else stored.select(*spec.key)
+
+
+def with_missing_cells(measurements: DataFrame, points: DataFrame, root: str) -> DataFrame:
+    """Measurements with a `no_medido` row for every cell of their weeks that is neither among them nor stored."""
+    spark = measurements.sparkSession
+    day = day_of_week(F.col("anio"), F.col("semana_nro"))
+    first, last = measurements.agg(F.min(day), F.max(day)).first()
+    if first is None:
+        return measurements
+    known = known_cells(spark, root, first, last)
+    return measurements.unionByName(missing_cells(measurements, points, first, last, known))
+
+
 def frames_from_history(spark: SparkSession, root: str) -> Frames:
     """Current state of every subject, keyed by natural key again."""
 

@@ -726,4 +726,6 @@ def runnable() -> dict[str, Query]:
         landing_stream,
     ):
         out[fn.__name__] = fn
-    return out | registry_history.QUERIES
+    from airgauge import registry_retrieval  # which builds on the queries above
+
+    return out | registry_history.QUERIES | registry_retrieval.QUERIES
