@@ -82,6 +82,12 @@ def snapshot_rows_current(stored: DataFrame) -> DataFrame:
     return stored.where(F.col(SNAP_TO).isNull()).drop(*SNAP_COLUMNS)
 
 
+def each_copy(rows: DataFrame) -> DataFrame:
+    """The rows as they came in: one that stands for copies is there as many times again."""
+    again = rows.withColumn("_vez", F.explode(F.sequence(F.lit(1), F.col(COPIES))))
+    return again.drop("_vez", COPIES)
+
+
 # --- satellites ------------------------------------------------------------------
 
 

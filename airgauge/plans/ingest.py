@@ -77,7 +77,7 @@ def snapshot_landing(src: DataFrame, root: str, key: Sequence[str], now: Column,
     if stored is not None and ma.COPIES not in stored.columns:
         stored = stored.withColumn(ma.COPIES, F.lit(1))
     write_overwrite(ma.snapshot_rows(src, stored, key, now), f"{root}/estado={n}")
-    return ma.snapshot_rows_current(spark.read.parquet(f"{root}/estado={n}"))
+    return ma.each_copy(ma.snapshot_rows_current(spark.read.parquet(f"{root}/estado={n}")))
 
 
 def measurements_from_sheets(sheets: DataFrame, catalog: DataFrame, year: Column | None = None) -> DataFrame:

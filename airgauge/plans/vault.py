@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection, Mapping
+from collections.abc import Callable, Collection, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +20,8 @@ from airgauge.sources.landing import read_if_present
 
 Sources = Mapping[str, DataFrame]
 
+AT_ONCE = 4  # tables that load at the same time
+
 
 def hub_rows(name: str, sources: Sources, stored: DataFrame | None, now: Column) -> DataFrame:
     spec = HUB[name]
@@ -72,20 +75,26 @@ def load_history(spark: SparkSession, root: str, sources: Sources, now: Column,
     with the facts only the buckets are read that the batch can meet; reference tables are read whole.
     `only` names the tables to load; the default is all.
     """
+    wanted = []
     for specs, rows in ((HUBS, hub_rows), (LINKS, link_rows), ((*SATELLITES, *ROW_SETS), satellite_rows)):
         for spec in specs:
-            if only is not None and spec.name not in only:
-                continue
             needed = spec.sources if hasattr(spec, "sources") else (spec.source,)
-            if not all(s in sources for s in needed):
-                continue
-            path = f"{root}/{spec.name}"
-            if not spec.buckets:
-                rows(spec.name, sources, read_if_present(spark, path), now).write.mode("append").parquet(path)
-            elif isinstance(spec, h.Satellite):
-                append_versions(spec, _satellite_source(spec, sources), path, now)
-            else:
-                append_keys(spec, rows(spec.name, sources, None, now), path)
+            if (only is None or spec.name in only) and all(s in sources for s in needed):
+                wanted.append((spec, rows))
+
+    def load(spec: h.Hub | h.Link | h.Satellite, rows: Callable[..., DataFrame]) -> None:
+        path = f"{root}/{spec.name}"
+        if not spec.buckets:
+            rows(spec.name, sources, read_if_present(spark, path), now).write.mode("append").parquet(path)
+        elif isinstance(spec, h.Satellite):
+            append_versions(spec, _satellite_source(spec, sources), path, now)
+        else:
+            append_keys(spec, rows(spec.name, sources, None, now), path)
+
+    # the tables have nothing to do with each other: a few at a time keep the cluster busy between small ones
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        for done in [pool.submit(load, *w) for w in wanted]:
+            done.result()
 
 
 def known_cells(spark: SparkSession, root: str, first: date, last: date) -> DataFrame | None:

@@ -9,6 +9,7 @@ from airgauge.plans import questions as q
 from airgauge.plans.frames import Lazy
 from airgauge.plans.marts import MARTS, build_marts, stored_marts
 from airgauge.operators import history as h
+from airgauge.operators import multi_active as ma
 from airgauge.plans import vault
 from airgauge.plans.catalog import SATELLITE
 from airgauge.plans.vault import frames_from_history
@@ -43,16 +44,16 @@ def write(path, header, rows):
         csv.writer(f).writerows([header, *rows])
 
 
-def landing(folder, last="3.5", done="0"):
+def landing(folder, last="3.5", done="0", two="", more=()):
     write(folder / "Nodo.csv", ["etiqueta", "column70", "column71"], [
         ["Semanas", "18", "19"], ["Fecha", "2026-04-30", "2026-05-07"], ["Operador", "ana", ""],
-        ["punto  uno (1)", "1.0", last], ["Punto Dos (2)", "0.1", ""], ["Desconocido", "2", "2"], ["Tph", "1500", "1600"],
+        ["punto  uno (1)", "1.0", last], ["Punto Dos (2)", "0.1", two], ["Desconocido", "2", "2"], ["Tph", "1500", "1600"],
     ])
     names = [*ORDER_COLUMNS.values(), *DAYS]
     row = dict.fromkeys(names, "")
     row |= {"Orden": "ot1", "Denominación": "humectador  1", "Txt.brv.": "Mantención", "Responsable": "Taller",
             "CumplProg": done, "HorasHombreProg.": "4", "HorasHombreReal": "5", "2026-05-20 00:00:00": "4"}
-    write(folder / "Programa.csv", names, [list(row.values())])
+    write(folder / "Programa.csv", names, [list(row.values()), *[list((row | x).values()) for x in more]])
 
 
 def test_files_to_answers_and_a_second_week(spark, tmp_path):
@@ -64,7 +65,7 @@ def test_files_to_answers_and_a_second_week(spark, tmp_path):
         folder = tmp_path / f"landing{day}"
         landing(folder, **kw)
         now = F.lit(f"2026-05-{day}").cast("timestamp")
-        found = ing.ingest(spark, str(folder), str(refs), root, SHEET, now)
+        found = ing.ingest(spark, str(folder), str(refs), root, SHEET, now, dense=False)
         assert {k for k, v in found.items() if v} == {"puntos_nodo", "programa_general"}
         f = frames_from_history(spark, root)
         return Lazy({n: lambda b=b: b(f) for n, b in MARTS.items()})
@@ -97,6 +98,35 @@ def test_files_to_answers_and_a_second_week(spark, tmp_path):
     assert why.count() == q.QUESTIONS["P7"].run(m, punto=1).count() and "detalle_medicion" not in plan
 
 
+def test_not_measured_cells_and_several_operations(spark, tmp_path):
+    """A load marks what was not measured until its reading comes; an order keeps all its operations."""
+    refs, root = tmp_path / "refs", str(tmp_path / "root")
+    for name, rows in REFERENCES.items():
+        write(refs / f"{name}.csv", [x.split()[0] for x in REFERENCE_SCHEMAS[name].split(", ")], rows)
+    second = {"Txt.brv.": "Limpieza", "HorasHombreProg.": "2"}
+
+    def load(day, **kw):
+        landing(tmp_path / f"landing{day}", **kw)
+        ing.ingest(spark, str(tmp_path / f"landing{day}"), str(refs), root, SHEET, F.lit(f"2026-05-{day}").cast("timestamp"))
+        cells = h.current_version(spark.read.parquet(f"{root}/detalle_medicion")).groupBy("estado").count().collect()
+        sets = spark.read.parquet(f"{root}/detalle_ot_operaciones")
+        now = sorted((r.ot_texto_breve, r.hh_planificadas, r.copias) for r in ma.current_set(sets).collect())
+        return {r.estado: r["count"] for r in cells}, now, sets.agg(F.max("version_seq")).first()[0]
+
+    two = [("Limpieza", 2.0, 1), ("Mantención", 4.0, 1)]
+    assert load(11, more=[second]) == ({"medido": 3, "no_medido": 1}, two, 1)
+    frames = frames_from_history(spark, root)
+    build_marts(frames, f"{root}/marts", ["detalle_medicion"])
+    [why] = q.QUESTIONS["P11"].run(stored_marts(spark, f"{root}/marts")).collect()
+    assert (why.punto_nro, why.anio, why.semana_nro, why.motivo_no_medicion) == (2, 2026, 19, "sin_registro")
+    assert load(25, two="0.7", more=[second, second]) == ({"medido": 4}, [("Limpieza", 2.0, 2), ("Mantención", 4.0, 1)], 2)
+    build_marts(frames_from_history(spark, root), f"{root}/marts", ["detalle_medicion"])
+    assert q.QUESTIONS["P11"].run(stored_marts(spark, f"{root}/marts")).count() == 0
+    # an edition that a lost job left half way does not count
+    spark.range(1).write.parquet(f"{root}/marts/edicion=2/detalle_medicion")
+    assert stored_marts(spark, f"{root}/marts")["detalle_medicion"].count() == 4
+
+
 def test_labels_outside_the_catalogue_are_kept_as_rejects(spark, tmp_path):
     refs, root = tmp_path / "refs", str(tmp_path / "root")
     for name, rows in REFERENCES.items():
@@ -104,7 +134,7 @@ def test_labels_outside_the_catalogue_are_kept_as_rejects(spark, tmp_path):
 
     def load(day):
         landing(tmp_path / f"landing{day}")
-        ing.ingest(spark, str(tmp_path / f"landing{day}"), str(refs), root, SHEET, F.lit(f"2026-05-{day}").cast("timestamp"))
+        ing.ingest(spark, str(tmp_path / f"landing{day}"), str(refs), root, SHEET, F.lit(f"2026-05-{day}").cast("timestamp"), dense=False)
         rows = spark.read.parquet(f"{root}/rechazos/mediciones").collect()
         counts = spark.read.parquet(f"{root}/rechazos/mediciones_por_etiqueta").collect()
         return sorted((r.planta, r.punto_evaluacion, r.semana_nro, r.concentracion_mg_m3) for r in rows), [tuple(r) for r in counts]
