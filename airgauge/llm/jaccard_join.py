@@ -341,16 +341,16 @@ def _grouped(docs: DataFrame, text: str) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """`id`, n_shingles, class_id (smallest id with the same set) and component_id (smallest id reachable by links).
+    """`id`, n_shingles, component_id (smallest id reachable by links) and class_id (smallest id with the same set).
 
     Documents link when their sets of distinct 5-word shingles are 75 % alike; letters A-Z count as a-z. A
     text of fewer words is one shingle; NULL, empty and blank texts have none and link with nothing. Every
     row gives one row: rows with the same id are documents of their own, and a NULL id only stands for its
-    component if there is no other.
+    component if there is no other. Ids are whole numbers.
     """
     numbered = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     found = _grouped(numbered, "text")
-    return found.select(F.col("doc_id").alias(id), F.col("n").alias("n_shingles"), "class_id", "component_id")
+    return found.select(F.col("doc_id").alias(id), F.col("n").alias("n_shingles"), "component_id", "class_id")
 
 
 def all_links(docs: DataFrame, id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:

@@ -162,9 +162,24 @@ def packed(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         parts = max(1, parts // FAN_IN, -(-count // MOST_ITEMS))
         level, before = level + 1, count
         work = left.repartition(parts, F.xxhash64("sequence_id", F.lit(level))).sortWithinPartitions("sequence_id")
-    flat = done.select("sequence_id", F.posexplode("members").alias("k", "m"), F.col("members.length").alias("sizes"))
-    ahead = F.aggregate(F.slice("sizes", 1, F.col("k")), F.lit(0).cast("bigint"), lambda a, x: a + x)
-    return flat.select("m.*", "sequence_id", ahead.alias("offset"))
+    return done.select("sequence_id", "members").mapInArrow(_offsets, f"{MEMBER[len('struct<') : -1]}, sequence_id bigint, offset bigint")
+
+
+def _offsets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each member of a sequence, with its place: the lengths before it, summed once along the sequence."""
+    for batch in batches:
+        members = batch.column("members")
+        sizes = np.diff(members.offsets.to_numpy())
+        flat = members.flatten()
+        length = flat.field("length").to_numpy()
+        before = np.cumsum(length) - length
+        first = np.cumsum(sizes) - sizes
+        start = np.repeat(before[first[sizes > 0]], sizes[sizes > 0])
+        sequence = np.repeat(batch.column("sequence_id").to_numpy(), sizes)
+        columns = [flat.field(i) for i in range(flat.type.num_fields)]
+        yield pa.RecordBatch.from_arrays(
+            [*columns, pa.array(sequence), pa.array(before - start)], names=[*[f.name for f in flat.type], "sequence_id", "offset"]
+        )
 
 
 def pack_documents(docs: DataFrame, path: str, end_id: int, capacity: int = CAPACITY) -> DataFrame:

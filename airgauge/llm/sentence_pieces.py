@@ -141,8 +141,11 @@ class Pieces:
         self.unknown = next((i for i, p in enumerate(model.pieces) if p.type == UNKNOWN), -1)
         self.decimals = [str(i) for i in range(len(model.pieces))]
 
-    def encode(self, text: str) -> tuple[list[int], np.ndarray, np.ndarray]:
-        """Ids of the text, and where each piece begins and ends in its UTF-8 bytes."""
+    def encode(self, text: str) -> tuple[list[int], np.ndarray | None, np.ndarray | None]:
+        """Ids of the text, and where each piece begins and ends in its UTF-8 bytes.
+
+        Should the pieces of a text not tile its normal form, it has its ids but no spans (None).
+        """
         ids = self.library.encode(text)
         if not ids:
             return ids, np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -154,7 +157,7 @@ class Pieces:
         normal, where = self.normalize(text)
         ends = np.cumsum(sizes)
         if ends[-1] != len(normal):
-            raise ValueError("pieces do not tile the normalised text")
+            return ids, None, None
         return ids, where[ends - sizes], where[ends]
 
     def decode(self, ids: list[int]) -> str:
@@ -168,7 +171,7 @@ def _pieces(path: str) -> Pieces:
 def encode(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text") -> DataFrame:
     """`id`, ids, begins and ends (byte span of each piece in the original text) for each row.
 
-    NULL and empty texts have no pieces. Every row of `docs` gives one row; an empty table gives none.
+    NULL and empty texts have no pieces; a text whose pieces do not tile it has NULL spans. Every row of `docs` gives one row; an empty table gives none.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,7 +218,7 @@ def digests(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text")
                 for t in texts:
                     ids, begins, ends = pieces.encode(t)
                     of_ids = hashlib.sha256(",".join(map(decimal, ids)).encode()).hexdigest()
-                    rows.append((len(ids), of_ids, hashlib.sha256(pieces.decode(ids).encode()).hexdigest(), int((ends - begins).sum())))
+                    rows.append((len(ids), of_ids, hashlib.sha256(pieces.decode(ids).encode()).hexdigest(), None if begins is None else int((ends - begins).sum())))
                 n, a, b, covered = zip(*rows)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(id).slice(first, len(texts)), pa.array(n, pa.int64()), pa.array(a), pa.array(b), pa.array(covered, pa.int64())],

@@ -191,12 +191,15 @@ def write_files(docs: DataFrame, folder: str, path: str, end_id: int, id: str =
         counts: list[int] = []
         parts: list[np.ndarray] = []
         crcs: list[int] = []
+        held = 0
 
         def closed() -> pa.RecordBatch:
+            nonlocal held
             # the name follows from what is in the file, so a second attempt replaces the first
             name = f"{ids[0] & (1 << 64) - 1:016x}-{zlib.crc32(np.array([ids, counts, crcs], '<i8').tobytes()):08x}.ids"
             _put(fs, f"{place}/{name}", file_bytes(ids, counts, ranks[np.concatenate(parts)]))
-            row = {"file": [name], "first_id": [ids[0]], "last_id": [ids[-1]], "n_docs": [len(ids)], "n_tokens": [sum(counts)]}
+            row = {"file": [name], "first_id": [ids[0]], "last_id": [ids[-1]], "n_docs": [len(ids)], "n_tokens": [held]}
+            held = 0
             for x in (ids, counts, parts, crcs):
                 x.clear()
             return pa.RecordBatch.from_pydict(row)
@@ -206,11 +209,12 @@ def write_files(docs: DataFrame, folder: str, path: str, end_id: int, id: str =
             columns = (batch.column(c).to_pylist() for c in ("doc_id", "n_tokens", "ids_crc32", "ids", "file_name", "row_index"))
             for doc, n, crc, blob, part, row in zip(*columns):
                 # a task may read several stretches of the table; a file holds rows of one alone
-                if ids and ((part, row - 1) != last or sum(counts) + n > file_tokens):
+                if ids and ((part, row - 1) != last or held + n > file_tokens):
                     yield closed()
                 last = (part, row)
                 ids.append(doc)
                 counts.append(n)
+                held += n
                 crcs.append(crc)
                 parts.append(_wide(blob, n))
         if ids:

@@ -8,6 +8,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from airgauge.llm import packing, sentence_pieces, token_counts, token_files
@@ -129,3 +130,24 @@ def test_packing(docs, rows, empty):
         assert [o for o, _ in b] == [sum(n for _, n in b[:k]) for k in range(len(b))] and sum(n for _, n in b) <= 256
     assert len(bins) <= 1.02 * sum(r.length for r in got) / 256 + 1
     assert packing.pack_documents(empty, WORD_BPE, 1).collect() == []
+
+
+def test_very_many_empty_texts(spark, tmp_path):
+    """Sequences and files of thousands of one-token documents: places are sums along them, not sums of sums."""
+    n = 30_000
+    df = spark.range(n).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, F.lit("")).alias("text")).repartition(2)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rows = packing.pack_documents(df, path, end_id=1).toPandas()
+    assert len(rows) == n and rows.sequence_id.nunique() == -(-n // 4096) and (rows.length == 1).all()
+    for _, own in rows.groupby("sequence_id"):
+        assert sorted(own.offset) == list(range(len(own)))
+    back = token_files.round_trip(df, path, end_id=1).orderBy("doc_id").toPandas()
+    assert (back.start == range(n)).all() and (back.n_tokens == 1).all()
+
+
+def test_pieces_that_do_not_tile_have_no_spans(spark, monkeypatch):
+    """Ids stay right where the places in the text cannot be told."""
+    pieces = sentence_pieces.Pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    whole = pieces.encode("one two")
+    monkeypatch.setattr(pieces, "normalize", lambda text: (b"", None))
+    assert pieces.encode("one two") == (whole[0], None, None)
