@@ -90,6 +90,17 @@ def governed_by_user(df: DataFrame, grants: DataFrame, dims: Mapping[str, str])
     return out
 
 
+def totals_by_user(df: DataFrame, grants: DataFrame, dims: Mapping[str, str], rows: str, sums: Mapping[str, str]) -> DataFrame:
+    """Per user, the number of rows they may see as `rows`, and sums of columns (output name -> column).
+
+    Rows are added up per combination of their labels before they meet the grants: the join is of label
+    combinations and users, however many rows there are.
+    """
+    per_label = df.groupBy(*dims.values()).agg(F.count(F.lit(1)).alias("_filas"), *[F.sum(c).alias(f"_{n}") for n, c in sums.items()])
+    seen = governed_by_user(per_label, grants, dims)
+    return seen.groupBy("user_id").agg(F.sum("_filas").alias(rows), *[F.sum(f"_{n}").alias(n) for n in sums])
+
+
 def dimension_map(spec: Mapping[str, str]) -> Column:
     """Map of governance labels: 'column:x' takes column x, anything else is a constant."""
     parts = []

@@ -732,7 +732,8 @@ OTHER_SQL = {
             ("conversations", 0),
         )
     ),
-    "vector_table": """SELECT vec_id, 64 AS dimension, 'cosine' AS distancia, round(CAST(embedding[1] AS DOUBLE), 6) AS primera
+    "vector_table": """SELECT vec_id, 64 AS dimension, 'cosine' AS distancia, round(CAST(embedding[1] AS DOUBLE), 6) AS primera,
+        array_to_string(list_transform(embedding, lambda x: CAST(round(CAST(x AS DOUBLE) * 1000000) AS BIGINT)), ',') AS componentes
         FROM embeddings WHERE len(embedding) = 64""",
     "rejected_vectors": """SELECT CASE WHEN embedding IS NULL THEN 'nulo' ELSE 'dimension' END AS rechazo, count(*) AS filas
         FROM embeddings WHERE embedding IS NULL OR len(embedding) <> 32 GROUP BY 1""",

@@ -12,12 +12,14 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Collection, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airgauge.functions.columns import exact_avg, to_numeric
+from airgauge.operators.calendar import day_of_week
 from airgauge.plans.frames import (
     DONE,
     MEASURED,
@@ -65,10 +67,17 @@ def point_dimension(f: Frames, plant: bool = False, machine: bool = False, compo
 
 
 def bridge(fact: DataFrame, points: DataFrame, weeks: DataFrame | None = None) -> DataFrame:
-    """One denormalised row per fact: the shared base of the measurement marts."""
+    """One denormalised row per fact: the shared base of the measurement marts.
+
+    Weeks that the calendar does not hold have the dates of the ISO calendar.
+    """
     out = fact.join(points, "punto_nro", "left")
     if weeks is not None:
         out = out.join(weeks.select(*WEEK, "fecha_inicio_semana", "fecha_fin_semana"), WEEK, "left")
+        first = day_of_week(F.col("anio"), F.col("semana_nro"))
+        out = out.withColumns(
+            {"fecha_inicio_semana": F.coalesce("fecha_inicio_semana", first), "fecha_fin_semana": F.coalesce("fecha_fin_semana", F.date_add(first, 6))}
+        )
     return out
 
 
@@ -320,6 +329,9 @@ MARTS: dict[str, Callable[[Frames], DataFrame]] = {
 }
 
 
+AT_ONCE = 4  # marts that are written at the same time
+
+
 def _editions(spark: SparkSession, root: str) -> int:
     """How many editions of the marts are whole. The schemas are an edition's last file."""
     n = 0
@@ -338,11 +350,15 @@ def build_marts(frames: Frames, root: str, only: Collection[str] | None = None)
     made = {name: build(frames) for name, build in MARTS.items() if only is None or name in only}
     spark = next(iter(made.values())).sparkSession
     folder = f"{root}/edicion={_editions(spark, root)}"
-    for name, mart in made.items():
-        if "anio" in mart.columns:
-            write_mart(mart, f"{folder}/{name}")
-        else:
-            write_overwrite(mart, f"{folder}/{name}")
+
+    def store(name: str) -> None:
+        write = write_mart if "anio" in made[name].columns else write_overwrite
+        write(made[name], f"{folder}/{name}")
+
+    # marts have nothing to do with each other: a few at a time keep the cluster busy between small ones
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        for done in [pool.submit(store, name) for name in made]:
+            done.result()
     schemas = [(name, mart.schema.json()) for name, mart in made.items()]
     write_overwrite(spark.createDataFrame(schemas, "mart string, esquema string"), f"{folder}/{SCHEMAS}")
 

@@ -25,7 +25,7 @@ from airgauge.plans import reports as rep
 from airgauge.plans import vault
 from airgauge.plans.catalog import HUB, LINK, SATELLITE
 from airgauge.plans.frames import Frames
-from airgauge.plans.marts import MARTS, bridge, measurement_detail, point_dimension, root_causes
+from airgauge.plans.marts import MARTS, bridge, build_marts, measurement_detail, point_dimension, root_causes, stored_marts
 from airgauge.session import shared_dir
 from airgauge.sources import landing as ld
 from airgauge.streaming import incremental as inc
@@ -316,7 +316,9 @@ def vector_table(spark: SparkSession, d: str) -> DataFrame:
     for _ in range(2):
         ld.append_vectors(st.Tables(spark, d).embeddings, folder, size)
     table = ld.ensure_vector_table(spark, folder, size)
-    return table.select("vec_id", "dimension", "distancia", F.round(F.element_at("embedding", 1).cast("double"), 6).alias("primera"))
+    parts = F.transform("embedding", lambda x: F.round(x.cast("double") * 1_000_000).cast("bigint").cast("string"))
+    first = F.round(F.element_at("embedding", 1).cast("double"), 6).alias("primera")
+    return table.select("vec_id", "dimension", "distancia", first, F.array_join(parts, ",").alias("componentes"))
 
 
 def rejected_vectors(spark: SparkSession, d: str) -> DataFrame:
@@ -460,8 +462,8 @@ def grants_expanded(spark: SparkSession, d: str) -> DataFrame:
 def report_by_user(spark: SparkSession, d: str) -> DataFrame:
     """What the annual report holds for every user: its rows are governed by plant and by scope."""
     rows = rep.annual_concentration(st.marts(spark, d)["cobertura_semanal"]).withColumn("ambito", F.lit("fiscalizacion"))
-    seen = g.governed_by_user(rows, _expanded(spark, d), {"planta": "planta", "ambito": "ambito"})
-    return seen.groupBy("user_id").agg(F.count(F.lit(1)).alias("filas"), F.sum("total_registros").alias("registros"))
+    dims = {"planta": "planta", "ambito": "ambito"}
+    return g.totals_by_user(rows, _expanded(spark, d), dims, "filas", {"registros": "total_registros"})
 
 
 def report_for_user(name: str) -> Query:
@@ -568,10 +570,13 @@ def chunks_upserted(spark: SparkSession, d: str) -> DataFrame:
 
 
 def chunk_counts(spark: SparkSession, d: str) -> DataFrame:
-    """Rows of every question against the limits it declares."""
-    rows = None
-    for qid in q.QUESTIONS:
-        part = question_query(qid)(spark, d).select(F.lit(qid).alias("regla_id"))
+    """Rows of every question, asked of stored marts, against the limits it declares."""
+    folder = shared_dir(spark, "marts")
+    build_marts(st.frames(spark, d), folder)
+    marts, rows = stored_marts(spark, folder), None
+    for qid, question in q.QUESTIONS.items():
+        answer = question_query(qid)(spark, d) if qid == "P11" else question.run(marts, ordered=False)
+        part = answer.select(F.lit(qid).alias("regla_id"))
         rows = part if rows is None else rows.unionByName(part)
     limits = spark.createDataFrame(
         [(i, q.QUESTIONS[i].min_rows, q.QUESTIONS[i].max_rows) for i in q.QUESTIONS], "regla_id string, minimo int, maximo int"
