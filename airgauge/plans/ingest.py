@@ -19,7 +19,7 @@ from airgauge.operators import reshape as rs
 from airgauge.operators.calendar import day_of_week, iso_calendar, with_weeks_of
 from airgauge.operators.orders import OrderSheet, normalize_orders, resolve_machine
 from airgauge.plans.frames import ROLES, Lazy
-from airgauge.plans.vault import load_history, with_missing_cells
+from airgauge.plans.vault import kept, load_history, with_missing_cells
 from airgauge.sources.landing import SourceSpec, load_reference, path_exists, scan_all, write_overwrite
 
 # Sheet name, its file, and the plant it measures.
@@ -185,20 +185,12 @@ def ingest(
     current_orders = snapshot_landing(numbered, f"{root}/instantaneas/programa", ["_fuente", "Orden"], now, several=True)
     catalog = load_reference(spark, "puntos_catalogo", f"{references}/puntos_catalogo.csv")
     machines = load_reference(spark, "equipos_ventilacion_catalogo", f"{references}/equipos_ventilacion_catalogo.csv")
-    measurements = measurements_from_sheets(current, catalog)
+    # the sheets melt once, however many tables are loaded from their rows
+    measurements = kept(measurements_from_sheets(current, catalog), "celdas")
     write_rejects(measurements, root)
     if dense:
         known = measurements.where(F.col("punto_nro").isNotNull())
         measurements = with_missing_cells(known, catalogue_points(catalog), root)
-    load_history(
-        spark,
-        root,
-        sources_of(
-            spark,
-            references,
-            measurements,
-            orders_from_sheets(current_orders, machines, sheet),
-        ),
-        now,
-    )
+    orders = kept(orders_from_sheets(current_orders, machines, sheet), "ordenes")
+    load_history(spark, root, sources_of(spark, references, kept(measurements, "mediciones"), orders), now)
     return {**found, **found_orders}

@@ -44,8 +44,8 @@ def satellite_rows(name: str, sources: Sources, stored: DataFrame | None, now: C
     return new(_satellite_source(spec, sources), spec.key, spec.attributes, stored, now, spec.source)
 
 
-def _kept(df: DataFrame, name: str) -> DataFrame:
-    """The batch of a table, written once: its buckets are looked up before it is compared."""
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """Rows that are used more than once, written to the shared folder and read back."""
     path = shared_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -53,15 +53,15 @@ def _kept(df: DataFrame, name: str) -> DataFrame:
 
 def append_keys(spec: h.Hub | h.Link, rows: DataFrame, path: str) -> b.Load:
     """Hub or link rows of a batch to a table in buckets."""
-    cut = b.buckets_for(spec.key, spec.buckets)
-    return b.append_unknown(_kept(rows.withColumn(b.BUCKET, cut.of()), spec.name), path)
+    cut = b.buckets_for(spec.key, spec.buckets)  # a batch's buckets are looked up before it is compared
+    return b.append_unknown(kept(rows.withColumn(b.BUCKET, cut.of()), spec.name), path)
 
 
 def append_versions(spec: h.Satellite, src: DataFrame, path: str, now: Column) -> list[str]:
     """Changed versions of a batch to a table in buckets; the buckets that were read."""
     cut = b.buckets_for(spec.key, spec.buckets)
     rows = h.hash_rows(src, spec.key, spec.attributes, cut.by).withColumn(b.BUCKET, cut.of())
-    batch = _kept(rows.drop(*cut.by), spec.name)
+    batch = kept(rows.drop(*cut.by), spec.name)
     touched = b.buckets_of(batch)
     stored = b.current_contents(src.sparkSession, path, touched)
     b.append_rows(h.changed_versions(batch, spec.attributes, stored, now, spec.source, [b.BUCKET]), path)
