@@ -33,6 +33,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MAGIC = b"AGTF"
 NO_ID = -(1 << 63)  # stands for a NULL id in a file
+COUNTS = -1  # in place of a number of tokens: a row of counts by id, whose number is in place of the CRC-32
 FILE_TOKENS = 2_000_000  # a file is closed at this size; a longer document has a file of its own
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.uint8) + np.uint8(1)
 
@@ -87,7 +88,9 @@ def parse(content: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def token_table(docs: DataFrame, path: str, end_id: int, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Compressed ids of each document, in partitions that are ranges of `id`, sorted within.
 
-    The borders come from a scan of the id column alone, so no text is tokenized to find them.
+    The borders come from a scan of the id column alone, so no text is tokenized to find them. Before its
+    documents a partition has COUNTS rows: how often each id stands in the texts of a batch, counted while they
+    are at hand; a batch's row goes where its first document goes.
     """
     spark = docs.sparkSession
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -99,18 +102,27 @@ def token_table(docs: DataFrame, path: str, end_id: int, id: str = "doc_id", tex
         tokens = kept_in_worker(f"tokens {path}", lambda: Tokens(path))
         end = np.uint32(end_id).tobytes()
         codec = pa.Codec("zstd", 1)
+        names = ["doc_id", "part", "n_tokens", "ids_crc32", "ids"]
         for batch in batches:
+            total, place = np.zeros(0, np.int64), 0
             for first, texts in texts_of(batch, "text"):
                 ids = batch.column("doc_id").slice(first, len(texts))
                 blobs = [tokens.ids(t) + end for t in texts]
                 keys = np.array(ids, dtype=np.float64)
                 part = np.searchsorted(borders, keys, side="right")
+                own = np.bincount(np.frombuffer(b"".join(blobs), "<u4"), minlength=len(total))
+                own[: len(total)] += total
+                total = own
+                place = part[0] if first == 0 else place
                 yield pa.RecordBatch.from_arrays(
                     [ids, pa.array(part, pa.int32()), pa.array([len(b) // 4 for b in blobs], pa.int64()),
                      pa.array([zlib.crc32(b) for b in blobs], pa.int64()),
                      pa.array([_narrow(b, codec) for b in blobs], pa.binary())],
-                    names=["doc_id", "part", "n_tokens", "ids_crc32", "ids"],
+                    names=names,
                 )
+            if len(total):
+                row = [[NO_ID], pa.array([place], pa.int32()), [COUNTS], [len(total)], [codec.compress(total.astype("<i8").tobytes(), asbytes=True)]]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in row], names=names)
 
     schema = "doc_id bigint, part int, n_tokens bigint, ids_crc32 bigint, ids binary"
     rows = known.mapInArrow(encode, schema)
@@ -137,21 +149,16 @@ def frequency_ranks(tokens: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            held: list[np.ndarray] = []
-            size = 0
-            blobs, sizes = batch.column("ids").to_pylist(), batch.column("n_tokens").to_pylist()
-            for i, (blob, n) in enumerate(zip(blobs, sizes)):
-                held.append(_wide(blob, n))
-                size += n
-                if size < FILE_TOKENS and i < len(blobs) - 1:
-                    continue
-                c = np.bincount(np.concatenate(held), minlength=len(total))
-                c[: len(total)] += total
-                total, held, size = c, [], 0
+            for blob, n in zip(batch.column("ids").to_pylist(), batch.column("ids_crc32").to_pylist()):
+                own = np.frombuffer(pa.Codec("zstd").decompress(blob, 8 * n, asbytes=True), "<i8").copy()
+                own, total = (own, total) if len(own) >= len(total) else (total, own)
+                own[: len(total)] += total
+                total = own
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["id", "n"])
 
-    rows = tokens.select("ids", "n_tokens").mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    counted = tokens.where(F.col("n_tokens") == COUNTS).select("ids", "ids_crc32")
+    rows = counted.mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()
     return np.array([r.id for r in sorted(rows, key=lambda r: (-r.n, r.id))], dtype=np.uint32)
 
 
@@ -221,7 +228,7 @@ def write_files(docs: DataFrame, folder: str, path: str, end_id: int, id: str =
             yield closed()
 
     schema = "file string, first_id bigint, last_id bigint, n_docs bigint, n_tokens bigint"
-    placed = tokens.select("*", "_metadata.file_name", "_metadata.row_index")
+    placed = tokens.where(F.col("n_tokens") != COUNTS).select("*", "_metadata.file_name", "_metadata.row_index")
     manifest = stored(placed.mapInArrow(write, schema), "token-manifest")
     before = Window.orderBy("first_id", "last_id", "file").rowsBetween(Window.unboundedPreceding, -1)
     return manifest.withColumn("start", F.coalesce(F.sum("n_tokens").over(before), F.lit(0).cast("bigint")))
