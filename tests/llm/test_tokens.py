@@ -44,6 +44,38 @@ def test_token_counts(docs, rows, empty, path):
     assert token_counts.token_counts(empty, path, 40).collect() == []
 
 
+def test_every_text_is_looked_up_by_pre_token(spark, monkeypatch):
+    """Quotes, dashes, other scripts and added tokens too: what is frequent is in the table, and nothing is encoded whole."""
+    texts = ["“quoted” — don’t", "日本語 のテキスト", "a<|endoftext|> b “c”", "é ﬁ İ \x85 \x00 😀", "", "plain text, twice plain text"] * 3 + [None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    table = token_counts.frequent_lengths(df, BYTE_BPE)
+    lengths = token_counts.Lengths(BYTE_BPE, table)
+    want = [len(library_ids(BYTE_BPE, t)) for t in texts]
+    pieces = {p for t in texts for p in lengths.pre.split(t or "")[0]}
+    assert "“" in pieces and " のテキスト" in pieces and (table.find(sorted(pieces)) > 0).all()
+    monkeypatch.setattr(lengths, "encoded", lambda piece: pytest.fail(piece))
+    assert lengths.of([t or "" for t in texts]) == want
+    bare = token_counts.Lengths(BYTE_BPE, token_counts.Table([], []))
+    assert bare.of([t or "" for t in texts]) == want and set(bare.missed) == pieces
+
+
+def test_table_finds_what_it_holds_and_nothing_else():
+    names = [f"w{i}" for i in range(5_000)]
+    table = token_counts.Table(names, [i % 9 + 1 for i in range(5_000)])
+    assert table.find(names).tolist() == [i % 9 + 1 for i in range(5_000)]
+    assert not table.find([f"x{i}" for i in range(5_000)]).any() and table.find([]).tolist() == []
+
+
+def test_frequent_pre_tokens_outlive_thinning(spark):
+    """One in `held` of a task's pre-tokens is enough to be reported, whatever else the task has met."""
+    counts = Counter({f"r{i}": 1 for i in range(100)} | {"often": 50})
+    assert token_counts.thinned(counts, 10) == 1 and dict(counts) == {"often": 49}
+    rare = " ".join(f"q{i}z{i * 7}" for i in range(20_000))
+    df = spark.createDataFrame([(0, rare + " often" * 1_000)], "doc_id bigint, text string").coalesce(1)
+    table = token_counts.frequent_lengths(df, BYTE_BPE, held=100)
+    assert table.find([" often"])[0] == 1 and (table.length > 0).sum() <= 100
+
+
 def test_sentencepiece_digests_and_pieces(docs, rows, empty):
     library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
 
