@@ -21,14 +21,23 @@ from airgauge.llm.common import release
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BUCKET_KEYS = 1_000_000  # keys of one bucket, about: what one task holds
+PART_CHARS = 128_000_000  # characters of one partition of texts, about
 LEAST_BITS = TOP_BITS = 6
 WIDTH = 7  # bytes of a key that are sent
 KEY_BITS = TOP_BITS + 8 * WIDTH
 
 
-def bucket_bits(docs: DataFrame, text: str, chars_per_key: float) -> int:
+def chars_of(docs: DataFrame, text: str) -> int:
+    return docs.agg(F.sum(F.length(text))).first()[0] or 0
+
+
+def text_parts(docs: DataFrame, chars: int) -> int:
+    """Partitions for texts that are shuffled whole: the session's number, more where they would outgrow a task."""
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-chars // PART_CHARS))
+
+
+def bucket_bits(chars: int, chars_per_key: float) -> int:
     """Bits of the bucket number, so that buckets keep their size whatever the size of the table."""
-    chars = docs.agg(F.sum(F.length(text))).first()[0] or 0
     return max(LEAST_BITS, int(np.ceil(np.log2(max(1.0, chars / chars_per_key / BUCKET_KEYS)))))
 
 

@@ -115,7 +115,7 @@ def _counted(table: pa.Table) -> pa.Table:
 
 def _sets(docs: DataFrame, text: str) -> DataFrame:
     """uid, n, digest, held (n-grams that others hold too) and, where they suffice for a link, those n-grams in global order."""
-    bits = buckets.bucket_bits(docs, text, CHARS_PER_KEY)
+    bits = buckets.bucket_bits(buckets.chars_of(docs, text), CHARS_PER_KEY)
     counted = _sent_sets(docs, bits, text).groupBy("bucket").applyInArrow(_counted, "uid bigint, doc_id bigint, n bigint, digest binary, keys binary, often binary")
     whole = counted.groupBy("uid").agg(
         F.max("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("digest").alias("digest"),

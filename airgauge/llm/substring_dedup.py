@@ -6,6 +6,10 @@ smallest hash is looked at: two equal long windows pick the same one. Those repe
 extended to 18, to the right or to the left, as one of the two stays inside the long window. Around the
 survivors all long windows are compared. Each level's keys meet in hash buckets; what is repeated goes back
 to its documents by id.
+
+A key that several documents of one block hold is settled there: one of them goes to the bucket, marked as
+repeated, the others only back to their documents. So a passage that a third of all documents share comes to
+its bucket once a block.
 """
 
 from __future__ import annotations
@@ -41,8 +45,14 @@ def levels(n: int) -> list[int]:
     return out
 
 
-def hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+def extended(n: int) -> bool:
+    """Whether a window of the first level, wherever it is in the long one, can be extended to the second inside it."""
+    ladder = levels(n)
+    return len(ladder) > 1 and 2 * ladder[1] - ladder[0] - 1 <= n
+
+
+def hashes(words: list[bytes], seed: int = 0) -> np.ndarray:
+    return np.fromiter((xxhash.xxh3_64_intdigest(w, seed) for w in words) if seed else map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
 def sliding_min(x: np.ndarray, n: int) -> np.ndarray:
@@ -80,7 +90,7 @@ def _seeds(words: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
     ladder = levels(n)
     short = buckets.window_keys(words, ladder[0])
     at = picked(short, n - ladder[0] + 1)
-    if len(ladder) == 1:
+    if not extended(n):
         return at, short[at], np.zeros((len(at), 2), np.uint32)
     longer = (buckets.window_keys(words, ladder[1]) >> np.uint64(8)).astype(np.uint32) | np.uint32(1)
     ext = np.zeros((len(at), 2), np.uint32)
@@ -92,20 +102,54 @@ def _seeds(words: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return at, short[at], ext
 
 
-def _distinct(keys: np.ndarray, ext: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A row for each distinct key (with its extensions) of a document, and whether it is there more than once."""
-    order = np.argsort(keys, kind="stable") if ext is None else np.lexsort((ext[:, 1], ext[:, 0], keys))
-    k = keys[order]
-    new = np.ones(len(k), bool)
-    new[1:] = k[1:] != k[:-1]
-    if ext is not None:
-        e = ext[order]
-        new[1:] |= (e[1:] != e[:-1]).any(axis=1)
-    first = np.flatnonzero(new)
-    return order[first], k[first], np.diff(first, append=len(k)) > 1
+def _runs(keys: np.ndarray, *more: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that sorts the keys (then `more`), and where in it each run of equal ones begins."""
+    order = np.lexsort((*more, keys))
+    new = np.ones(len(order), bool)
+    new[1:] = np.logical_or.reduce([x[order[1:]] != x[order[:-1]] for x in (keys, *more)])
+    return order, np.flatnonzero(new)
+
+
+def _distinct(keys: np.ndarray, *more: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place for each distinct key (with `more`) of a document, and whether it is there more than once."""
+    order, first = _runs(keys, *more)
+    return order[first], np.diff(first, append=len(order)) > 1
 
 
 SEED = np.dtype([("right", "<u4"), ("left", "<u4"), ("again", "u1")])
+# A long window has 64 bits of a second hash besides its key: what is removed is decided by both.
+WINDOW = np.dtype([("more", "<u8"), ("again", "u1")])
+
+
+def _sent(uids: np.ndarray, owner: list[np.ndarray], keys: list[np.ndarray], extra: list[np.ndarray], bits: int) -> pa.RecordBatch:
+    """Rows of one block for the buckets. Of equal keys (with equal extras) one goes there; the others are settled as repeated."""
+    own, key, more = np.concatenate(owner), np.concatenate(keys), np.concatenate(extra)
+    order, first = _runs(key, *(more[f] for f in more.dtype.names if f != "again"))
+    several = np.diff(first, append=len(order)) > 1
+    more["again"][order[first[several]]] = 1
+    goes = np.zeros(len(key), bool)
+    goes[order[first]] = True
+    rows = list(buckets.sent(uids, own[goes], key[goes], bits, more[goes]))
+    rest = np.flatnonzero(~goes)
+    if len(rest):
+        cuts = np.flatnonzero(np.diff(own[rest], prepend=-1))
+        rows.append({
+            "bucket": int(uids[own[rest[0]]]) % (1 << bits), "top": None, "extra": None,
+            "docs": buckets._packed(np.diff(uids[own[rest[cuts]]], prepend=0)),
+            "sizes": buckets._packed(np.diff(cuts, append=len(rest)).astype("<u4")),
+            "keys": key[rest].tobytes(),
+        })
+    return pa.RecordBatch.from_pylist(rows, schema=buckets.SENT_ARROW)
+
+
+def _settled(table: pa.Table) -> list[pa.Table]:
+    """What blocks have settled, on its way to its documents."""
+    out = []
+    for row in table.to_pylist():
+        cuts = np.concatenate([[0], np.cumsum(buckets._unpacked(row["sizes"], "<u4"))])
+        uids = np.cumsum(buckets._unpacked(row["docs"], "<i8"))
+        out.append(pa.table({"uid": pa.array(uids), "keys": buckets.blobs(cuts, np.frombuffer(row["keys"], "<u8"))}))
+    return out
 
 
 def _send_seeds(bits: int, n: int):
@@ -119,14 +163,13 @@ def _send_seeds(bits: int, n: int):
                     if len(words) < n:
                         continue
                     _, k, ext = _seeds(hashes(words), n)
-                    place, k, again = _distinct(k, ext)
-                    e = np.zeros(len(k), SEED)
+                    place, again = _distinct(k, ext[:, 0], ext[:, 1])
+                    e = np.zeros(len(place), SEED)
                     e["right"], e["left"], e["again"] = ext[place, 0], ext[place, 1], again
-                    owner.append(np.full(len(k), i))
-                    keys.append(k)
+                    owner.append(np.full(len(place), i))
+                    keys.append(k[place])
                     extra.append(e)
-                rows = list(buckets.sent(uids, np.concatenate(owner), np.concatenate(keys), bits, np.concatenate(extra)))
-                yield pa.RecordBatch.from_pylist(rows, schema=buckets.SENT_ARROW)
+                yield _sent(uids, owner, keys, extra, bits)
 
     return send
 
@@ -139,34 +182,32 @@ def _answer(docs: np.ndarray, keys: np.ndarray, hit: np.ndarray) -> pa.Table:
     return pa.table({"uid": pa.array(own[cuts[:-1]], pa.int64()), "keys": buckets.blobs(cuts, keys[at])})
 
 
-def _repeated(keys: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """Which keys are there twice or more, each row counting `weight`."""
-    order, _ = buckets.run_lengths(keys)
-    k = keys[order]
-    first = np.flatnonzero(np.diff(k, prepend=k[:1] ^ np.uint64(1))) if len(k) else order
-    sums = np.add.reduceat(weight[order], first) if len(k) else np.zeros(0, np.int64)
+def _repeated(weight: np.ndarray, keys: np.ndarray, *more: np.ndarray) -> np.ndarray:
+    """Which keys (with `more`) are there twice or more, each row counting `weight`."""
+    order, first = _runs(keys, *more)
+    sums = np.add.reduceat(weight[order], first) if len(order) else weight
     hit = np.empty(len(keys), bool)
-    hit[order] = np.repeat(sums > 1, np.diff(first, append=len(k)))
+    hit[order] = np.repeat(sums > 1, np.diff(first, append=len(order)))
     return hit
 
 
-def _doubled(extended: bool):
+def _doubled(longer: bool):
     def run(table: pa.Table) -> pa.Table:
         """In one bucket: seeds repeated at the first level and still at twice its length."""
-        docs, keys, extras = buckets.received(table)
+        docs, keys, extras = buckets.received(table.filter(pa.compute.is_valid(table["top"])))
         seeds = buckets.extras_of(extras, SEED)
         weight = 1 + seeds["again"].astype(np.int64)
-        hit = _repeated(keys, weight)
-        if extended:
+        hit = _repeated(weight, keys)
+        if longer:
             alive = np.flatnonzero(hit)
             ok = np.zeros(len(alive), bool)
             for side, salt in (("right", 1), ("left", 2)):
                 ext = seeds[side][alive]
                 there = np.flatnonzero(ext)
                 both = buckets.mixed(keys[alive[there]] + np.uint64(salt)) ^ buckets.mixed(ext[there].astype(np.uint64))
-                ok[there] |= _repeated(both, weight[alive[there]])
+                ok[there] |= _repeated(weight[alive[there]], both)
             hit[alive] = ok
-        return _answer(docs, keys, hit)
+        return pa.concat_tables([_answer(docs, keys, hit), *_settled(table.filter(pa.compute.is_null(table["top"])))])
 
     return run
 
@@ -188,33 +229,40 @@ def _send_windows(bits: int, n: int):
         for batch in batches:
             for first, texts in texts_of(batch, "text"):
                 uids = batch.column("uid").slice(first, len(texts)).to_numpy()
-                owner, keys, extra = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.uint8)]
+                owner, keys, extra = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, WINDOW)]
                 for i, (t, cells) in enumerate(zip(texts, batch.column("answers").slice(first, len(texts)))):
-                    words = hashes(t.encode().split())
+                    raw = t.encode().split()
+                    words = hashes(raw)
                     at, k, _ = _seeds(words, n)
                     at = at[_among(k, _keys_of(cells))]
                     # all long windows that hold a surviving seed
                     starts = len(words) - n + 1
                     open_ = np.flatnonzero(covered(np.maximum(at - (n - short), 0), n - short + 1, len(words))[:starts])
-                    _, k, again = _distinct(buckets.window_keys(words, n)[open_], None)
-                    owner.append(np.full(len(k), i))
-                    keys.append(k)
-                    extra.append(again.astype(np.uint8))
-                rows = list(buckets.sent(uids, np.concatenate(owner), np.concatenate(keys), bits, np.concatenate(extra)))
-                yield pa.RecordBatch.from_pylist(rows, schema=buckets.SENT_ARROW)
+                    if not len(open_):
+                        continue
+                    k, more = buckets.window_keys(words, n)[open_], buckets.window_keys(hashes(raw, 1), n)[open_]
+                    place, again = _distinct(k, more)
+                    e = np.zeros(len(place), WINDOW)
+                    e["more"], e["again"] = more[place], again
+                    owner.append(np.full(len(place), i))
+                    keys.append(k[place])
+                    extra.append(e)
+                yield _sent(uids, owner, keys, extra, bits)
 
     return send
 
 
 def _long_repeats(table: pa.Table) -> pa.Table:
-    docs, keys, extras = buckets.received(table)
-    return _answer(docs, keys, _repeated(keys, 1 + buckets.extras_of(extras, np.uint8).astype(np.int64)))
+    docs, keys, extras = buckets.received(table.filter(pa.compute.is_valid(table["top"])))
+    windows = buckets.extras_of(extras, WINDOW)
+    hit = _repeated(1 + windows["again"].astype(np.int64), keys, windows["more"])
+    return pa.concat_tables([_answer(docs, keys, hit), *_settled(table.filter(pa.compute.is_null(table["top"])))])
 
 
 def _removals(docs: DataFrame, n: int) -> DataFrame:
     """uid, doc_id, text, answers: the keys of each document's repeated windows of n words (NULL: none)."""
-    bits = buckets.bucket_bits(docs, "text", CHARS_PER_KEY)
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chars = buckets.chars_of(docs, "text")
+    bits, parts = buckets.bucket_bits(chars, CHARS_PER_KEY), buckets.text_parts(docs, chars)
     # one shuffle of the texts serves all three uses below: Spark reuses equal exchanges of a plan
     rows = docs.repartition(parts, "uid")
     answer = "uid bigint, keys binary"
@@ -223,7 +271,7 @@ def _removals(docs: DataFrame, n: int) -> DataFrame:
         found = sent.groupBy("bucket").applyInArrow(judge, answer)
         return found.groupBy("uid").agg(F.collect_list("keys").alias("answers"))
 
-    seeds = answered(rows.mapInArrow(_send_seeds(bits, n), buckets.SENT), _doubled(len(levels(n)) > 1))
+    seeds = answered(rows.mapInArrow(_send_seeds(bits, n), buckets.SENT), _doubled(extended(n)))
     windows = answered(rows.join(seeds, "uid").mapInArrow(_send_windows(bits, n), buckets.SENT), _long_repeats)
     return rows.join(windows, "uid", "left")
 

@@ -436,10 +436,9 @@ def dedup_digests(docs: DataFrame, n: int = LENGTH, id: str = "doc_id", text: st
     on the input. NULL texts count as empty. Rows with equal ids do not remove from one another; rows
     without an id come after all others. An empty table gives no rows.
     """
-    spark = docs.sparkSession
     k = min(SEED, n)
-    bits = buckets.bucket_bits(docs, text, CHARS_PER_KEY)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    chars = buckets.chars_of(docs, text)
+    bits, parts = buckets.bucket_bits(chars, CHARS_PER_KEY), buckets.text_parts(docs, chars)
     order = F.coalesce(F.col(id).cast("bigint"), F.lit(LAST))
     # one shuffle of the texts serves all three uses below: Spark reuses equal exchanges of a plan
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id).cast("bigint").alias("doc_id"), order.alias("order"), F.col(text).alias("text"))

@@ -97,7 +97,7 @@ def test_jaccard_join_in_many_rounds(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in jaccard_join.near_duplicates(df).collect()} == dict(enumerate(want))
 
 
-@pytest.mark.parametrize("n", [35, 5, 1])
+@pytest.mark.parametrize("n", [35, 33, 17, 5, 1])
 def test_substring_dedup(docs, rows, empty, n):
     words = [WORD.findall(t or "") for _, t, *_ in rows]
     times = Counter(tuple(w[i : i + n]) for w in words for i in range(len(w) - n + 1))
@@ -118,6 +118,25 @@ def test_substring_dedup(docs, rows, empty, n):
     assert got == Counter((i, None if t is None else tuple(c), s) for (i, t, _, s, _), c in zip(rows, cuts))
 
 
+def test_a_passage_of_many_documents_comes_to_its_bucket_once_a_block():
+    """What documents of one block share is settled there, so a bucket holds it once a block and not once a document."""
+    passage = " ".join(f"p{i}" for i in range(80))
+    texts = [f"{' '.join(f'a{k}x{i}' for i in range(k % 5))} {passage} b{k}" for k in range(400)]
+    batch = pa.RecordBatch.from_pydict({"uid": list(range(1000, 1400)), "text": texts})
+    rows = [r for b in substring_dedup._send_seeds(6, 35)(iter([batch])) for r in b.to_pylist()]
+    keys = sum(len(r["keys"]) // 7 for r in rows if r["top"] is not None)
+    assert keys < 400 * 4 and sum(r["top"] is None for r in rows) == 1
+    answers = defaultdict(set)
+    for r in rows:
+        for uid, found in zip(*substring_dedup._doubled(True)(pa.Table.from_pylist([r], schema=b_schema())).to_pydict().values()):
+            answers[uid].update(np.frombuffer(found, "<u8").tolist())
+    assert set(answers) == set(range(1000, 1400)) and set.intersection(*answers.values())
+
+
+def b_schema():
+    return substring_dedup.buckets.SENT_ARROW
+
+
 def test_cut_keeps_other_white_space():
     assert substring_dedup.cut("\ta b\n c  d ", np.array([False, True, False, True])) == "\ta c  "
 
