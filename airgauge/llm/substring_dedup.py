@@ -91,7 +91,7 @@ def _seeds(words: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
     short = buckets.window_keys(words, ladder[0])
     at = picked(short, n - ladder[0] + 1)
     if not extended(n):
-        return at, short[at], np.zeros((len(at), 2), np.uint32)
+        return at, buckets.spread(short[at]), np.zeros((len(at), 2), np.uint32)
     longer = (buckets.window_keys(words, ladder[1]) >> np.uint64(8)).astype(np.uint32) | np.uint32(1)
     ext = np.zeros((len(at), 2), np.uint32)
     right = at < len(longer)
@@ -99,7 +99,7 @@ def _seeds(words: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
     before = at - (ladder[1] - ladder[0])
     left = before >= 0
     ext[left, 1] = longer[before[left]]
-    return at, short[at], ext
+    return at, buckets.spread(short[at]), ext
 
 
 def _runs(keys: np.ndarray, *more: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
