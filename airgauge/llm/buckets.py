@@ -66,7 +66,7 @@ def window_keys(x: np.ndarray, n: int) -> np.ndarray:
         power = mixed(power[:-half] * np.uint64(0x9E3779B97F4A7C15) + power[half:]) if len(power) > half else power[:0]
 
 
-SPREAD = 0x9E3779B97F4A7C15  # odd, so that a product with it can be undone
+SPREAD = 0x9E3779B97F4A7C15  # odd, so that no two keys have one product
 
 
 def spread(keys: np.ndarray, width: int = WIDTH) -> np.ndarray:
@@ -74,11 +74,6 @@ def spread(keys: np.ndarray, width: int = WIDTH) -> np.ndarray:
     return keys * np.uint64(SPREAD) & np.uint64((1 << TOP_BITS + 8 * width) - 1)
 
 
-def unspread(keys: np.ndarray, width: int = WIDTH) -> np.ndarray:
-    size = 1 << TOP_BITS + 8 * width
-    return keys * np.uint64(pow(SPREAD, -1, size)) & np.uint64(size - 1)
-
-
 def _packed(x: np.ndarray) -> bytes:
     raw = np.ascontiguousarray(x).tobytes()
     return np.uint32(len(raw)).tobytes() + pa.Codec("zstd", 1).compress(raw, asbytes=True)

@@ -134,15 +134,13 @@ def test_a_passage_of_many_documents_comes_to_its_bucket_once_a_block():
 
 
 def test_picked_keys_spread_over_the_buckets():
-    """Picked keys are the least of their runs; spread, they fill all buckets alike, and can be told again."""
+    """Picked keys are the least of their runs; spread, they fill all buckets alike."""
     words = substring_dedup.hashes([str(i).encode() for i in range(60_000)])
     at, keys, _ = substring_dedup._seeds(words, 35)
     filled = np.bincount((keys >> np.uint64(substring_dedup.buckets.KEY_BITS - 4)).astype(np.int64), minlength=16)
     assert filled.min() > 0.8 * len(at) / 16 and filled.max() < 1.2 * len(at) / 16
-    for width in (5, 7):
-        some = keys >> np.uint64(8 * (7 - width))
-        there = substring_dedup.buckets.spread(some, width)
-        assert (substring_dedup.buckets.unspread(there, width) == some).all() and there.max() < 1 << 6 + 8 * width
+    some = np.arange(0, 1 << 20, 7, dtype=np.uint64)
+    assert len(np.unique(substring_dedup.buckets.spread(some, 5))) == len(some)
 
 
 def b_schema():
