@@ -89,7 +89,25 @@ def missing_cells(fact: DataFrame, points: DataFrame, first: date, last: date, k
     grid = week_grid(points, first, last).join(fact.select(*keys), keys, "left_anti")
     if known is not None:
         grid = grid.join(known.select(*keys), keys, "left_anti")
+    return _as_facts(grid, fact)
+
+
+def withdrawn_cells(fact: DataFrame, points: DataFrame, blank: DataFrame, known: DataFrame) -> DataFrame:
+    """The `no_medido` rows of stored cells that a load names but leaves blank: a corrected sheet takes a reading back.
+
+    `blank` and `known` hold (point, year, week): cells that the load's sheets have without a value, and stored cells.
+    A cell that `fact` has a reading for all the same is none of them. Of cells that are `no_medido` already the row
+    has the content they have, so it makes no version.
+    """
+    keys = ["punto_nro", "anio", "semana_nro"]
+    cells = blank.select(*keys).distinct().join(fact.select(*keys), keys, "left_anti").join(known.select(*keys), keys, "left_semi")
+    dated = cells.withColumn("fecha_inicio_semana", day_of_week(F.col("anio"), F.col("semana_nro")))
+    return _as_facts(points.join(dated.select(*keys, *_week_columns()[2:]), "punto_nro"), fact)
+
+
+def _as_facts(cells: DataFrame, fact: DataFrame) -> DataFrame:
+    """Cells without a reading in the columns of `fact`."""
     filled = {"estado": measured_state(F.lit(None)), "motivo_no_medicion": unmeasured_reason(F.lit(None))}
     kinds = {f.name: f.dataType for f in fact.schema.fields}
-    own = {c: F.col(c) if c in grid.columns else filled.get(c, F.lit(None)) for c in fact.columns}
-    return grid.select(*[x.cast(kinds[c]).alias(c) for c, x in own.items()])
+    own = {c: F.col(c) if c in cells.columns else filled.get(c, F.lit(None)) for c in fact.columns}
+    return cells.select(*[x.cast(kinds[c]).alias(c) for c, x in own.items()])

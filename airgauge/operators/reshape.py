@@ -138,6 +138,18 @@ def header_years(header: DataFrame, ids: Sequence[str] = (), first_year: Column
     return marked.withColumn("anio", year).drop("_nuevo")
 
 
+def _columns_header(long: DataFrame, ids: Sequence[str], year: Column | None, first_year: Column | int) -> DataFrame:
+    """One row per (ids, column) that names a week: its week, year, date, people and hours."""
+    is_week = _label().isin(*WEEK_LABELS)
+    header = (
+        long.where(is_header_row())
+        .groupBy(*ids, POSITION)
+        .agg(F.max(F.when(is_week, to_int(F.col(CELL)))).alias("semana_nro"), *_metadata_aggregates())
+        .where(F.col("semana_nro").isNotNull())
+    )
+    return header_years(header, ids, first_year) if year is None else header.withColumn("anio", year)
+
+
 def melt_sheet(
     sheet: DataFrame,
     ids: Sequence[str] = ("planta",),
@@ -153,14 +165,7 @@ def melt_sheet(
     The year of a column is `year` if given; else it follows from the order of the weeks.
     """
     long = unpivot_wide(sheet, [*ids, LABEL], week_columns(sheet))
-    is_week = _label().isin(*WEEK_LABELS)
-    header = (
-        long.where(is_header_row())
-        .groupBy(*ids, POSITION)
-        .agg(F.max(F.when(is_week, to_int(F.col(CELL)))).alias("semana_nro"), *_metadata_aggregates())
-        .where(F.col("semana_nro").isNotNull())
-    )
-    header = header_years(header, ids, first_year) if year is None else header.withColumn("anio", year)
+    header = _columns_header(long, ids, year, first_year)
     return value_rows(long, ids, low, high).join(header, [*ids, POSITION]).select(
         *ids,
         "punto_evaluacion",
@@ -176,6 +181,28 @@ def melt_sheet(
     )
 
 
+def unfilled_cells(
+    sheet: DataFrame,
+    ids: Sequence[str] = ("planta",),
+    year: Column | None = None,
+    low: float = 0.0,
+    high: float = 100.0,
+    first_year: Column | int = 2025,
+) -> DataFrame:
+    """Cells that sheets name, by a point's row and a column's week, without a value that counts: blank, no number, out of range.
+
+    What `melt_sheet` leaves out of the same rows and columns: (ids, punto_evaluacion, anio, semana_nro).
+    """
+    weeks = week_columns(sheet)
+    whole = sheet.select(*ids, LABEL, *[F.coalesce(F.col(w).cast("string"), F.lit("")).alias(w) for w in weeks])
+    long = unpivot_wide(whole, [*ids, LABEL], weeks)
+    value = to_double(F.col(CELL))
+    counts = F.coalesce((value >= low) & (value < high), F.lit(False))
+    cells = long.where(~is_header_row() & ~counts).select(*ids, POSITION, _label().alias("punto_evaluacion"))
+    header = _columns_header(long, ids, year, first_year).select(*ids, POSITION, "anio", "semana_nro")
+    return cells.join(header, [*ids, POSITION]).select(*ids, "punto_evaluacion", "anio", "semana_nro")
+
+
 def join_normalized(
     left: DataFrame,
     right: DataFrame,

@@ -19,7 +19,7 @@ from airgauge.operators import reshape as rs
 from airgauge.operators.calendar import day_of_week, iso_calendar, with_weeks_of
 from airgauge.operators.orders import OrderSheet, normalize_orders, resolve_machine
 from airgauge.plans.frames import ROLES, Lazy
-from airgauge.plans.vault import kept, load_history, with_missing_cells
+from airgauge.plans.vault import kept, load_history, with_missing_cells, with_withdrawn_cells
 from airgauge.sources.landing import SourceSpec, load_reference, path_exists, scan_all, write_overwrite
 
 # Sheet name, its file, and the plant it measures.
@@ -96,6 +96,13 @@ def measurements_from_sheets(sheets: DataFrame, catalog: DataFrame, year: Column
     )
 
 
+def blank_cells(sheets: DataFrame, catalog: DataFrame, year: Column | None = None) -> DataFrame:
+    """(point, year, week) of the cells that sheets have for points of the catalogue, but without a reading."""
+    points = catalog.select("punto_nro", F.col("punto_evaluacion").alias("_texto"))
+    cells = rs.join_normalized(rs.unfilled_cells(sheets, year=year), points, "punto_evaluacion", "_texto", "inner")
+    return cells.select("punto_nro", "anio", "semana_nro").distinct()
+
+
 def catalogue_points(catalog: DataFrame) -> DataFrame:
     """The catalogue's points with the columns that measurements carry of them."""
     return catalog.select(
@@ -175,7 +182,8 @@ def ingest(
     """Everything under `landing` into the tables under `root`; which declared sources were there.
 
     Running it again on the same files adds nothing but a load of equal state. An order may have several
-    operations, all of which are kept. With `dense`, points of the catalogue that were not measured in one of
+    operations, all of which are kept. A stored reading whose cell a later state of its sheet leaves blank is taken
+    back: its cell becomes `no_medido`. With `dense`, points of the catalogue that were not measured in one of
     the sheets' weeks get a `no_medido` cell there, until a reading for it comes in.
     """
     sheets, found = scan_all(spark, measurement_sources(landing))
@@ -188,9 +196,10 @@ def ingest(
     # the sheets melt once, however many tables are loaded from their rows
     measurements = kept(measurements_from_sheets(current, catalog), "celdas")
     write_rejects(measurements, root)
+    known, points = measurements.where(F.col("punto_nro").isNotNull()), catalogue_points(catalog)
+    measurements = with_withdrawn_cells(known, points, kept(blank_cells(current, catalog), "vacias"), root)
     if dense:
-        known = measurements.where(F.col("punto_nro").isNotNull())
-        measurements = with_missing_cells(known, catalogue_points(catalog), root)
+        measurements = with_missing_cells(measurements, points, root)
     orders = kept(orders_from_sheets(current_orders, machines, sheet), "ordenes")
     load_history(spark, root, sources_of(spark, references, kept(measurements, "mediciones"), orders), now)
     return {**found, **found_orders}

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from airgauge.operators import bucketed as b
 from airgauge.operators import history as h
 from airgauge.operators import multi_active as ma
-from airgauge.operators.calendar import day_of_week, iso_calendar, missing_cells
+from airgauge.operators.calendar import day_of_week, iso_calendar, missing_cells, withdrawn_cells
 from airgauge.plans.catalog import HUB, HUBS, LINK, LINKS, ROW_SETS, SATELLITE, SATELLITES
 from airgauge.plans.frames import Frames
 from airgauge.session import shared_dir
@@ -105,14 +105,26 @@ def known_cells(spark: SparkSession, root: str, first: date, last: date) -> Data
     return None if stored is None else stored.select(*spec.key)
 
 
+def _week_span(cells: DataFrame) -> tuple[date | None, date | None]:
+    day = day_of_week(F.col("anio"), F.col("semana_nro"))
+    return tuple(cells.agg(F.min(day), F.max(day)).first())
+
+
+def with_withdrawn_cells(measurements: DataFrame, points: DataFrame, blank: DataFrame, root: str) -> DataFrame:
+    """Measurements with a `no_medido` row for every stored cell that the batch's sheets leave blank (`blank`)."""
+    first, last = _week_span(blank)
+    known = None if first is None else known_cells(measurements.sparkSession, root, first, last)
+    if known is None:
+        return measurements
+    return measurements.unionByName(withdrawn_cells(measurements, points, blank, known))
+
+
 def with_missing_cells(measurements: DataFrame, points: DataFrame, root: str) -> DataFrame:
     """Measurements with a `no_medido` row for every cell of their weeks that is neither among them nor stored."""
-    spark = measurements.sparkSession
-    day = day_of_week(F.col("anio"), F.col("semana_nro"))
-    first, last = measurements.agg(F.min(day), F.max(day)).first()
+    first, last = _week_span(measurements)
     if first is None:
         return measurements
-    known = known_cells(spark, root, first, last)
+    known = known_cells(measurements.sparkSession, root, first, last)
     return measurements.unionByName(missing_cells(measurements, points, first, last, known))
 
 

@@ -9,6 +9,7 @@ from airgauge import registry
 from airgauge import standin as st
 from airgauge.functions import columns as c
 from airgauge.operators import governed_index as gi
+from airgauge.operators import history as h
 from airgauge.plans import questions as q
 from airgauge.plans import vault
 from airgauge.plans.marts import build_marts, stored_marts
@@ -96,6 +97,21 @@ def not_measured_from_store(spark: SparkSession, d: str) -> DataFrame:
     return q.QUESTIONS["P11"].run(stored_marts(spark, f"{root}/marts"), ordered=False)
 
 
+def readings_withdrawn(spark: SparkSession, d: str) -> DataFrame:
+    """Cells after three loads: all readings, sheets that leave a seventh of the cells blank, and half of those filled again."""
+    root = shared_dir(spark, "retiradas")
+    t = st.Tables(spark, d)
+    rows = st.history_sources(spark, d)["mediciones"]
+    blank, again = (F.col("punto_nro") + F.col("semana_nro")) % 7 == 0, F.col("punto_nro") % 2 == 0
+    states = ((F.lit(False), FIRST_LOAD), (blank, SECOND_LOAD), (blank & ~again, "2024-01-15 00:00:00"))
+    for empty, when in states:
+        brought = vault.with_withdrawn_cells(rows.where(~empty), _point_rows(t), rows.where(empty).select(*st.POINT_WEEK), root)
+        vault.load_history(spark, root, {"mediciones": brought}, F.lit(when).cast("timestamp"), ("relacion_medicion", "detalle_medicion"))
+    cells = spark.read.parquet(f"{root}/relacion_medicion").select(h.KEY, *st.POINT_WEEK)
+    now = h.current_version(spark.read.parquet(f"{root}/detalle_medicion"))
+    return cells.join(now, h.KEY).select(*st.POINT_WEEK, "concentracion_mg_m3", "estado", "motivo_no_medicion", h.SEQ)
+
+
 def chunks_published(spark: SparkSession, d: str) -> DataFrame:
     """The chunks of all rules from stored marts, published twice, encrypted, and read back."""
     root, key = shared_dir(spark, "publicados"), F.lit("0123456789abcdef0123456789abcdef")
@@ -110,4 +126,4 @@ def chunks_published(spark: SparkSession, d: str) -> DataFrame:
     return read_chunks(spark, f"{root}/chunks", key).select("regla_id", "chunk_id", "chunk_clave", "corrida_id", "texto")
 
 
-QUERIES = {fn.__name__: fn for fn in (nearest_governed_chunks, recall_gate, not_measured_from_store, chunks_published)}
+QUERIES = {fn.__name__: fn for fn in (nearest_governed_chunks, recall_gate, not_measured_from_store, readings_withdrawn, chunks_published)}

@@ -127,6 +127,30 @@ def test_not_measured_cells_and_several_operations(spark, tmp_path):
     assert stored_marts(spark, f"{root}/marts")["detalle_medicion"].count() == 4
 
 
+def test_a_blanked_reading_is_taken_back(spark, tmp_path):
+    """A corrected sheet leaves a cell blank: its reading ends, once, and a later reading ends that."""
+    refs, root = tmp_path / "refs", str(tmp_path / "root")
+    for name, rows in REFERENCES.items():
+        write(refs / f"{name}.csv", [x.split()[0] for x in REFERENCE_SCHEMAS[name].split(", ")], rows)
+
+    def load(day, dense, **kw):
+        landing(tmp_path / f"landing{day}", **kw)
+        ing.ingest(spark, str(tmp_path / f"landing{day}"), str(refs), root, SHEET, F.lit(f"2026-05-{day}").cast("timestamp"), dense=dense)
+        f = frames_from_history(spark, root)
+        cells = {(r.punto_nro, r.semana_nro): (r.estado, r.concentracion_mg_m3) for r in f["medicion"].collect()}
+        return cells, spark.read.parquet(f"{root}/detalle_medicion").count()
+
+    full = {(1, 18): ("medido", 1.0), (1, 19): ("medido", 3.5), (2, 18): ("medido", 0.1), (2, 19): ("medido", 0.7)}
+    gone = full | {(2, 19): ("no_medido", None)}
+    assert load(11, True, two="0.7") == (full, 4)
+    assert load(18, True, two="") == (gone, 5)
+    assert load(19, False, two="") == (gone, 5)  # the same sheet again, dense or not
+    assert load(25, True, two="s/m") == (gone, 5)  # no number is no reading
+    assert load(26, False, two="0.7") == (full, 6)
+    # nothing of week 19 is left but one point's reading
+    assert load(27, False, two="", last="") == (gone | {(1, 19): ("no_medido", None)}, 8)
+
+
 def test_labels_outside_the_catalogue_are_kept_as_rejects(spark, tmp_path):
     refs, root = tmp_path / "refs", str(tmp_path / "root")
     for name, rows in REFERENCES.items():

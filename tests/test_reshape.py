@@ -130,6 +130,16 @@ def test_melt_sheet(spark):
     assert (b.operador_alias, b.hora_termino) == (None, None)
 
 
+def test_unfilled_cells_are_the_rest_of_the_sheet(spark):
+    """Every cell of a point's row in a column with a week is either measured or unfilled; header rows are neither."""
+    points = {label.strip() for label, *_ in SHEET} & {r.punto_evaluacion for r in rs.unfilled_cells(sheet(spark)).collect()}
+    empty = {(r.punto_evaluacion, r.anio, r.semana_nro) for r in rs.unfilled_cells(sheet(spark)).collect()}
+    full = {(r.punto_evaluacion, r.anio, r.semana_nro) for r in rs.melt_sheet(sheet(spark)).collect()}
+    assert ("Punto C", 2025, 51) in empty and not empty & full
+    assert all({(p, 2025, 51), (p, 2026, 1)} <= empty | full for p in points)
+    assert not any(p.startswith(("Semana", "Fecha", "Hora", "Operador")) for p, *_ in empty)
+
+
 def test_parts_of_a_melt_agree_with_the_whole(spark):
     long = rs.unpivot_wide(sheet(spark), ["planta", "etiqueta"])
     joined = rs.value_rows(long, ["planta"]).join(rs.header_rows(long, ["planta"]), ["planta", rs.POSITION])
