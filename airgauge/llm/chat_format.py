@@ -27,7 +27,7 @@ Turn = tuple[str, str]  # role, text
 Render = Callable[[Sequence[Turn]], str]
 
 MARK = "\ue000\ue001"  # stands for a text in a second rendering
-NEAR = 64  # turns of a window; a conversation of more is rendered by windows
+NEAR = 64  # turns of a window
 MOST_CHARS = 4_000_000  # of output texts in one batch
 
 
@@ -107,32 +107,37 @@ def _added(render: Render, turns: Sequence[Turn], before: str) -> tuple[str, int
 
 
 def locate(render: Render, turns: Sequence[Turn], near: int = NEAR) -> Located:
-    """Spans of all turns in render(turns).
+    """Spans of all turns in render(turns), as rendering every prefix gives them, however long the conversation is.
 
-    Up to `near` turns every prefix is rendered. A longer conversation would cost the square of its length: of
-    it each turn is rendered behind the `near` to 2 * `near` - 1 turns before it, and what all turns add must
-    make up the rendering of the whole; if it does not, the turn where the two part is where history changes.
+    Prefixes of a long conversation cost the square of its length, so each turn is first rendered behind the
+    `near` to 2 * `near` - 1 turns before it (all of them, if there are no more). Where what the turns add does not
+    make up the rendering of the whole, or one changes what stood before it, the template looks farther back than
+    that, and every prefix is rendered after all.
     """
     whole = render(turns)
-    text, spans = render([]), []
-    if len(turns) <= near:
-        for k in range(len(turns)):
-            added = _added(render, turns[: k + 1], text)
-            if added is None:
-                return Located(whole, [], k)
-            spans.append(_placed(len(text), added))
-            text += added[0]
-        return Located(whole, spans, -1)
-    parts, size = [text], len(text)
+    found = _spans(render, turns, lambda k: max(0, (k // near - 1) * near))
+    if isinstance(found, int) or whole != found[0]:
+        found = _spans(render, turns, lambda k: 0)
+    return Located(whole, [], found) if isinstance(found, int) else Located(whole, found[1], -1)
+
+
+def _spans(render: Render, turns: Sequence[Turn], start: Callable[[int], int]) -> tuple[str, list[tuple[int, int, int, int]]] | int:
+    """What the turns add, each behind those from its `start` on, and their spans; or the first that changes what stood before it."""
+    first = render([])
+    parts, spans, size = [first], [], len(first)
+    since, before = 0, first
     for k in range(len(turns)):
-        start = max(0, (k // near - 1) * near)
-        added = _added(render, turns[start : k + 1], render(turns[start:k]))
-        if added is None or not whole.startswith(added[0], size):
-            return Located(whole, [], k)
+        if start(k) != since:
+            since = start(k)
+            before = render(turns[since:k])
+        added = _added(render, turns[since : k + 1], before)
+        if added is None:
+            return k
         spans.append(_placed(size, added))
         parts.append(added[0])
         size += len(added[0])
-    return Located(whole, spans, -1) if size == len(whole) else Located(whole, [], len(turns) - 1)
+        before += added[0]
+    return "".join(parts), spans
 
 
 def _placed(at: int, added: tuple[str, int, int]) -> tuple[int, int, int, int]:

@@ -248,6 +248,15 @@ def test_templates_that_rewrite_history_are_found():
     assert [s[2:] for s in chat_format.locate(counting, [("user", "abc")]).spans] == [(-1, -1)]
 
 
+def test_spans_are_those_of_all_prefixes_however_long_the_conversation():
+    numbered = lambda turns: "".join(f"{i}.{r}:{t};" for i, (r, t) in enumerate(turns))
+    thinking = [("user", "a"), ("assistant", "hm|b"), ("user", "c")] * 40
+    for render, turns in ((numbered, thinking), (forgetful, thinking), (forgetful, [("user", "a")] * 200 + [("assistant", "x|y"), ("user", "z")])):
+        for n in (5, 63, 64, 65, 120, len(turns)):
+            assert chat_format.locate(render, turns[:n]) == chat_format.locate(render, turns[:n], near=1000)
+    assert chat_format.locate(numbered, thinking).rewrites == -1 and chat_format.locate(forgetful, thinking).rewrites == 2
+
+
 def test_formatted_table(spark):
     r = random.Random(8)
     rows = [(None, 0, "user", "nobody's"), (1, None, "assistant", "first"), (1, 2, None, None), (1, 2, "user", "tie"), (1, 2, "user", "tie")]
