@@ -80,10 +80,25 @@ def _key_text(field: T.StructField) -> Column:
     return F.coalesce(c.cast("string"), F.lit(NULL_TOKEN))
 
 
+def key_text(df: DataFrame, cols: Sequence[str]) -> Column:
+    """The text of the columns, joined by '-', NULL shown as a token."""
+    fields = {f.name: f for f in df.schema.fields}
+    return F.concat_ws("-", *[_key_text(fields[c]) for c in cols])
+
+
 def key_hash(df: DataFrame, cols: Sequence[str]) -> Column:
     """MD5 over the text of the columns, joined by '-', NULL shown as a token."""
-    fields = {f.name: f for f in df.schema.fields}
-    return F.md5(F.concat_ws("-", *[_key_text(fields[c]) for c in cols]))
+    return F.md5(key_text(df, cols))
+
+
+def digest_bytes(c: Column) -> Column:
+    """A digest as its 16 bytes, which order as its 32 digits do: the form in which digests are shuffled."""
+    return F.unhex(c)
+
+
+def digest_text(c: Column) -> Column:
+    """The digits of `digest_bytes`."""
+    return F.lower(F.hex(c))
 
 
 # A record key and a content hash are the same function over different columns.

@@ -12,13 +12,17 @@ are not stored. That costs a read and is never wrong.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from airgauge.functions.columns import digest_bytes, digest_text, record_key
 from airgauge.operators.history import CONTENT, KEY, SEQ
+from airgauge.session import kept
 from airgauge.sources.landing import path_exists
 
 BUCKET = "cubo"
@@ -72,12 +76,18 @@ def buckets_of(batch: DataFrame) -> list[str]:
 NO_BUCKET = "ninguno"  # the folder that holds a table's columns while it has no row
 
 
-def append_rows(rows: DataFrame, table: str) -> None:
-    """Rows with `cubo` to their folders; AQE gathers a bucket's rows and splits a large one."""
+def append_rows(rows: DataFrame, table: str, whole: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    """Rows with `cubo` to their folders; AQE gathers a bucket's rows and splits a large one.
+
+    `whole` makes the table's rows of them after that: columns that follow from others need not be shuffled.
+    """
     spark = rows.sparkSession
+    placed = rows.hint("rebalance", BUCKET)
+    out = placed if whole is None else whole(placed)
     if not path_exists(spark, table):
-        rows.drop(BUCKET).limit(0).write.parquet(f"{table}/{BUCKET}={NO_BUCKET}")
-    rows.hint("rebalance", BUCKET).write.mode("append").partitionBy(BUCKET).parquet(table)
+        spark.createDataFrame([], out.drop(BUCKET).schema).write.parquet(f"{table}/{BUCKET}={NO_BUCKET}")
+    # half of a row's bytes are digits of digests, which only a codec with an entropy stage makes smaller
+    out.write.mode("append").option("compression", "zstd").partitionBy(BUCKET).parquet(table)
 
 
 # --- Bloom filters ------------------------------------------------------------------
@@ -102,9 +112,16 @@ def _is_set(bitmap: Column, bit: Column) -> Column:
     return F.call_function("shiftright", byte, (bit % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
 
 
-def maybe_stored(keys: DataFrame, filters: DataFrame, key: str = KEY) -> DataFrame:
-    """`keys` with `_quizas`: whether the filters leave it open that a key is stored. Never false for one that is."""
+FEW_BUCKETS = 128  # whose filters, of 64 KB each at most, go to all tasks
+
+
+def maybe_stored(keys: DataFrame, filters: DataFrame, key: str = KEY, few: bool = False) -> DataFrame:
+    """`keys` with `_quizas`: whether the filters leave it open that a key is stored. Never false for one that is.
+
+    `few`: the filters are of FEW_BUCKETS at most, so they are sent to the keys, which stay in place.
+    """
     merged = filters.groupBy(BUCKET, "segmento").agg(F.bitmap_or_agg("mapa").alias("mapa"))
+    merged = F.broadcast(merged) if few else merged
     placed = keys.select("*", *_places(key)).join(merged, [BUCKET, "segmento"], "left")
     hit = F.forall("_bits", lambda b: _is_set(F.col("mapa"), b))
     return placed.withColumn("_quizas", F.coalesce(hit, F.lit(False))).drop("segmento", "_bits", "mapa")
@@ -118,22 +135,33 @@ class Load:
     read: list[str]
 
 
-def append_unknown(batch: DataFrame, table: str, key: str = KEY) -> Load:
+def append_unknown(batch: DataFrame, table: str, key: str = KEY, whole: Callable[[DataFrame], DataFrame] | None = None, by: Sequence[str] = ()) -> Load:
     """Append the rows of `batch` (with `cubo`, one row a key) whose key is not stored.
 
     `batch` is read several times and should be a stored or cheap frame. A rerun after a lost job adds only
-    what is missing.
+    what is missing. With `whole`, keys are MD5 digests, which meet as bytes, and `whole` makes the table's rows
+    (the key too) from the other columns of `batch`. `by` names columns of both that tell keys apart as the key does.
     """
     spark = batch.sparkSession
     touched = buckets_of(batch)
     known = stored_rows(spark, filters_path(table), touched)
-    read = [] if known is None else buckets_of(maybe_stored(batch, known, key).where("_quizas"))
+    keys = batch.select(BUCKET, key)
+    read = [] if known is None else buckets_of(maybe_stored(keys, known, key, len(touched) <= FEW_BUCKETS).where("_quizas"))
     fresh = batch
     if read and (stored := stored_rows(spark, table, read)) is not None:
-        fresh = batch.join(stored.select(BUCKET, key), [BUCKET, key], "left_anti")
+        if by:
+            met = stored.select(*[F.col(c).alias(f"_{c}") for c in by])
+            fresh = batch.drop(key).join(met, reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]), "left_anti")
+            fresh = fresh.withColumn(key, record_key(fresh, by))
+        elif whole is None:
+            fresh = batch.join(stored.select(BUCKET, key), [BUCKET, key], "left_anti")
+        else:
+            met = batch.withColumn(key, digest_bytes(F.col(key))).join(stored.select(BUCKET, digest_bytes(F.col(key)).alias(key)), [BUCKET, key], "left_anti")
+            fresh = met.withColumn(key, digest_text(F.col(key)))
+        fresh = kept(fresh, "nuevas")  # its filter and its rows are written from it
     if touched:
         append_rows(filter_rows(fresh, key), filters_path(table))
-    append_rows(fresh, table)
+    append_rows(fresh if whole is None else fresh.drop(key), table, whole)
     return Load(touched, read)
 
 

@@ -14,8 +14,9 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from airgauge.functions.columns import content_hash, record_key
+from airgauge.functions.columns import content_hash, digest_bytes, digest_text, key_text, record_key
 
 KEY = "huella_registro"
 CONTENT = "_huella_contenido"
@@ -134,23 +135,37 @@ def resolve_hierarchy(children: DataFrame, child: str, parent: str, attributes:
     return out
 
 
-def hash_rows(src: DataFrame, key: Sequence[str], attributes: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """Source rows with key and content hashes, one row per key; `keep` are columns of the key to carry along.
+KEY_TEXT = "_clave"
+
+
+def whole_numbers(df: DataFrame, cols: Sequence[str]) -> bool:
+    """Whether all these columns are whole numbers, so that rows agree in them where their texts agree."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    return all(isinstance(kinds[x], T.IntegralType) for x in cols)
 
-    Exact copies collapse in a hash aggregate before the shuffle. When one batch
-    still holds different contents for a key, the greatest content hash is kept,
-    so a rerun of the batch decides alike. Where all of them count, see `multi_active`.
+
+def key_rows(src: DataFrame, key: Sequence[str], attributes: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """Source rows with the text of their key, one row per key; `keep` are columns of the key to carry along.
+
+    A task keeps one row of a key before the shuffle. When one batch holds different contents for a key, the one
+    with the greatest content hash is kept, so a rerun of the batch decides alike. Where all of them count, see
+    `multi_active`. Whole numbers are told apart by their texts as by themselves, so keys of these are grouped as
+    they come and rows that lie by them stay where they are.
     """
-    rows = src.select(*key, *attributes).distinct()
-    hashed = rows.select(
-        record_key(rows, key).alias(KEY), content_hash(rows, attributes).alias(CONTENT), *attributes, *keep
-    )
-    packed = F.struct(*attributes)
-    return (
-        hashed.groupBy(KEY, *keep)
-        .agg(F.max(F.struct(F.col(CONTENT), packed.alias("_a"))).alias("_r"))
-        .select(KEY, F.col(f"_r.{CONTENT}").alias(CONTENT), *[F.col(f"_r._a.{a}").alias(a) for a in attributes], *keep)
-    )
+    rows = src.select(*key, *attributes)
+    best = F.max(F.struct(digest_bytes(content_hash(rows, attributes)).alias("_h"), F.struct(*attributes).alias("_a"))).alias("_r")
+    if whole_numbers(rows, key):
+        grouped = rows.groupBy(*key).agg(best)
+        grouped = grouped.withColumn(KEY_TEXT, key_text(grouped, key))
+    else:
+        grouped = rows.withColumn(KEY_TEXT, key_text(rows, key)).groupBy(KEY_TEXT, *keep).agg(best)
+    return grouped.select(KEY_TEXT, *[F.col(f"_r._a.{a}").alias(a) for a in attributes], *keep)
+
+
+def hash_rows(src: DataFrame, key: Sequence[str], attributes: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """`key_rows` with key and content hashes in place of the key's text."""
+    rows = key_rows(src, key, attributes, keep)
+    return rows.select(F.md5(KEY_TEXT).alias(KEY), content_hash(rows, attributes).alias(CONTENT), *attributes, *keep)
 
 
 def current_version(stored: DataFrame) -> DataFrame:
@@ -183,30 +198,36 @@ def new_satellite_rows(
     source: str,
 ) -> DataFrame:
     """Versions to append: keys that are new, or whose content differs from their own latest version."""
-    return changed_versions(hash_rows(src, key, attributes), attributes, stored, now, source)
+    return as_versions(changed_versions(key_rows(src, key, attributes), attributes, stored), attributes, now, source)
 
 
-def changed_versions(
-    rows: DataFrame, attributes: Sequence[str], stored: DataFrame | None, now: Column, source: str, keep: Sequence[str] = ()
-) -> DataFrame:
-    """The `hash_rows` to append as versions. `stored` needs no more than key, content hash and number."""
+def changed_versions(rows: DataFrame, attributes: Sequence[str], stored: DataFrame | None, keep: Sequence[str] = ()) -> DataFrame:
+    """The `key_rows` to append as versions, with their number. `stored` needs no more than key, content hash and number.
+
+    Key hashes meet as bytes; a content hash follows from the attributes and is made where it is compared.
+    """
+    hashed = rows.select(digest_bytes(F.md5(KEY_TEXT)).alias(KEY), *attributes, *keep)
     if stored is None:
-        versioned = rows.withColumn(SEQ, F.lit(1))
-    else:
-        latest = stored.groupBy(KEY).agg(
-            F.max(F.struct(F.col(SEQ).alias("n"), F.col(CONTENT).alias("c"))).alias("_v")
-        )
-        versioned = (
-            rows.join(latest, KEY, "left")
-            .where(F.col("_v").isNull() | (F.col("_v.c") != F.col(CONTENT)))
-            .withColumn(SEQ, F.coalesce(F.col("_v.n"), F.lit(0)) + 1)
-            .drop("_v")
-        )
-    return versioned.select(
-        KEY, CONTENT, *attributes, now.alias(FROM), F.col(SEQ).cast("int").alias(SEQ), F.lit(source).alias(SOURCE), *keep
+        return hashed.withColumn(SEQ, F.lit(1))
+    # numbers and hashes as text would more than double what is shuffled here
+    version = F.struct(F.col(SEQ).alias("n"), digest_bytes(F.col(CONTENT)).alias("c"))
+    latest = stored.groupBy(digest_bytes(F.col(KEY)).alias(KEY)).agg(F.max(version).alias("_v"))
+    return (
+        hashed.join(latest, KEY, "left")
+        .where(F.col("_v").isNull() | (F.col("_v.c") != digest_bytes(content_hash(hashed, attributes))))
+        .withColumn(SEQ, (F.coalesce(F.col("_v.n"), F.lit(0)) + 1).cast("int"))
+        .drop("_v")
     )
 
 
+def as_versions(changed: DataFrame, attributes: Sequence[str], now: Column, source: str, keep: Sequence[str] = ()) -> DataFrame:
+    """`changed_versions` in the columns of a stored satellite."""
+    return changed.select(
+        digest_text(F.col(KEY)).alias(KEY), content_hash(changed, attributes).alias(CONTENT), *attributes,
+        now.alias(FROM), SEQ, F.lit(source).alias(SOURCE), *keep,
+    )
+
+
 # --- snapshots (type 2, check strategy) -------------------------------------
 
 SNAP_ID = "scd_id"

@@ -9,13 +9,14 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from airgauge.functions.columns import record_key
 from airgauge.operators import bucketed as b
 from airgauge.operators import history as h
 from airgauge.operators import multi_active as ma
 from airgauge.operators.calendar import day_of_week, iso_calendar, missing_cells, withdrawn_cells
 from airgauge.plans.catalog import HUB, HUBS, LINK, LINKS, ROW_SETS, SATELLITE, SATELLITES
 from airgauge.plans.frames import Frames
-from airgauge.session import shared_dir
+from airgauge.session import kept
 from airgauge.sources.landing import read_if_present
 
 Sources = Mapping[str, DataFrame]
@@ -44,27 +45,29 @@ def satellite_rows(name: str, sources: Sources, stored: DataFrame | None, now: C
     return new(_satellite_source(spec, sources), spec.key, spec.attributes, stored, now, spec.source)
 
 
-def kept(df: DataFrame, name: str) -> DataFrame:
-    """Rows that are used more than once, written to the shared folder and read back."""
-    path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def append_keys(spec: h.Hub | h.Link, rows: DataFrame, path: str) -> b.Load:
-    """Hub or link rows of a batch to a table in buckets."""
+    """Hub or link rows of a batch to a table in buckets. Digests are made from what they are of where they are needed."""
     cut = b.buckets_for(spec.key, spec.buckets)  # a batch's buckets are looked up before it is compared
-    return b.append_unknown(kept(rows.withColumn(b.BUCKET, cut.of()), spec.name), path)
+    digests = {h.KEY: spec.key, **getattr(spec, "members", {})}
+
+    def whole(df: DataFrame) -> DataFrame:
+        made = df.withColumns({name: record_key(df, cols) for name, cols in digests.items()})
+        return made.select(*rows.columns, b.BUCKET)
+
+    batch = kept(rows.drop(*digests), spec.name)
+    batch = batch.withColumn(h.KEY, record_key(batch, spec.key)).withColumn(b.BUCKET, cut.of())
+    return b.append_unknown(batch, path, whole=whole, by=spec.key if h.whole_numbers(batch, spec.key) else ())
 
 
 def append_versions(spec: h.Satellite, src: DataFrame, path: str, now: Column) -> list[str]:
     """Changed versions of a batch to a table in buckets; the buckets that were read."""
     cut = b.buckets_for(spec.key, spec.buckets)
-    rows = h.hash_rows(src, spec.key, spec.attributes, cut.by).withColumn(b.BUCKET, cut.of())
-    batch = kept(rows.drop(*cut.by), spec.name)
+    batch = kept(h.key_rows(src, spec.key, spec.attributes, cut.by), spec.name)
+    batch = batch.withColumn(h.KEY, F.md5(h.KEY_TEXT)).withColumn(b.BUCKET, cut.of()).drop(h.KEY, *cut.by)
     touched = b.buckets_of(batch)
     stored = b.current_contents(src.sparkSession, path, touched)
-    b.append_rows(h.changed_versions(batch, spec.attributes, stored, now, spec.source, [b.BUCKET]), path)
+    changed = h.changed_versions(batch, spec.attributes, stored, [b.BUCKET])
+    b.append_rows(changed, path, lambda df: h.as_versions(df, spec.attributes, now, spec.source, [b.BUCKET]))
     return touched
 
 
@@ -116,7 +119,8 @@ def with_withdrawn_cells(measurements: DataFrame, points: DataFrame, blank: Data
     known = None if first is None else known_cells(measurements.sparkSession, root, first, last)
     if known is None:
         return measurements
-    return measurements.unionByName(withdrawn_cells(measurements, points, blank, known))
+    # few beside the measurements, and every table is loaded from them
+    return measurements.unionByName(kept(withdrawn_cells(measurements, points, blank, known), "retiradas"))
 
 
 def with_missing_cells(measurements: DataFrame, points: DataFrame, root: str) -> DataFrame:

@@ -125,9 +125,8 @@ def cells(t: Tables, batch: int = 2) -> DataFrame:
     if batch == 1:
         lines = lines.where(F.col("l_shipdate") < F.lit(CUT).cast("timestamp_ntz"))
     value = F.min("l_quantity") if batch == 1 else F.max("l_quantity")
-    week = F.col("_lunes")
-    # one cheap date per row groups the cells; ISO year and week follow per cell
-    grouped = lines.groupBy(F.col("l_suppkey").alias("punto_nro"), monday(day).alias("_lunes")).agg(
+    # grouped by the key of a cell, so that what is grouped or joined by it afterwards finds its rows in place
+    grouped = lines.groupBy(F.col("l_suppkey").alias("punto_nro"), c.iso_year(day).alias("anio"), c.iso_week(day).alias("semana_nro")).agg(
         value.alias("_valor"),
         F.max(day).alias("fecha_medicion"),
         F.min("l_linenumber").alias("_primera"),
@@ -136,9 +135,7 @@ def cells(t: Tables, batch: int = 2) -> DataFrame:
         F.max("l_orderkey").alias("ultima_orden"),
     )
     return grouped.select(
-        "punto_nro",
-        c.iso_year(week).alias("anio"),
-        c.iso_week(week).alias("semana_nro"),
+        *POINT_WEEK,
         (F.col("_valor") / 10).alias("concentracion_mg_m3"),
         "fecha_medicion",
         F.format_string("%02d:00", F.col("_primera") + 6).alias("hora_inicio"),
