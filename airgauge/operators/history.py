@@ -60,8 +60,12 @@ class Satellite:
     several: bool = False
 
 
-def _not_stored(rows: DataFrame, stored: DataFrame | None) -> DataFrame:
-    return rows if stored is None else rows.join(stored.select(KEY), KEY, "left_anti")
+def _not_stored(rows: DataFrame, key: Sequence[str], stored: DataFrame | None) -> DataFrame:
+    """The rows whose key hash is not stored; they are compared by nothing else, so other hashes are made of what is left."""
+    if stored is None:
+        return rows
+    met = stored.select(digest_bytes(F.col(KEY)).alias(KEY))
+    return rows.withColumn(KEY, digest_bytes(record_key(rows, key))).join(met, KEY, "left_anti").drop(KEY)
 
 
 def new_hub_rows(
@@ -72,9 +76,8 @@ def new_hub_rows(
     for s in sources:
         picked = s.select(*key)
         keys = picked if keys is None else keys.unionByName(picked)
-    distinct = keys.distinct()
-    rows = distinct.select(record_key(distinct, key).alias(KEY), *key)
-    return _not_stored(rows, stored).withColumns({LOADED: now, SOURCE: F.lit(source)})
+    rows = _not_stored(keys.distinct(), key, stored)
+    return rows.select(record_key(rows, key).alias(KEY), *key, now.alias(LOADED), F.lit(source).alias(SOURCE))
 
 
 def new_link_rows(
@@ -91,13 +94,14 @@ def new_link_rows(
     for c in not_null:
         kept = kept.where(F.col(c).isNotNull())
     wanted = list(dict.fromkeys([*key, *[c for cols in members.values() for c in cols]]))
-    distinct = kept.select(*wanted).distinct()
-    rows = distinct.select(
-        record_key(distinct, key).alias(KEY),
-        *[record_key(distinct, cols).alias(name) for name, cols in members.items()],
+    rows = _not_stored(kept.select(*wanted).distinct(), key, stored)
+    return rows.select(
+        record_key(rows, key).alias(KEY),
+        *[record_key(rows, cols).alias(name) for name, cols in members.items()],
         *wanted,
+        now.alias(LOADED),
+        F.lit(source).alias(SOURCE),
     )
-    return _not_stored(rows, stored).withColumns({LOADED: now, SOURCE: F.lit(source)})
 
 
 def resolve_roles(
