@@ -101,15 +101,16 @@ def readings_withdrawn(spark: SparkSession, d: str) -> DataFrame:
     """Cells after three loads: all readings, sheets that leave a seventh of the cells blank, and half of those filled again."""
     root = shared_dir(spark, "retiradas")
     t = st.Tables(spark, d)
-    rows = st.history_sources(spark, d)["mediciones"]
+    rows = vault.kept(st.history_sources(spark, d)["mediciones"], "mediciones")
     blank, again = (F.col("punto_nro") + F.col("semana_nro")) % 7 == 0, F.col("punto_nro") % 2 == 0
     states = ((F.lit(False), FIRST_LOAD), (blank, SECOND_LOAD), (blank & ~again, "2024-01-15 00:00:00"))
     for empty, when in states:
         brought = vault.with_withdrawn_cells(rows.where(~empty), _point_rows(t), rows.where(empty).select(*st.POINT_WEEK), root)
         vault.load_history(spark, root, {"mediciones": brought}, F.lit(when).cast("timestamp"), ("relacion_medicion", "detalle_medicion"))
     cells = spark.read.parquet(f"{root}/relacion_medicion").select(h.KEY, *st.POINT_WEEK)
-    now = h.current_version(spark.read.parquet(f"{root}/detalle_medicion"))
-    return cells.join(now, h.KEY).select(*st.POINT_WEEK, "concentracion_mg_m3", "estado", "motivo_no_medicion", h.SEQ)
+    shown = ["concentracion_mg_m3", "estado", "motivo_no_medicion", h.SEQ]
+    now = h.current_version(spark.read.parquet(f"{root}/detalle_medicion").select(c.digest_bytes(F.col(h.KEY)).alias(h.KEY), *shown))
+    return cells.withColumn(h.KEY, c.digest_bytes(F.col(h.KEY))).join(now, h.KEY).select(*st.POINT_WEEK, *shown)
 
 
 def chunks_published(spark: SparkSession, d: str) -> DataFrame:
