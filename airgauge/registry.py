@@ -26,7 +26,7 @@ from airgauge.plans import vault
 from airgauge.plans.catalog import HUB, LINK, SATELLITE
 from airgauge.plans.frames import Frames
 from airgauge.plans.marts import MARTS, bridge, build_marts, measurement_detail, point_dimension, root_causes, stored_marts
-from airgauge.session import shared_dir
+from airgauge.session import kept, shared_dir
 from airgauge.sources import landing as ld
 from airgauge.streaming import incremental as inc
 
@@ -61,16 +61,22 @@ def mart_query(name: str) -> Query:
     return lambda spark, d: st.marts(spark, d)[name]
 
 
-def dense_frames(spark: SparkSession, d: str) -> Frames:
-    """Frames whose measurements include every missing (point, week) as not measured."""
+def kept_frames(spark: SparkSession, d: str) -> Frames:
+    """Frames for all marts: those that grow with readings and orders, and that several marts are made from, are made once."""
     f = st.frames(spark, d)
+    return f.replaced(**{name: kept(f[name], name) for name in ("medicion", "medicion_persona", "punto", "orden")})
+
+
+def dense_frames(spark: SparkSession, d: str, f: Frames | None = None) -> Frames:
+    """Frames whose measurements include every missing (point, week) as not measured."""
+    f = f or st.frames(spark, d)
     first, last = st.reading_span(st.Tables(spark, d))
     dense = densify(f.medicion, f.punto.select("punto_nro"), first, last)
     return f.replaced(medicion=dense)
 
 
-def dense_detail(spark: SparkSession, d: str) -> DataFrame:
-    f = dense_frames(spark, d)
+def dense_detail(spark: SparkSession, d: str, f: Frames | None = None) -> DataFrame:
+    f = dense_frames(spark, d, f)
     weekless = f.medicion.drop("fecha_inicio_semana", "fecha_fin_semana", "trimestre", "mes")
     return measurement_detail(f.replaced(medicion=weekless))
 
@@ -572,10 +578,11 @@ def chunks_upserted(spark: SparkSession, d: str) -> DataFrame:
 def chunk_counts(spark: SparkSession, d: str) -> DataFrame:
     """Rows of every question, asked of stored marts, against the limits it declares."""
     folder = shared_dir(spark, "marts")
-    build_marts(st.frames(spark, d), folder)
+    frames = kept_frames(spark, d)
+    build_marts(frames, folder)
     marts, rows = stored_marts(spark, folder), None
     for qid, question in q.QUESTIONS.items():
-        answer = question_query(qid)(spark, d) if qid == "P11" else question.run(marts, ordered=False)
+        answer = q.why_not_measured(dense_detail(spark, d, frames)) if qid == "P11" else question.run(marts, ordered=False)
         part = answer.select(F.lit(qid).alias("regla_id"))
         rows = part if rows is None else rows.unionByName(part)
     limits = spark.createDataFrame(
