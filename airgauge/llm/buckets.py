@@ -21,8 +21,10 @@ from airgauge.llm.common import release
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BUCKET_KEYS = 1_000_000  # keys of one bucket, about: what one task holds
+ROWS_AT_ONCE = 16  # rows of a bucket that are unpacked together
 PART_CHARS = 128_000_000  # characters of one partition of texts, about
 LEAST_BITS = TOP_BITS = 6
+PIECE = 16_384  # numbers that are hashed together
 WIDTH = 7  # bytes of a key that are sent
 KEY_BITS = TOP_BITS + 8 * WIDTH
 
@@ -43,15 +45,25 @@ def bucket_bits(chars: int, chars_per_key: float) -> int:
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijection of 64 bits that spreads every input bit."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    out = x >> np.uint64(30)
+    out ^= x
+    out *= np.uint64(0xBF58476D1CE4E5B9)
+    more = out >> np.uint64(27)
+    out ^= more
+    out *= np.uint64(0x94D049BB133111EB)
+    np.right_shift(out, np.uint64(31), out=more)
+    out ^= more
+    return out
 
 
 def window_keys(x: np.ndarray, n: int) -> np.ndarray:
     """Hash of KEY_BITS bits of each run of n numbers: lengths are doubled, then the bits of n put together."""
-    if len(x) < n:
-        return np.zeros(0, np.uint64)
+    # piece by piece: what a cache holds is gone over many times
+    steps = range(0, len(x) - n + 1, PIECE)
+    return np.concatenate([np.zeros(0, np.uint64), *(_window_keys(x[at : at + PIECE + n - 1].astype(np.uint64), n) for at in steps)])
+
+
+def _window_keys(x: np.ndarray, n: int) -> np.ndarray:
     out: np.ndarray | None = None
     done, size, power = 0, 1, x
     while True:
@@ -69,9 +81,9 @@ def window_keys(x: np.ndarray, n: int) -> np.ndarray:
 SPREAD = 0x9E3779B97F4A7C15  # odd, so that no two keys have one product
 
 
-def spread(keys: np.ndarray, width: int = WIDTH) -> np.ndarray:
-    """A bijection of keys of TOP_BITS bits and `width` bytes: picked keys are small ones, and would crowd the first buckets."""
-    return keys * np.uint64(SPREAD) & np.uint64((1 << TOP_BITS + 8 * width) - 1)
+def spread(keys: np.ndarray, width: int = WIDTH, top: int = TOP_BITS) -> np.ndarray:
+    """A bijection of keys of `top` bits and `width` bytes: picked keys are small ones, and would crowd the first buckets."""
+    return keys * np.uint64(SPREAD) & np.uint64((1 << top + 8 * width) - 1)
 
 
 def _packed(x: np.ndarray) -> bytes:
@@ -107,19 +119,23 @@ def sent(ids: np.ndarray, owner: np.ndarray, keys: np.ndarray, bits: int, extra:
 
 def received(table: pa.Table, numbers: int = 1, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """All keys of a bucket's rows with the document of each, row after row, and the rows' extra blobs."""
-    none = np.zeros(0, np.int64) if numbers == 1 else np.zeros((0, numbers), np.int64)
-    docs, keys, extras = [none], [np.zeros(0, np.uint64)], []
-    for row in table.to_pylist():
-        ids = _unpacked(row["docs"], "<i8")
-        ids = np.cumsum(ids if numbers == 1 else ids.reshape(-1, numbers), axis=0)
-        docs.append(np.repeat(ids, _unpacked(row["sizes"], "<u4"), axis=0))
-        raw = np.frombuffer(row["keys"], np.uint8).reshape(-1, width)
-        wide = np.zeros((len(raw), 8), np.uint8)
-        wide[:, :width] = raw
-        keys.append(wide.view("<u8").reshape(-1) | np.uint64(row["top"] << 8 * width))
-        extras.append(row["extra"])
+    total = sum(pa.compute.sum(pa.compute.binary_length(c)).as_py() or 0 for c in table["keys"].chunks) // width
+    docs = np.empty(total if numbers == 1 else (total, numbers), np.int64)
+    keys, extras, end = np.zeros(total, np.uint64), [], 0
+    wide = keys.view(np.uint8).reshape(-1, 8)
+    # a few rows at a time, into arrays of their whole size: a bucket is in memory once as it came and once unpacked
+    for batch in table.to_batches(max_chunksize=ROWS_AT_ONCE):
+        for row in batch.to_pylist():
+            raw = np.frombuffer(row["keys"], np.uint8).reshape(-1, width)
+            here, end = slice(end, end + len(raw)), end + len(raw)
+            ids = _unpacked(row["docs"], "<i8")
+            ids = np.cumsum(ids if numbers == 1 else ids.reshape(-1, numbers), axis=0)
+            docs[here] = np.repeat(ids, _unpacked(row["sizes"], "<u4"), axis=0)
+            wide[here, :width] = raw
+            keys[here] |= np.uint64(row["top"] << 8 * width)
+            extras.append(row["extra"])
     release()
-    return np.concatenate(docs), np.concatenate(keys), extras
+    return docs, keys, extras
 
 
 def extras_of(extras: list[bytes], kind: str) -> np.ndarray:

@@ -23,13 +23,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airgauge.llm import buckets
-from airgauge.llm.common import texts_of
+from airgauge.llm.common import release, texts_of
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 LENGTH = 50
 SEED = 20  # bytes of the short windows
 SEED_WIDTH = 5  # bytes of their keys: they only choose what is compared, so two that clash do no harm
+SEED_TOP = 4  # bits above these; two fewer than of other keys, so that a quarter of the buckets take them, evenly
+SEED_SHIFT = np.uint64(SEED_TOP + 8 * SEED_WIDTH)
+SLICE_KEYS = 500_000  # keys of a bucket that are sorted together, about
 SHARD_BYTES = 2_000_000
 MOST_ALIKE = 2_000  # documents of one smallest window that share a shard
 MOST_COUNTED = 65_535  # documents of one short window, as far as they are counted; also: not known
@@ -44,11 +47,8 @@ WALKS = 64  # steps of Kasai's walk; as many walks at once as it takes
 
 def words_at(text: np.ndarray) -> np.ndarray:
     """The 8 bytes from each place on as one number, zeros past the end."""
-    padded = np.concatenate([text, np.zeros(8, np.uint8)]).astype(np.uint64)
-    out = np.zeros(len(text), np.uint64)
-    for k in range(8):
-        out = out << np.uint64(8) | padded[k : k + len(text)]
-    return out
+    padded = np.concatenate([text, np.zeros(8, np.uint8)])
+    return np.ndarray(len(text), ">u8", padded, strides=(1,)).astype(np.uint64)
 
 
 def _group_starts(new: np.ndarray) -> np.ndarray:
@@ -141,6 +141,11 @@ def equal_strings(text: np.ndarray, valid: np.ndarray, rank: np.ndarray, length:
 
 
 def sliding_min(x: np.ndarray, n: int) -> np.ndarray:
+    steps = range(0, len(x) - n + 1, buckets.PIECE)
+    return np.concatenate([x[:0], *(_sliding_min(x[at : at + buckets.PIECE + n - 1], n) for at in steps)])
+
+
+def _sliding_min(x: np.ndarray, n: int) -> np.ndarray:
     size = 1
     while size < n:
         step = min(size, n - size)
@@ -158,7 +163,7 @@ class Seeds:
         self.n, self.span, self.ends = n, n - k + 1, np.cumsum(sizes)
         self.starts = self.ends - sizes
         keys = buckets.window_keys(raw.astype(np.uint64), k) if len(raw) >= n else np.zeros(0, np.uint64)
-        self.keys = keys >> np.uint64(8 * (buckets.WIDTH - SEED_WIDTH))
+        self.keys = keys >> np.uint64(buckets.KEY_BITS - SEED_TOP - 8 * SEED_WIDTH)
         # no string crosses from one text into the next
         whole = np.stack([np.maximum(sizes - n + 1, 0), np.minimum(sizes, n - 1)], axis=1).reshape(-1)
         self.inside = np.repeat(np.tile([True, False], len(sizes)), whole)[: max(0, len(raw) - n + 1)]
@@ -214,12 +219,16 @@ def _send_seeds(bits: int, n: int, k: int):
                 new[1:] &= c[order[1:]] == c[order[:-1]]
             new[1:] ^= True
             one = np.sort(order[new])
-            rows = list(buckets.sent(part.column("uid").to_numpy(), owner[one], keys[one], bits, sides[one], SEED_WIDTH))
+            rows = list(buckets.sent(part.column("uid").to_numpy(), owner[one], _spread(keys[one]), bits, sides[one], SEED_WIDTH))
             yield pa.RecordBatch.from_pylist(rows, schema=buckets.SENT_ARROW)
 
     return send
 
 
+def _spread(keys: np.ndarray) -> np.ndarray:
+    return buckets.spread(keys, SEED_WIDTH, SEED_TOP)
+
+
 def _mixed(*columns: np.ndarray) -> np.ndarray:
     out = np.zeros(len(columns[0]), np.uint64)
     for c in columns:
@@ -240,26 +249,44 @@ def _groups(*columns: np.ndarray) -> np.ndarray:
 
 def _shared_seeds(table: pa.Table) -> pa.Table:
     """In one bucket: short windows that are repeated with the bytes on one of their sides, for each document once,
-    with how many documents hold them."""
+    with how many documents hold them. Keys are taken a slice of them at a time."""
     docs, keys, extras = buckets.received(table, width=SEED_WIDTH)
     sides = buckets.extras_of(extras, SIDES)
+    slices = -(-len(keys) // SLICE_KEYS)
+    held = np.zeros(len(keys), "<u4")
+    for i in range(slices):
+        at = _slice(keys, slices, i)
+        held[at] = _held(docs[at], keys[at], sides[at])
+    at = np.flatnonzero(held)
+    own = docs[at]
+    cuts = np.append(np.flatnonzero(np.diff(own, prepend=own[:1] - 1)), len(own)) if len(own) else np.zeros(1, np.int64)
+    out = pa.table({"uid": pa.array(own[cuts[:-1]], pa.int64()), "keys": buckets.blobs(cuts, keys[at]), "held": buckets.blobs(cuts, held[at])})
+    release()
+    return out
+
+
+def _slice(keys: np.ndarray, slices: int, i: int) -> np.ndarray:
+    """Where the keys of one slice are: all that are equal are in the same one."""
+    steps = range(0, len(keys), SLICE_KEYS)
+    return np.concatenate([b + np.flatnonzero(keys[b : b + SLICE_KEYS] % np.uint64(slices) == i) for b in steps])
+
+
+def _held(docs: np.ndarray, keys: np.ndarray, sides: np.ndarray) -> np.ndarray:
+    """How many documents hold each key, once for each document; 0 for the others and for what is not repeated."""
+    out = np.zeros(len(keys), np.int64)
     _, counts = buckets.run_lengths(keys)
     at = np.flatnonzero(counts > 1)
-    docs, keys, sides = docs[at], keys[at], sides[at]
-    ok = np.zeros(len(keys), bool)
+    ok = np.zeros(len(at), bool)
     for side in ("right", "left"):
-        there = np.flatnonzero(sides[side])
-        group = _groups(keys[there], sides[side][there])
+        there = np.flatnonzero(sides[side][at])
+        group = _groups(keys[at[there]], sides[side][at[there]])
         ok[there] |= np.bincount(group, minlength=1)[group] > 1
-    at = np.flatnonzero(ok)
+    at = at[ok]
     pair = _groups(keys[at], docs[at])
-    at = np.sort(at[np.unique(pair, return_index=True)[1]])
-    docs, keys = docs[at], keys[at]
-    _, counts = buckets.run_lengths(keys)
-    at = np.flatnonzero(counts > 1)
-    own = docs[at]
-    cuts = np.append(np.flatnonzero(np.diff(own, prepend=own[:1] - 1)), len(own)) if len(own) else np.zeros(1, np.int64)
-    return pa.table({"uid": pa.array(own[cuts[:-1]], pa.int64()), "keys": buckets.blobs(cuts, keys[at]), "held": buckets.blobs(cuts, counts[at].astype("<u4"))})
+    at = at[np.sort(np.unique(pair, return_index=True)[1])]
+    _, counts = buckets.run_lengths(keys[at])
+    out[at] = np.where(counts > 1, counts, 0)
+    return out
 
 
 def _stretches(n: int, k: int):
@@ -272,21 +299,18 @@ def _stretches(n: int, k: int):
             known = np.concatenate([f[0] for f in found])
             held = np.concatenate([f[1] for f in found])
             whose = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
-            by = np.lexsort((known, whose))
-            known, held, whose = known[by], held[by], whose[by]
-            borders = np.searchsorted(whose, np.arange(len(texts) + 1))
+            # a text that answers name has a string of n bytes, so that a block's texts can be numbered in what a key leaves
+            named = whose.astype(np.uint64) << SEED_SHIFT | known
+            by = np.argsort(named)
+            named, held = named[by], held[by]
 
             def holders(keys: np.ndarray, owner: np.ndarray) -> np.ndarray:
-                """How many documents hold each key, 0 for those not known of its text (`owner` rising)."""
-                out = np.zeros(len(keys), np.uint32)
-                cuts = np.searchsorted(owner, np.arange(len(texts) + 1))
-                for i in range(len(texts)):
-                    mine, theirs = slice(cuts[i], cuts[i + 1]), slice(borders[i], borders[i + 1])
-                    k, h = known[theirs], held[theirs]
-                    if len(k):
-                        at = np.minimum(np.searchsorted(k, keys[mine]), len(k) - 1)
-                        out[mine] = np.where(k[at] == keys[mine], h[at], 0)
-                return out
+                """How many documents hold each key, 0 for those not known of its text."""
+                asked = owner.astype(np.uint64) << SEED_SHIFT | _spread(keys)
+                if not len(named):
+                    return np.zeros(len(keys), np.uint32)
+                at = np.minimum(np.searchsorted(named, asked), len(named) - 1)
+                return np.where(named[at] == asked, held[at], 0).astype(np.uint32)
 
             open_ = np.flatnonzero(seeds.strings(holders(seeds.keys[seeds.at], seeds.owner) > 0))
             if not len(open_):

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -143,6 +144,47 @@ def test_picked_keys_spread_over_the_buckets():
     assert len(np.unique(substring_dedup.buckets.spread(some, 5))) == len(some)
 
 
+def seed_rows(texts, bits=6):
+    batch = pa.RecordBatch.from_pydict({"uid": list(range(len(texts))), "text": texts})
+    return [r for b in suffix_dedup._send_seeds(bits, 50, 20)(iter([batch])) for r in b.to_pylist()]
+
+
+def test_picked_windows_fill_few_buckets_alike():
+    """The least hashes of their runs would put a quarter of all keys into the first of 64 buckets."""
+    r = np.random.default_rng(1)
+    filled = Counter()
+    for row in seed_rows(["".join(map(chr, r.integers(97, 123, 4_000))) for _ in range(100)]):
+        filled[row["bucket"]] += len(row["keys"]) // suffix_dedup.SEED_WIDTH
+    assert len(filled) == 16 and max(filled.values()) < 1.2 * sum(filled.values()) / 16
+
+
+def test_a_bucket_is_sorted_slice_by_slice(monkeypatch):
+    """Memory follows a bucket's unpacked keys, not several sorted copies of them, and slices change nothing."""
+    r = np.random.default_rng(2)
+    pool = [bytes(r.integers(97, 123, 2_000).astype(np.uint8)).decode() for _ in range(300)]
+    rows = seed_rows([pool[i] for i in r.integers(0, 300, 900)], 6)
+    least = min(x["bucket"] for x in rows)
+    table = pa.Table.from_pylist([x for x in rows if x["bucket"] == least], schema=b_schema())
+    whole = suffix_dedup._shared_seeds(table).to_pylist()
+    keys = sum(len(k) // 8 for k in (x["keys"] for x in whole))
+    assert keys
+    monkeypatch.setattr(suffix_dedup, "SLICE_KEYS", 500, raising=False)
+    assert suffix_dedup._shared_seeds(table).to_pylist() == whole
+    # one bucket with very many keys, a third of them repeated
+    n = 400_000
+    many = r.integers(0, 1 << 40, n).astype(np.uint64)
+    many[: n // 3] = many[n // 3 : 2 * (n // 3)]
+    sides = np.ones(n, suffix_dedup.SIDES)
+    table = pa.Table.from_pylist(list(suffix_dedup.buckets.sent(np.arange(n // 100), np.arange(n) // 100, many, 6, sides, 5)), schema=b_schema())
+    monkeypatch.setattr(suffix_dedup, "SLICE_KEYS", 20_000, raising=False)
+    tracemalloc.start()
+    found = suffix_dedup._shared_seeds(table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(len(x) // 8 for x in found["keys"].to_pylist()) == 2 * (n // 3)
+    assert peak < 55 * n
+
+
 def b_schema():
     return substring_dedup.buckets.SENT_ARROW
 
