@@ -74,11 +74,11 @@ def pii_token(c: Column, salt: str) -> Column:
 
 def tokenize_pii(df: DataFrame, cols: Sequence[str], salt: str) -> DataFrame:
     """Personal fields replaced by tokens, with the tokens in `pii_tokens`."""
-    pairs = [x for c in cols for x in (F.lit(c), pii_token(F.col(c), salt))]
-    tokens = F.create_map(*pairs) if pairs else F.lit(None).cast("map<string,string>")
+    tokenized = df.withColumns({c: pii_token(F.col(c), salt) for c in cols})  # each token is made once
+    pairs = [x for c in cols for x in (F.lit(c), F.col(c))]
     empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
-    known = F.map_filter(tokens, lambda _, v: v.isNotNull()) if pairs else empty
-    return df.withColumn("pii_tokens", known).withColumns({c: pii_token(F.col(c), salt) for c in cols})
+    known = F.map_filter(F.create_map(*pairs), lambda _, v: v.isNotNull()) if pairs else empty
+    return tokenized.withColumn("pii_tokens", known)
 
 
 def pii_mapping(df: DataFrame, cols: Sequence[str], salt: str) -> DataFrame:

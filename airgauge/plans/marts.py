@@ -123,14 +123,16 @@ def people_by_measurement(f: Frames) -> DataFrame:
     def of(role: str) -> Column:
         return F.max(F.when(F.col("rol") == role, F.col("nombre_completo")))
 
-    return named.groupBy(*POINT_WEEK).agg(
+    # a measurement has few people: rows are sorted once, where they meet, as texts have no partial aggregate without a sort
+    return named.repartition(*POINT_WEEK).groupBy(*POINT_WEEK).agg(
         of(ROLE_OPERATOR).alias("operador_panel"), of(ROLE_TECHNICIAN).alias("tecnico_higiene")
     )
 
 
 def measurement_detail(f: Frames) -> DataFrame:
     """M3: measurement with its people."""
-    base = bridge(f.medicion, f.punto, f.semana).join(people_by_measurement(f), POINT_WEEK, "left")
+    # people first: measurements that lie by point and week stay where they are
+    base = bridge(f.medicion.join(people_by_measurement(f), POINT_WEEK, "left"), f.punto, f.semana)
     return _scoped(
         base,
         [

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
@@ -11,6 +12,8 @@ from airgauge.operators import governance as g
 from airgauge.operators import vectors as vec
 from airgauge.plans import questions as q
 from airgauge.plans import reports as rep
+from airgauge.plans.frames import SUBJECTS, Frames
+from airgauge.plans.marts import measurement_detail
 from airgauge.plans.templates import TEMPLATES
 from airgauge.registry import TABLES, table_audit
 from airgauge.session import shared_dir
@@ -296,3 +299,48 @@ def test_plans_push_down_and_avoid_products(spark, sf):
     scan = [x for x in queries["question_p13_high_window"](spark, sf)._jdf.queryExecution().executedPlan().toString().split("\n")
             if "FileScan" in x and "lineitem" in x]
     assert scan and all("l_extendedprice" not in x for x in scan)
+
+
+def test_each_token_is_made_once(spark):
+    """A person's token serves the text, the JSON and the list of tokens."""
+    rows = spark.createDataFrame([(1, "Ana", None), (2, None, "Eva"), (3, None, None)], "k int, a string, b string")
+    made = ch.tokenize_pii(rows, ["a", "b"], "sal")
+    seen = made.select("k", F.concat_ws("|", "a", "b").alias("t"), F.size("pii_tokens").alias("n"), F.col("pii_tokens")["a"].alias("pa"))
+    assert seen._jdf.queryExecution().optimizedPlan().toString().count("sha2(") <= 2
+    token = {x: "PII_" + hashlib.sha256(f"sal{x}".encode()).hexdigest() for x in ("Ana", "Eva")}
+    assert made.columns == ["k", "a", "b", "pii_tokens"]
+    assert sorted(map(tuple, seen.collect())) == [(1, token["Ana"], 1, token["Ana"]), (2, token["Eva"], 1, None), (3, "", 0, None)]
+
+
+def test_people_meet_measurements_where_these_lie(spark):
+    """People are sorted once by measurement, and measurements that lie by point and week are not moved to them."""
+    week = "punto_nro bigint, anio int, semana_nro int"
+    some = [(1, 2020, 5), (1, 2020, 6), (2, 2020, 5), (None, 2020, 5), (1, 2020, 5)]
+    cells = spark.createDataFrame(some, week).groupBy("punto_nro", "anio", "semana_nro").agg(F.count(F.lit(1)).cast("double").alias("concentracion_mg_m3"))
+    texts = ("fecha_medicion", "hora_inicio", "hora_termino", "estado", "motivo_no_medicion")
+    key = "dni string, tipo_dni string, dni_pais_emisor string"
+    people = [(1, 2020, 5, "operador", "a"), (1, 2020, 5, "operador", "b"), (1, 2020, 5, "tecnico", "b"), (2, 2020, 5, "tecnico", "z"), (None, 2020, 5, "tecnico", "a")]
+    made = {
+        "medicion": cells.select("*", *[F.lit(None).cast("string").alias(x) for x in texts]),
+        "punto": spark.createDataFrame([(1, "uno", "P"), (2, "dos", "Q"), (2, "otra", "Q")], "punto_nro bigint, nombre_punto string, planta_canon string"),
+        "semana": spark.createDataFrame([(2020, 5, "x", "y")], "anio int, semana_nro int, a string, b string").select(
+            "anio", "semana_nro", F.lit("2020-01-27").cast("date").alias("fecha_inicio_semana"), F.lit("2020-02-02").cast("date").alias("fecha_fin_semana")),
+        "medicion_persona": spark.createDataFrame([(*x[:4], x[4], "RUN", "CL") for x in people], f"{week}, rol string, {key}"),
+        "persona": spark.createDataFrame([("a", "RUN", "CL", "Ana"), ("b", "RUN", "CL", "Berta")], f"{key}, nombre_completo string"),
+    }
+    f = Frames({name: lambda name=name: made[name] for name in SUBJECTS})
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = measurement_detail(f).select("punto_nro", "semana_nro", "nombre_punto", "concentracion_mg_m3", "operador_panel", "tecnico_higiene")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        rows = out.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted(map(tuple, rows), key=str) == sorted([
+        (1, 5, "uno", 2.0, "Berta", "Berta"), (1, 6, "uno", 1.0, None, None), (2, 5, "dos", 1.0, None, None), (2, 5, "otra", 1.0, None, None),
+        (None, 5, None, 1.0, None, None),
+    ], key=str)
+    key_of_a_cell = r"punto_nro#\d+L?, anio#\d+L?, semana_nro#\d+L?"
+    assert len(re.findall(rf"hashpartitioning\({key_of_a_cell}", plan)) == 2
+    assert len(re.findall(r"Sort \[punto_nro#\d+L? ASC NULLS FIRST, anio", plan)) == 2
