@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from airgauge.functions.columns import digest_bytes, digest_text, record_key
 from airgauge.operators.history import CONTENT, KEY, SEQ
-from airgauge.session import kept
+from airgauge.session import grown, kept
 from airgauge.sources.landing import path_exists
 
 BUCKET = "cubo"
@@ -150,13 +150,13 @@ def append_unknown(batch: DataFrame, table: str, key: str = KEY, whole: Callable
     fresh = batch
     if read and (stored := stored_rows(spark, table, read)) is not None:
         if by:
-            met = stored.select(*[F.col(c).alias(f"_{c}") for c in by])
+            met = grown(stored.select(*[F.col(c).alias(f"_{c}") for c in by]))
             fresh = batch.drop(key).join(met, reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]), "left_anti")
             fresh = fresh.withColumn(key, record_key(fresh, by))
         elif whole is None:
-            fresh = batch.join(stored.select(BUCKET, key), [BUCKET, key], "left_anti")
+            fresh = batch.join(grown(stored.select(BUCKET, key)), [BUCKET, key], "left_anti")
         else:
-            met = batch.withColumn(key, digest_bytes(F.col(key))).join(stored.select(BUCKET, digest_bytes(F.col(key)).alias(key)), [BUCKET, key], "left_anti")
+            met = batch.withColumn(key, digest_bytes(F.col(key))).join(grown(stored.select(BUCKET, digest_bytes(F.col(key)).alias(key))), [BUCKET, key], "left_anti")
             fresh = met.withColumn(key, digest_text(F.col(key)))
         fresh = kept(fresh, "nuevas")  # its filter and its rows are written from it
     if touched:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airgauge.functions.columns import iso_week, iso_year, measured_state, unmeasured_reason
+from airgauge.session import grown
 
 
 def monday(c: Column) -> Column:
@@ -86,9 +87,9 @@ def missing_cells(fact: DataFrame, points: DataFrame, first: date, last: date, k
     Columns that only facts have are NULL.
     """
     keys = ["punto_nro", "anio", "semana_nro"]
-    grid = week_grid(points, first, last).join(fact.select(*keys), keys, "left_anti")
+    grid = week_grid(points, first, last).join(grown(fact.select(*keys)), keys, "left_anti")
     if known is not None:
-        grid = grid.join(known.select(*keys), keys, "left_anti")
+        grid = grid.join(grown(known.select(*keys)), keys, "left_anti")
     return _as_facts(grid, fact)
 
 
@@ -100,9 +101,9 @@ def withdrawn_cells(fact: DataFrame, points: DataFrame, blank: DataFrame, known:
     has the content they have, so it makes no version.
     """
     keys = ["punto_nro", "anio", "semana_nro"]
-    cells = blank.select(*keys).distinct().join(fact.select(*keys), keys, "left_anti").join(known.select(*keys), keys, "left_semi")
+    cells = blank.select(*keys).distinct().join(grown(fact.select(*keys)), keys, "left_anti").join(grown(known.select(*keys)), keys, "left_semi")
     dated = cells.withColumn("fecha_inicio_semana", day_of_week(F.col("anio"), F.col("semana_nro")))
-    return _as_facts(points.join(dated.select(*keys, *_week_columns()[2:]), "punto_nro"), fact)
+    return _as_facts(points.join(grown(dated.select(*keys, *_week_columns()[2:])), "punto_nro"), fact)
 
 
 def _as_facts(cells: DataFrame, fact: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airgauge.functions.columns import content_hash, digest_bytes, digest_text, key_text, record_key
+from airgauge.session import grown
 
 KEY = "huella_registro"
 CONTENT = "_huella_contenido"
@@ -217,7 +218,7 @@ def changed_versions(rows: DataFrame, attributes: Sequence[str], stored: DataFra
     version = F.struct(F.col(SEQ).alias("n"), digest_bytes(F.col(CONTENT)).alias("c"))
     latest = stored.groupBy(digest_bytes(F.col(KEY)).alias(KEY)).agg(F.max(version).alias("_v"))
     return (
-        hashed.join(latest, KEY, "left")
+        hashed.join(grown(latest), KEY, "left")
         .where(F.col("_v").isNull() | (F.col("_v.c") != digest_bytes(content_hash(hashed, attributes))))
         .withColumn(SEQ, (F.coalesce(F.col("_v.n"), F.lit(0)) + 1).cast("int"))
         .drop("_v")

@@ -14,7 +14,7 @@ from airgauge.plans import questions as q
 from airgauge.plans import vault
 from airgauge.plans.marts import build_marts, stored_marts
 from airgauge.plans.publish import publish_chunks, read_chunks
-from airgauge.session import shared_dir
+from airgauge.session import grown, shared_dir
 
 FIRST_LOAD, SECOND_LOAD = registry.FIRST_LOAD, registry.SECOND_LOAD
 NEAREST = 10
@@ -110,7 +110,7 @@ def readings_withdrawn(spark: SparkSession, d: str) -> DataFrame:
     cells = spark.read.parquet(f"{root}/relacion_medicion").select(h.KEY, *st.POINT_WEEK)
     shown = ["concentracion_mg_m3", "estado", "motivo_no_medicion", h.SEQ]
     now = h.current_version(spark.read.parquet(f"{root}/detalle_medicion").select(c.digest_bytes(F.col(h.KEY)).alias(h.KEY), *shown))
-    return cells.withColumn(h.KEY, c.digest_bytes(F.col(h.KEY))).join(now, h.KEY).select(*st.POINT_WEEK, *shown)
+    return cells.withColumn(h.KEY, c.digest_bytes(F.col(h.KEY))).join(grown(now), h.KEY).select(*st.POINT_WEEK, *shown)
 
 
 def chunks_published(spark: SparkSession, d: str) -> DataFrame:

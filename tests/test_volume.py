@@ -1,7 +1,7 @@
 """What loads shuffle and store: digests travel as bytes or not at all, and rows that lie by their key stay there."""
 
 import re
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
@@ -9,10 +9,11 @@ from airgauge import registry
 from airgauge import standin as st
 from airgauge.functions import columns as c
 from airgauge.operators import bucketed as b
+from airgauge.operators import calendar as cal
 from airgauge.operators import history as h
 from airgauge.plans import vault
 from airgauge.plans.catalog import LINK, SATELLITE
-from airgauge.session import shared_dir
+from airgauge.session import kept, shared_dir
 
 
 def now():
@@ -75,3 +76,21 @@ def test_a_repeated_load_of_versions_adds_those_that_changed(spark):
     assert sorted(r[0] for r in stored.groupBy(h.KEY).count().select("count").collect()) == [1, 1, 1, 1, 3, 3]
     want = stored.select(c.content_hash(stored, spec.attributes).alias("c"), h.CONTENT, F.length(h.KEY).alias("n")).collect()
     assert all(r.c == r[h.CONTENT] and r.n == 32 for r in want)
+
+
+def test_cells_and_versions_are_merged_and_not_broadcast_by_the_size_of_their_files(spark):
+    cells = spark.range(0, 200_000, 1, 1).select(
+        (F.col("id") % 4000).alias("punto_nro"), F.lit(2020).alias("anio"), (F.floor(F.col("id") / 4000) + 1).cast("int").alias("semana_nro")
+    )
+    fact = kept(cells.withColumn("concentracion_mg_m3", F.lit(1.5)).withColumns({"estado": F.lit("medido"), "motivo_no_medicion": F.lit(None).cast("string")}), "hechos")
+    keys = fact.select("punto_nro", "anio", "semana_nro")
+    points = spark.range(4000).select(F.col("id").alias("punto_nro"))
+    blank = F.col("punto_nro") % 7 == 0
+    taken = cal.withdrawn_cells(fact.where(~blank), points, keys.where(blank), keys)
+    empty = cal.missing_cells(fact, points, date(2020, 1, 1), date(2020, 12, 20), keys)
+    rows = kept(h.key_rows(fact, list(keys.columns), ["estado"]), "filas")
+    stored = kept(h.as_versions(h.changed_versions(rows, ["estado"], None), ["estado"], now(), "x"), "versiones")
+    changed = h.changed_versions(rows, ["estado"], stored.select(h.KEY, h.CONTENT, h.SEQ))
+    for frame, n in ((taken, 28_600), (empty, 4000), (changed, 0)):
+        assert "BroadcastHashJoin" not in physical(frame)
+        assert frame.count() == n
