@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from airgauge import standin as st
+from airgauge.operators import chunks as ch
 from airgauge.operators import governed_index as gi
 from airgauge.plans import publish
 from airgauge.plans import questions as q
@@ -122,3 +123,36 @@ def test_publishing_again_adds_only_what_changed(spark, sf, tmp_path):
     raw = spark.read.parquet(root).where(F.col("texto").contains(plant)).count()
     assert raw == 0  # stored text is cipher text
     assert publish.rule_version(q.QUESTIONS["P3"]) != publish.rule_version(q.QUESTIONS["P5"])
+
+
+def test_missing_chunks_are_those_of_an_upsert_and_shuffle_no_text(spark, monkeypatch):
+    at = F.lit("2026-01-01").cast("timestamp")
+    rows = spark.createDataFrame([(f"P{i % 7}", i, "x" * 50, i / 3) for i in range(60)], "planta_canon string, n int, dicho string, v double")
+    made = lambda df, run: ch.build_chunks(df, "R", "m", ["n"], "{dicho} {v}", {"planta": "column:planta_canon"}, ["dicho"], run, at, "s")
+    twice = rows.unionByName(rows.where("n < 5")).unionByName(rows.where("n = 3").withColumn("planta_canon", F.lit("P9")))
+    stored = made(rows.where("n < 40").withColumn("v", F.when(F.col("n") == 4, 9.0).otherwise(F.col("v"))), "antes")
+    said = lambda df: sorted(map(str, df.collect()))
+    for few in (100, 0):
+        monkeypatch.setattr(ch, "FEW_KEYS", few)
+        for src, known in ((rows, None), (twice, None), (rows, stored), (twice, stored), (rows.where("n > 50"), stored)):
+            new = made(src, "ahora")
+            assert said(ch.missing_chunks(new, known).select(*new.columns)) == said(ch.upsert_chunks(new, known).select(*new.columns))
+        assert ch.missing_chunks(made(rows.where("n = 2"), "ahora"), stored) is None
+    # what is all new stays in the tasks that make it
+    assert "Exchange" not in ch.missing_chunks(made(rows, "ahora"), None)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_published_copies_are_one_chunk_and_a_rule_is_a_folder(spark, sf, tmp_path):
+    marts, key, root = st.marts(spark, sf), F.lit("0123456789abcdef0123456789abcdef"), f"{tmp_path}/chunks"
+    mart = spark.createDataFrame(marts["promedios_planta"].collect(), marts["promedios_planta"].schema)
+    monday = F.lit("2026-01-01").cast("timestamp")
+    rules = ["P3", "P4", "P13"]
+    windows = spark.createDataFrame(marts["ventanas_temporales"].limit(0).collect(), marts["ventanas_temporales"].schema)  # a rule without an answer
+    for run in ("r1", "r2"):
+        publish.publish_chunks({"promedios_planta": mart, "ventanas_temporales": windows}, root, key, run, monday, "s", rules)
+    got = publish.read_chunks(spark, root, key)
+    want = publish.rule_chunks({"promedios_planta": mart, "ventanas_temporales": windows}, rules, "r1", monday, "s")
+    assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, ch.upsert_chunks(want, None).collect()))
+    stored = sorted(x.name for x in (tmp_path / "chunks").iterdir() if x.is_dir())
+    assert stored == ["regla_id=P3", "regla_id=P4"]
+    assert all(x.name.endswith(".zstd.parquet") for x in (tmp_path / "chunks").glob("*/part-*"))
