@@ -62,11 +62,22 @@ class Satellite:
 
 
 def _not_stored(rows: DataFrame, key: Sequence[str], stored: DataFrame | None) -> DataFrame:
-    """The rows whose key hash is not stored; they are compared by nothing else, so other hashes are made of what is left."""
+    """The rows whose key hash is not stored; they are compared by nothing else, so other hashes are made of what is left.
+
+    The digests are never NULL, and Spark has to see it: for its filter it would make a plan of two loads twice.
+    """
     if stored is None:
         return rows
-    met = stored.select(digest_bytes(F.col(KEY)).alias(KEY))
-    return rows.withColumn(KEY, digest_bytes(record_key(rows, key))).join(met, KEY, "left_anti").drop(KEY)
+    digest = lambda hashed: F.coalesce(digest_bytes(hashed), F.lit(b"")).alias(KEY)
+    met = stored.select(digest(F.col(KEY)))
+    if KEY not in rows.columns:
+        rows = rows.select("*", digest(record_key(rows, key)))
+    return rows.join(grown(met), KEY, "left_anti").drop(KEY)
+
+
+def _by_digest(rows: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The rows without copies, placed by their key's digest: they are compared by it where they lie."""
+    return rows.withColumn(KEY, F.coalesce(digest_bytes(record_key(rows, key)), F.lit(b""))).repartition(KEY).distinct()
 
 
 def new_hub_rows(
@@ -89,13 +100,19 @@ def new_link_rows(
     now: Column,
     source: str,
     not_null: Sequence[str] = (),
+    many: bool = False,
 ) -> DataFrame:
-    """Composite keys not stored yet, with the hash key of each member."""
+    """Composite keys not stored yet, with the hash key of each member.
+
+    `many`: most rows of `src` are a key of their own, so they are shuffled once, by what is compared, and copies are
+    looked for after that.
+    """
     kept = src
     for c in not_null:
         kept = kept.where(F.col(c).isNotNull())
     wanted = list(dict.fromkeys([*key, *[c for cols in members.values() for c in cols]]))
-    rows = _not_stored(kept.select(*wanted).distinct(), key, stored)
+    found = kept.select(*wanted)
+    rows = _not_stored(_by_digest(found, key) if many and stored is not None else found.distinct(), key, stored)
     return rows.select(
         record_key(rows, key).alias(KEY),
         *[record_key(rows, cols).alias(name) for name, cols in members.items()],
@@ -119,12 +136,9 @@ def resolve_roles(
     Rows are unique if the facts are; a link load takes distinct keys anyway.
     """
     norm = "_alias_norm"
-    stacked = (
-        fact.select(*keys, *[F.col(c).alias(role) for role, c in roles.items()])
-        .unpivot(list(keys), list(roles), "rol", "_alias")
-        .select(*keys, "rol", F.lower(F.trim(F.col("_alias"))).alias(norm))
-        .where(F.col(norm).isNotNull())
-    )
+    # exploded and not unpivoted: Spark does not see that two plans above the same unpivot are one
+    each = F.array(*[F.struct(F.lit(role).alias("rol"), F.lower(F.trim(F.col(c))).alias(norm)) for role, c in roles.items()])
+    stacked = fact.select(*keys, F.explode(each).alias("_x")).select(*keys, "_x.rol", f"_x.{norm}").where(F.col(norm).isNotNull())
     known = aliases.select(F.lower(F.trim(F.col(alias))).alias(norm), *person).distinct()
     return stacked.join(known, norm).drop(norm)
 

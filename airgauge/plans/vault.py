@@ -31,7 +31,7 @@ def hub_rows(name: str, sources: Sources, stored: DataFrame | None, now: Column)
 
 def link_rows(name: str, sources: Sources, stored: DataFrame | None, now: Column) -> DataFrame:
     spec = LINK[name]
-    return h.new_link_rows(sources[spec.source], spec.key, spec.members, stored, now, spec.source, spec.not_null)
+    return h.new_link_rows(sources[spec.source], spec.key, spec.members, stored, now, spec.source, spec.not_null, many=bool(spec.buckets))
 
 
 def _satellite_source(spec: h.Satellite, sources: Sources) -> DataFrame:

@@ -53,6 +53,26 @@ def test_link_rows_make_member_hashes_of_what_is_left(spark, sf):
     assert not any(re.search(rf"AS {m}#", below[: below.rindex("Exchange hashpartitioning(huella_registro")]) for m in spec.members)
 
 
+def test_a_later_load_of_links_is_shuffled_once_and_the_first_is_made_once(spark, sf):
+    spec = LINK["relacion_medicion_persona"]
+    plan = physical(registry.link_query(spec.name)(spark, sf))
+    placed = [line for line in plan.splitlines() if "Exchange hashpartitioning(huella_registro" in line and "REPARTITION_BY_COL" in line]
+    assert len(placed) == 1  # the later load's rows, which are looked through for copies where their digests put them
+    assert "Expand" not in plan and not re.search(r"isnotnull\((unhex|huella|md5)", plan)
+
+
+def test_link_rows_of_a_later_load_are_those_whose_key_is_not_stored(spark):
+    kinds = "a int, t string, u string"
+    first = [(1, "x", None), (1, "x", "y"), (None, "x-y", "z")]
+    later = [*first, (1, "x", None), (2, "x", None), (2, "x", None), (None, "x", "y-z"), (None, None, None)]
+    for many in (True, False):
+        made = lambda rows, stored: h.new_link_rows(spark.createDataFrame(rows, kinds), ["a", "t", "u"], {"a_hk": ["a"]}, stored, now(), "s", many=many)  # noqa: B023, E731
+        stored = made(first, None)
+        # texts that agree with a stored key's are that key, whatever columns they come from
+        assert sorted(map(str, made(later, stored).select("a", "t", "u").collect())) == ["Row(a=2, t='x', u=None)", "Row(a=None, t=None, u=None)"]
+        assert made(later, stored).columns == stored.columns
+
+
 def test_a_repeated_load_of_links_adds_nothing_and_holds_what_the_plan_gives(spark):
     path = f"{shared_dir(spark, 'volumen')}/relacion_medicion"
     spec = LINK["relacion_medicion"]
