@@ -114,3 +114,33 @@ def test_cells_and_versions_are_merged_and_not_broadcast_by_the_size_of_their_fi
     for frame, n in ((taken, 28_600), (empty, 4000), (changed, 0)):
         assert "BroadcastHashJoin" not in physical(frame)
         assert frame.count() == n
+
+
+def test_missing_cells_are_found_by_point_and_week_and_then_described(spark):
+    points = spark.createDataFrame([(1, "a", "x"), (1, "b", "y"), (2, "c", None), (None, "d", "z")], "punto_nro bigint, nombre_punto string, planta string")
+    kinds = "punto_nro bigint, anio int, semana_nro int, planta string, nombre_punto string, concentracion_mg_m3 double, estado string, motivo_no_medicion string"
+    fact = spark.createDataFrame([(1, 2020, 2, "x", "a", 1.5, "medido", None)], kinds)
+    known = spark.createDataFrame([(2, 2020, 3), (1, 2020, 3)], "punto_nro bigint, anio int, semana_nro int")
+    out = cal.missing_cells(fact, points, date(2020, 1, 6), date(2020, 1, 20), known)
+    # a point that comes twice, or has no number, has its weeks as often as before
+    want = [(1, 4, "a"), (1, 4, "b"), (2, 2, "c"), (2, 4, "c"), *[(None, w, "d") for w in (2, 3, 4)]]
+    assert sorted(map(str, [(r.punto_nro, r.semana_nro, r.nombre_punto) for r in out.collect()])) == sorted(map(str, want))
+    # weeks are made of points that are spread over all tasks, and nothing but their keys is shuffled for the comparison
+    plan = physical(out)
+    assert "REPARTITION_BY_NUM" in plan[plan.index("Generate") :]
+    assert "nombre_punto" not in plan[plan.index("LeftAnti") :]
+
+
+def test_a_load_compares_only_buckets_that_hold_other_keys(spark, monkeypatch):
+    path, spec = f"{shared_dir(spark, 'volumen')}/relacion_medicion", LINK["relacion_medicion"]
+    week = lambda weeks: spark.createDataFrame([(p, 2020, w) for p in range(50) for w in weeks], "punto_nro bigint, anio int, semana_nro int")
+    load = lambda weeks: vault.append_keys(spec, vault.link_rows(spec.name, {spec.source: week(weeks)}, None, now()), path)
+    load((1, 2, 20))
+    compared = []
+    monkeypatch.setattr(b, "grown", lambda df: compared.append({r[0] for r in df.select("_semana_nro").distinct().collect()}) or df)
+    for weeks in ((1, 2, 20), (1, 2, 3, 20, 40), (1, 2, 3, 20, 40)):
+        met = load(weeks)
+        assert {"2020-0", "2020-1"} <= set(met.read)
+    assert compared == [set(), {1, 2}, set()]  # weeks 1 and 2 share a bucket with week 3, which was new
+    stored = b.stored_rows(spark, path)
+    assert sorted(r.semana_nro for r in stored.collect()) == sorted([1, 2, 3, 20, 40] * 50) and stored.select(h.KEY).distinct().count() == 250
